@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from checks import monthly
+from checks import monthly, weekly
 from checks.registry import Query
 
-MODULES = (monthly,)
+MODULES = (monthly, weekly)
 
 
 def queries() -> dict[str, Query]:

@@ -185,8 +185,9 @@ base = (
     | mail
     | {
         "lbase": f"""
-      SELECT w.entry_date, w.entry_week, w.sales_region_id, w.total_cost, w.dry_cost, w.nondry_cost,
-        CASE WHEN w.sales_region_id = 2 THEN CAST(CAST(w.dry_cost AS DOUBLE) * s3.dry_rev_pct AS {M6}) ELSE w.mo_outbound END AS mo_outbound,
+      SELECT w.entry_date, w.entry_week, w.sales_region_id, CAST(w.total_cost AS {M6}) AS total_cost,
+        CAST(w.dry_cost AS {M6}) AS dry_cost, CAST(w.nondry_cost AS {M6}) AS nondry_cost,
+        CASE WHEN w.sales_region_id = 2 THEN CAST(CAST(w.dry_cost AS DOUBLE) * s3.dry_rev_pct AS {M6}) ELSE CAST(w.mo_outbound AS {M6}) END AS mo_outbound,
         CASE WHEN w.sales_region_id IN (7, 15)
              THEN CAST(CAST(w.total_cost AS DOUBLE) * coalesce(p.inbound_pct, p.lag_inbound_pct) * m.mo_pct AS {M6}) ELSE 0 END AS mo_labor,
         CASE WHEN w.sales_region_id = 2 THEN CAST(CAST(w.dry_cost AS DOUBLE) * s1.dry_rev_pct AS {M6}) ELSE 0 END AS allo_dry_cost,
@@ -216,7 +217,7 @@ final = base | {
           ELSE CASE WHEN b.sales_region_id IS NOT NULL THEN b.total_cost END END AS final_labor_cost
       FROM lbase b
       LEFT JOIN lbase la ON la.entry_date = b.entry_date AND la.sales_region_id = 2
-      LEFT JOIN (SELECT entry_date, sum(labor_cost) AS cost FROM v_labor
+      LEFT JOIN (SELECT entry_date, CAST(sum(labor_cost) AS DECIMAL(24,6)) AS cost FROM v_labor
                  WHERE filter_flag = 'N' AND warehouse = 'LA - Greater' GROUP BY 1) g
         ON b.sales_region_id = 2 AND g.entry_date = b.entry_date"""
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from checks.compare import plain
-from checks.standins import StandIns
+from checks.standins import tables
 from periodbook.sources.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,7 +24,7 @@ class Registry:
             raise ValueError(f"query {name!r} is registered twice")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return plain(build(StandIns(spark, sf_dir).tables()))
+            return plain(build(tables(spark, sf_dir)))
 
         self.queries[name] = run
         if sql is not None:

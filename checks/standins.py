@@ -62,11 +62,14 @@ def dec(c: Column | str, kind: str = "decimal(18,4)") -> Column:
 
 
 class StandIns:
-    def __init__(self, spark: SparkSession, sf_dir: str, split_sheets: bool = False):
-        self.spark, self.dir, self.split = spark, sf_dir, split_sheets
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.dir = spark, sf_dir
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.dir, name)
+        if name not in self._raw:
+            self._raw[name] = read_table(self.spark, self.dir, name)
+        return self._raw[name]
 
     @cached_property
     def order_product(self) -> DataFrame:
@@ -618,5 +621,12 @@ class StandIns:
         return Tables(openers)
 
 
+_opened: dict[tuple[str, str], Tables] = {}
+
+
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    return StandIns(spark, sf_dir).tables()
+    """Stand-in tables of a folder; their (lazy) plans are built once per session."""
+    key = (f"{spark.sparkContext.applicationId}/{id(spark)}", sf_dir)
+    if key not in _opened:
+        _opened[key] = StandIns(spark, sf_dir).tables()
+    return _opened[key]
