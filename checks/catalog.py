@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from checks import monthly, weekly
+from checks import monthly, scorecard, weekly
 from checks.registry import Query
 
-MODULES = (monthly, weekly)
+MODULES = (monthly, weekly, scorecard)
 
 
 def queries() -> dict[str, Query]:

@@ -70,9 +70,13 @@ def epoch_to_local(seconds: Column | str, zone: str) -> Column:
 
 
 def month_from_label(c: Column | str) -> Column:
-    """First day of a month written like ``Mar'00`` or ``Mar 00``."""
+    """First day of a month written like ``Mar'00`` or ``Mar 00``.
+
+    Two-digit years from 70 on belong to the last century.
+    """
     tidy = F.regexp_replace(F.trim(_col(c)), r"[' ]+", " ")
-    return F.try_to_date(F.concat(F.lit("01 "), tidy), "dd MMM yy")
+    d = F.try_to_date(F.concat(F.lit("01 "), tidy), "dd MMM yy")
+    return F.when(F.year(d) >= 2070, F.add_months(d, -1200)).otherwise(d)
 
 
 def number_from_text(c: Column | str) -> Column:
