@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from checks import monthly, scorecard, weekly
+from checks import monthly, primitives, scorecard, weekly
 from checks.registry import Query
 
-MODULES = (monthly, weekly, scorecard)
+MODULES = (monthly, weekly, scorecard, primitives)
 
 
 def queries() -> dict[str, Query]:

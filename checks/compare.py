@@ -70,8 +70,9 @@ def differences(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> list
     a, b = _rows(df.columns, spark_rows), _rows(names, duck_rows)
     if a != b:
         cols = sorted(names)
-        only_a = [r for r in a if r not in set(b)][:3]
-        only_b = [r for r in b if r not in set(a)][:3]
+        in_a, in_b = set(a), set(b)
+        only_a = [r for r in a if r not in in_b][:3]
+        only_b = [r for r in b if r not in in_a][:3]
         for x, y in zip(only_a, only_b):
             problems.append(str({c: (p, q) for c, p, q in zip(cols, x, y) if p != q or c == cols[0]})[:600])
         if not only_b or not only_a:
