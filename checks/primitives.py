@@ -15,7 +15,7 @@ from checks.views import out, query, sunday
 from checks.weekly import CARD_OUT, card
 from periodbook import dimensions as dim
 from periodbook.functions import periods as pd
-from periodbook.functions.predicates import bucket_conditions, fold_region, is_pantry, region_bucket
+from periodbook.functions.predicates import fold_region, in_buckets, is_pantry, region_bucket
 from periodbook.functions.scalars import (
     as_money,
     epoch_to_local,
@@ -608,7 +608,7 @@ def _distinct_spec() -> dict[str, dict[str, Column | None]]:
     returned = F.col("is_gm") * F.col("product_refund_amount") > 0
     orders: dict[str, Column | None] = {"orders": None, "oos_orders": F.col("is_gm") == 0}
     buyers: dict[str, Column | None] = {"buyers": None}
-    for b, inside in bucket_conditions().items():
+    for b, inside in in_buckets().items():
         buyers |= {f"buyers_{b}": inside, f"new_{b}": inside & new}
         orders |= {f"orders_{b}": inside, f"returned_{b}": inside & returned}
     return {"buyer_id": buyers, "order_id": orders, "group_invoice_id": {"invoices": None}}
@@ -632,13 +632,15 @@ _CD_OUT = "d: delivery_month; s: ethnicity_user; l: buyers orders oos_orders inv
 )
 reg.add(
     "conditional_count_distinct",
-    lambda t: distinct_counts(op(t), ["delivery_month", "ethnicity_user"], _distinct_spec()),
+    lambda t: distinct_counts(
+        op(t).withColumn("bucket", region_bucket()), ["delivery_month", "ethnicity_user"], _distinct_spec()
+    ),
     q(_CD_OUT, f"SELECT delivery_month, ethnicity_user, {', '.join(_CD_ITEMS)} FROM v_op GROUP BY 1, 2"),
 )
 reg.add(
     "two_level_distinct_pivot",
     lambda t: distinct_pivot(
-        op(t), ["delivery_week"], "buyer_id", bucket_conditions(),
+        op(t).withColumn("bucket", region_bucket()), ["delivery_week"], "buyer_id", in_buckets(),
         {"users": None, "new_users": F.col("daily_new_users_flag") == 1},
     ),
     q("d: delivery_week; l: users new_users " + " ".join(f"users_{b} new_users_{b}" for b in (*BUCKETS, "mo")),

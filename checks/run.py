@@ -9,11 +9,13 @@ import time
 from pyspark.sql import SparkSession
 
 from checks import catalog, compare
+from periodbook.session import configure
 
 
 def session() -> SparkSession:
     spark = (
-        SparkSession.builder.master(f"local[{os.environ.get('BENCH_CPUS', '8')}]")
+        configure(SparkSession.builder)
+        .master(f"local[{os.environ.get('BENCH_CPUS', '8')}]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

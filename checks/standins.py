@@ -45,6 +45,7 @@ REASONS = [
     "Vendor funded", "Boost Revenue", "Clearance", "Expiring Control",
     "Q1 Freeup space", "Vendor Sponsored Promotion A", "",
 ]
+PCTS = [f"{n}_pct" for n in ("inbound", "wh_labor", "packaging", "processing", "wh", "ops", "misc")]
 SPECIALS_START = 946684800  # 2000-01-01 00:00 UTC
 DAY_SECONDS = 86400
 
@@ -188,77 +189,68 @@ class StandIns:
 
     # --- sheets, as people would have typed them -------------------------------
 
-    def _rate_rows(self, *keys: Column) -> DataFrame:
-        """Cost rates in basis points per group, computed in whole cents."""
-        cents = lambda c: F.sum((c * 10000).cast("decimal(38,0)"))
-        gross = cents(F.col("sub_total"))
+    @cached_property
+    def _rates(self) -> DataFrame:
+        """Cost rates in basis points per month and region (999: all), from whole cents."""
+        parts = {
+            "gross": F.col("sub_total"),
+            "inbound": F.col("product_refund_amount"),
+            "wh_labor": F.when(F.col("is_gm") == 0, F.col("sub_total")).otherwise(F.lit(0)),
+            "packaging": F.col("discount") * 100,
+            "processing": F.col("quantity").cast("decimal(10,0)") * 10,
+            "wh": F.col("quantity").cast("decimal(10,0)") * 20,
+            "ops": F.col("product_price") * F.lit("0.5").cast("decimal(2,1)"),
+            "misc": F.col("discount") * 50,
+        }
+        own = F.struct(F.col("sales_region_id").alias("region_id"))
+        total = F.struct(F.lit(999).cast("bigint").alias("region_id"))
+        sums = (
+            self.order_product.filter(F.col("delivery_month") < F.lit(REPORTED_BEFORE))
+            .groupBy("delivery_month", "sales_region_id")
+            .agg(*(F.sum((c * 10000).cast("decimal(38,0)")).alias(n) for n, c in parts.items()))
+            .select("delivery_month", *parts, F.inline(F.array(own, total)))
+            .groupBy("delivery_month", "region_id")
+            .agg(*(F.sum(n).alias(n) for n in parts))
+        )
 
-        def points(c: Column) -> Column:
-            bp = F.call_function("div", cents(c) * 10000, gross)
-            return dec(bp.cast("decimal(10,0)") * F.lit("0.0001").cast("decimal(5,4)"), "decimal(10,4)")
+        def points(n: str) -> Column:
+            bp = F.call_function("div", F.col(n) * 10000, F.col("gross")).cast("decimal(10,0)")
+            pct = dec(bp * F.lit("0.0001").cast("decimal(5,4)"), "decimal(10,4)")
+            return (-pct if n in ("inbound", "packaging") else pct).cast("string")
 
-        qty = F.col("quantity").cast("decimal(10,0)")
-        return (
-            self.order_product.filter(F.col("delivery_month") < F.lit(REPORTED_BEFORE))
-            .groupBy(*keys)
-            .agg(
-                F.sum("sub_total").cast("decimal(28,2)").alias("gross"),
-                (-points(F.col("product_refund_amount"))).alias("inbound"),
-                points(F.when(F.col("is_gm") == 0, F.col("sub_total")).otherwise(F.lit(0))).alias(
-                    "wh_labor"
-                ),
-                (-points(F.col("discount") * 100)).alias("packaging"),
-                points(qty * 10).alias("processing"),
-                points(qty * 20).alias("wh"),
-                points(F.col("product_price") * F.lit("0.5").cast("decimal(2,1)")).alias("ops"),
-                points(F.col("discount") * 50).alias("misc"),
-            )
+        title = F.coalesce(
+            title_of(F.col("region_id").cast("int"), SHEET_TITLES), F.lit("Total")
+        )
+        gross = (F.col("gross") * F.lit("0.0001").cast("decimal(5,4)")).cast("decimal(28,2)")
+        return sums.select(
+            "delivery_month",
+            "region_id",
+            title.alias("sales_region_title"),
+            gross.alias("gross"),
+            *(points(n).alias(f"{n}_pct") for n in parts if n != "gross"),
         )
 
     @cached_property
     def monthly_actual_pl(self) -> DataFrame:
-        month = F.col("delivery_month")
-        regional = self._rate_rows(
-            month, title_of(F.col("sales_region_id").cast("int"), SHEET_TITLES).alias("title")
-        )
-        total = self._rate_rows(month).withColumn("title", F.lit("Total"))
-        rows = regional.unionByName(total)
-        blank = F.col("title").isin("Florida", "Pantry")
-        names = ("inbound", "wh_labor", "packaging", "processing", "wh", "ops", "misc")
-        return rows.select(
-            month.cast("string").alias("delivery_month"),
-            F.col("title").alias("sales_region_title"),
-            F.when(blank, F.lit("")).otherwise(F.col("gross").cast("string")).alias("gross_rev"),
-            *(F.col(n).cast("string").alias(f"{n}_pct") for n in names),
+        blank = F.col("sales_region_title").isin("Florida", "Pantry")
+        gross = F.when(blank, F.lit("")).otherwise(F.col("gross").cast("string"))
+        return self._rates.select(
+            F.col("delivery_month").cast("string").alias("delivery_month"),
+            "sales_region_title",
+            gross.alias("gross_rev"),
+            *PCTS,
         )
 
     @cached_property
     def regional_pl(self) -> DataFrame:
-        """The nine regional sheets as one; each month label row and a blank heading row."""
+        """The nine regional sheets as one: each month's row, under it a row of blanks."""
         month = F.col("delivery_month")
-        region = F.col("sales_region_id").alias("region_id")
-        total = self._rate_rows(month).withColumn("region_id", F.lit(999).cast("bigint"))
-        rows = self._rate_rows(month, region).unionByName(total)
         label = F.concat(F.date_format(month, "MMM"), F.lit("'"), F.date_format(month, "yy"))
-        names = ("inbound", "wh_labor", "packaging", "processing", "wh", "ops", "misc")
-        title = F.coalesce(
-            title_of(F.col("region_id").cast("int"), SHEET_TITLES), F.lit("Total")
-        )
-        typed = rows.select(
-            "region_id",
-            title.alias("sales_region_title"),
-            label.alias("delivery_month"),
-            *(F.col(n).cast("string").alias(f"{n}_pct") for n in names),
-        )
-        heading = typed.select("region_id", "sales_region_title").distinct()
-        return typed.unionByName(
-            heading.select(
-                "region_id",
-                "sales_region_title",
-                F.lit("YTD").alias("delivery_month"),
-                *(F.lit("").alias(f"{n}_pct") for n in names),
-            )
+        lines = F.array(
+            F.struct(label.alias("delivery_month"), *(F.col(c).alias(c) for c in PCTS)),
+            F.struct(F.lit("YTD").alias("delivery_month"), *(F.lit("").alias(c) for c in PCTS)),
         )
+        return self._rates.select("region_id", "sales_region_title", F.inline(lines))
 
     def regional_sheet(self, region_id: int) -> DataFrame:
         return self.regional_pl.filter(F.col("region_id") == region_id)

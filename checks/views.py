@@ -154,7 +154,7 @@ VIEWS: dict[str, str] = {
         strftime(delivery_month, '%b') || '''' || strftime(delivery_month, '%y') AS delivery_month, {_PCTS}
       FROM v_rates
       UNION ALL
-      SELECT DISTINCT region_id, title, 'YTD', {_BLANKS} FROM v_rates""",
+      SELECT region_id, title, 'YTD', {_BLANKS} FROM v_rates""",
     "v_nj_labor": _labor_pct("NJ - New York", 7),
     "v_chi_labor": _labor_pct("IL - Chicago", 15),
     "v_dispatch": """

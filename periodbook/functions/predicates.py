@@ -43,5 +43,11 @@ def region_bucket() -> Column:
     return F.coalesce(*(F.when(cond, F.lit(b)) for b, cond in bucket_conditions().items()))
 
 
+def in_buckets(column: str = "bucket") -> dict[str, Column]:
+    """Bucket -> condition, once the label has been computed: the text tests run
+    once per row instead of once per output column."""
+    return {b: F.col(column) == b for b in dim.BUCKETS}
+
+
 def any_of(*conditions: Column) -> Column:
     return reduce(lambda a, b: a | b, conditions)

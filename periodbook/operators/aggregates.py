@@ -80,28 +80,45 @@ def with_company_total(
     group: Sequence[str],
     measures: Sequence[Column],
 ) -> DataFrame:
-    """Aggregate by ``group`` and append the company row of each period.
+    """Aggregate by ``group`` and add the company row of each period.
 
     The company row is computed from the same rows, not from the regional results,
     so distinct counts stay right.  ``key`` gives the constant member values.
-    Both branches aggregate the same frame: its shuffle is planned once and reused.
+    Each row is unfolded into its own and the company's entry, so ``df`` is computed
+    once; both entries meet the map-side combine before anything is shuffled.
     """
-    member_types = {f.name: f.dataType for f in df.schema}
-    regional = df.groupBy(*group).agg(*measures)
-    rest = [g for g in group if g not in key]
-    company = df.groupBy(*rest).agg(*measures)
-    for name, value in key.items():
-        company = company.withColumn(name, F.lit(value).cast(member_types[name]))
-    return regional.unionByName(company.select(*regional.columns))
+    types = {f.name: f.dataType for f in df.schema}
+    own = F.struct(*(F.col(k).alias(k) for k in key))
+    company = F.struct(*(F.lit(v).cast(types[k]).alias(k) for k, v in key.items()))
+    others = [F.col(c) for c in df.columns if c not in key]
+    rows = df.select(*others, F.inline(F.array(own, company)))
+    return rows.groupBy(*group).agg(*measures)
 
 
 def add_company_row(
-    df: DataFrame, period: str, region: str, measures: Sequence[str]
+    df: DataFrame,
+    period: str,
+    region: str,
+    measures: Sequence[str],
+    apart: Sequence[str] = (),
 ) -> DataFrame:
-    """Company row as the sum of regional rows; for additive measures only."""
-    company = df.groupBy(period).agg(*(F.sum(m).alias(m) for m in measures))
-    company = company.withColumn(region, F.lit(dim.COMPANY).cast(df.schema[region].dataType))
-    return df.select(period, region, *measures).unionByName(company)
+    """Sums per region and the company row as the sum of the regions' rows.
+
+    For additive measures only.  ``apart`` names columns that keep a region's rows
+    separate (and are dropped); the company row sums over all of them.
+    """
+    types = {f.name: f.dataType for f in df.schema}
+    own = F.struct(F.col(region), *(F.col(a) for a in apart))
+    company = F.struct(
+        F.lit(dim.COMPANY).cast(types[region]).alias(region),
+        *(F.lit(None).cast(types[a]).alias(a) for a in apart),
+    )
+    rows = df.select(period, *measures, F.inline(F.array(own, company)))
+    return (
+        rows.groupBy(period, region, *apart)
+        .agg(*(F.sum(m).alias(m) for m in measures))
+        .drop(*apart)
+    )
 
 
 def net_promoter_scores(

@@ -46,21 +46,29 @@ def distinct_counts(df: DataFrame, keys: Sequence[str], spec: CountSpec) -> Data
     text_ids = any(df.schema[col].dataType.typeName() == "string" for col in spec)
     id_type = "string" if text_ids else "bigint"
 
+    # conditions are evaluated in a projection of their own, where parts they have in
+    # common are computed once; the rows are only unfolded per id column after that
+    wide = df.select(
+        *keys,
+        *(F.col(col).cast(id_type).alias(f"_id{k}") for k, col in enumerate(packed)),
+        *(
+            word.alias(f"_w{k}_{i}")
+            for k, words in enumerate(packed.values())
+            for i, word in enumerate(words)
+        ),
+    )
     entries = [
         F.struct(
-            F.lit(kind).alias("_kind"),
-            F.col(col).cast(id_type).alias("_id"),
+            F.lit(k).alias("_kind"),
+            F.col(f"_id{k}").alias("_id"),
             *(
-                (words[i] if i < len(words) else zero).alias(names[i])
+                (F.col(f"_w{k}_{i}") if i < len(words) else zero).alias(names[i])
                 for i in range(width)
             ),
         )
-        for kind, (col, words) in enumerate(packed.items())
+        for k, words in enumerate(packed.values())
     ]
-    if len(entries) == 1:
-        rows = df.select(*keys, entries[0].alias("_e")).select(*keys, "_e.*")
-    else:
-        rows = df.select(*keys, F.explode(F.array(*entries)).alias("_e")).select(*keys, "_e.*")
+    rows = wide.select(*keys, F.inline(F.array(*entries)))
 
     per_id = rows.groupBy(*keys, "_kind", "_id").agg(
         *(F.bit_or(n).alias(n) for n in names)

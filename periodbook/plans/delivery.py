@@ -31,6 +31,7 @@ def delivery_cost(
         .filter(F.col("delivery_plan_type") == PLAN_TYPE)
         .groupBy(period, "sales_region_id")
         .agg((F.sum("total_delivery_cost") + F.sum("linehaul_cost")).alias("delivery_cost"))
+        .withColumn("kind", F.lit("dispatch"))
     )
     shipped = shipments.withColumn("_day", F.col("deal_delivery_date").try_cast("date"))
     shipped = pruned_scan(
@@ -40,8 +41,11 @@ def delivery_cost(
         day="_day",
     )
     mail = max_then_sum(shipped, [period], "wms_order_id", "rate", "delivery_cost").select(
-        period, F.lit(dim.MAIL_ORDER).cast("bigint").alias("sales_region_id"), "delivery_cost"
+        period,
+        F.lit(dim.MAIL_ORDER).cast("bigint").alias("sales_region_id"),
+        "delivery_cost",
+        F.lit("mail").alias("kind"),
     )
     return add_company_row(
-        local.unionByName(mail), period, "sales_region_id", ["delivery_cost"]
+        local.unionByName(mail), period, "sales_region_id", ["delivery_cost"], apart=["kind"]
     )

@@ -9,7 +9,7 @@ decimals after each product, so sums do not depend on row order.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 
@@ -30,7 +30,6 @@ from periodbook.functions.periods import (
 from periodbook.functions.scalars import as_money, lookup, safe_div
 from periodbook.operators.aggregates import add_company_row, share_of_total, sum_when
 from periodbook.operators.joins import value_of_member
-from periodbook.operators.sets import stack
 from periodbook.operators.windows import with_lag
 from periodbook.sources.sheets import SheetSpec, parse_sheet, union_sheets
 from periodbook.sources.tables import pruned_scan
@@ -361,38 +360,58 @@ def labor_final_by_region(base: DataFrame, labor: DataFrame) -> DataFrame:
     )
 
 
-def _mail_order_rows(final: DataFrame, period: str, zeros: Iterable[str]) -> DataFrame:
-    """Labour of mail order: what the regions passed on, as rows of region 3."""
-    both = F.sum("mo_outbound") + F.sum("mo_labor")
-    sums = final.groupBy(period).agg(
-        both.alias("total_cost"),
-        F.sum("mo_outbound").alias("mo_outbound"),
-        F.sum("mo_labor").alias("mo_labor"),
-        both.alias("final_labor_cost"),
+def _with_mail_order(final: DataFrame, period: str, measures: Sequence[str]) -> DataFrame:
+    """Regional rows and, as region 3, the labour the regions passed on to mail order.
+
+    One pass: each regional row yields its own entry and one for mail order, which
+    are summed per period.  An amount all regions lack stays NULL.
+    """
+    own = F.struct(
+        F.lit(False).alias("_mail"),
+        _region().alias("sales_region_id"),
+        *(F.col(m).alias(m) for m in measures),
+    )
+    passed = ("mo_outbound", "mo_labor")
+    mail = F.struct(
+        F.lit(True).alias("_mail"),
+        F.lit(dim.MAIL_ORDER).cast("bigint").alias("sales_region_id"),
+        *(
+            (F.col(m) if m in passed else as_money(F.lit(None))).alias(m)
+            for m in measures
+        ),
     )
+    sums = (
+        final.select(period, F.inline(F.array(own, mail)))
+        .groupBy(period, "_mail", "sales_region_id")
+        .agg(*(F.sum(m).alias(m) for m in measures))
+    )
+    both = F.col("mo_outbound") + F.col("mo_labor")
+    of_mail = {m: as_money(F.lit(0)) for m in measures if m not in passed}
+    of_mail |= {"total_cost": both, "final_labor_cost": both}
     return sums.select(
         period,
-        F.lit(dim.MAIL_ORDER).cast("bigint").alias("sales_region_id"),
-        "total_cost",
-        *(as_money(F.lit(0)).alias(z) for z in zeros),
-        "mo_outbound",
-        "mo_labor",
-        "final_labor_cost",
+        "_mail",
+        "sales_region_id",
+        *(
+            (F.when(F.col("_mail"), of_mail[m]).otherwise(F.col(m)) if m in of_mail else F.col(m))
+            .alias(m)
+            for m in measures
+        ),
     )
 
 
+def _mail_order_rows(final: DataFrame, period: str, measures: Sequence[str]) -> DataFrame:
+    return _with_mail_order(final, period, measures).filter("_mail").drop("_mail")
+
+
 def labor_mail_order(final: DataFrame) -> DataFrame:
-    return _mail_order_rows(
-        final, "entry_date", ["la_greater_labor_cost", "allo_dry_cost", "allo_nondry_cost"]
-    )
+    return _mail_order_rows(final, "entry_date", MONTHLY_MEASURES)
 
 
 def labor_period_rollup(final: DataFrame) -> DataFrame:
     """Month totals per region with mail order, and the company."""
-    daily = stack(final, labor_mail_order(final))
-    monthly = daily.groupBy(
-        month_start("entry_date").alias("delivery_month"), "sales_region_id"
-    ).agg(*(F.sum(m).alias(m) for m in MONTHLY_MEASURES))
+    daily = _with_mail_order(final, "entry_date", MONTHLY_MEASURES)
+    monthly = daily.withColumn("delivery_month", month_start("entry_date"))
     return add_company_row(monthly, "delivery_month", "sales_region_id", MONTHLY_MEASURES)
 
 
@@ -515,13 +534,11 @@ def weekly_labor_final(
 
 
 def weekly_labor_mail_order(final: DataFrame) -> DataFrame:
-    return _mail_order_rows(final, "entry_week", ["la_greater_labor_cost", "allo_cost"])
+    return _mail_order_rows(final, "entry_week", WEEKLY_MEASURES)
 
 
 def weekly_labor_rollup(final: DataFrame, cutover: Cutover = CUTOVER) -> DataFrame:
     """Fold cutover days back to their week; regions, mail order and company."""
-    rows = stack(final, weekly_labor_mail_order(final))
-    weekly = rows.groupBy(
-        reroll_cutover("entry_week", cutover.week).alias("delivery_week"), "sales_region_id"
-    ).agg(*(F.sum(m).alias(m) for m in WEEKLY_MEASURES))
+    rows = _with_mail_order(final, "entry_week", WEEKLY_MEASURES)
+    weekly = rows.withColumn("delivery_week", reroll_cutover("entry_week", cutover.week))
     return add_company_row(weekly, "delivery_week", "sales_region_id", WEEKLY_MEASURES)

@@ -83,58 +83,45 @@ def rate_card(rates: DataFrame, weekly_sales: DataFrame, as_of: date) -> DataFra
     """Rates to cost the weeks of the current month with, one row per region.
 
     The report averages over a cross product of (latest month's rates) x (last four
-    months) x (last four months) x (weeks).  The branches meet on the region alone,
-    so each average can be taken over its own rows and joined one to one.
+    months) x (last four months) x (weeks).  The branches meet on the region alone, so
+    the two four-month branches need not be multiplied: one pass over (last four months)
+    x (weeks) has every value the averages are taken over, each equally often.
     """
     last_week = shift_date(floor_date(as_of, "week"), "week", -1)
     month_before = shift_date(floor_date(last_week, "month"), "month", -1)
 
-    newest = rates.filter(F.col("rn") == 1)
-    recent = (
-        rates.filter(F.col("rn") <= 4)
-        .groupBy("region_id")
-        .agg(
-            exact_avg("inbound_pct").alias("avg_inbound_pct"),
-            exact_avg("packaging_pct").alias("avg_packaging_pct"),
-        )
-    )
     weeks = weekly_sales.filter(month_start("delivery_week") == F.lit(month_before)).select(
         F.col("sales_region_id").alias("region_id"), F.col("net_rev").cast("double").alias("_net")
     )
+    newest = F.col("rn") == 1
+
+    def latest(c: str) -> Column:
+        return F.max(F.when(newest, F.col(c)))
 
     def weekly_dollars(rate: str) -> Column:
-        return exact_avg(F.col(rate) * F.col("_net"))
+        return exact_avg(F.when(newest, F.col(rate) * F.col("_net")))
 
+    # each of a region's rates meets each of its weeks, which leaves averages as they are
     card = (
-        newest.join(weeks, "region_id", "left")
-        .groupBy("report_month", "region_id")
+        rates.filter(F.col("rn") <= 4)
+        .join(weeks, "region_id", "left")
+        .groupBy("region_id")
         .agg(
-            F.max("inbound_pct").alias("inbound_pct"),
-            F.max("packaging_pct").alias("packaging_pct"),
-            F.max("processing_fee_pct").alias("processing_fee_pct"),
-            F.max("wh_pct").alias("wh_pct"),
+            latest("report_month").alias("report_month"),
+            exact_avg("inbound_pct").alias("avg_inbound_pct"),
+            latest("inbound_pct").alias("inbound_pct"),
+            latest("packaging_pct").alias("packaging_pct"),
+            exact_avg("packaging_pct").alias("avg_packaging_pct"),
+            latest("processing_fee_pct").alias("processing_fee_pct"),
+            latest("wh_pct").alias("wh_pct"),
             weekly_dollars("wh_pct").alias("avg_wh_dollar_value"),
-            F.max("ops_pct").alias("ops_pct"),
+            latest("ops_pct").alias("ops_pct"),
             weekly_dollars("ops_pct").alias("avg_ops_dollar_value"),
-            F.max("misc_pct").alias("misc_pct"),
+            latest("misc_pct").alias("misc_pct"),
             weekly_dollars("misc_pct").alias("avg_misc_dollar_value"),
         )
     )
-    return card.join(recent, "region_id", "left").select(
-        "report_month",
-        "region_id",
-        "avg_inbound_pct",
-        "inbound_pct",
-        "packaging_pct",
-        "avg_packaging_pct",
-        "processing_fee_pct",
-        "wh_pct",
-        "avg_wh_dollar_value",
-        "ops_pct",
-        "avg_ops_dollar_value",
-        "misc_pct",
-        "avg_misc_dollar_value",
-    )
+    return card.select("report_month", *(c for c in card.columns if c != "report_month"))
 
 
 def weekly_rate_costs(

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from periodbook import dimensions as dim
-from periodbook.functions.periods import PeriodWindow, floor_date, is_immature, shift_date
+from periodbook.functions.periods import PeriodWindow, floor_date, is_immature, month_start, shift_date
 from periodbook.functions.predicates import fold_region
 from periodbook.functions.scalars import as_money, safe_div
 from periodbook.operators.aggregates import sum_when, with_company_total
@@ -120,23 +120,17 @@ def weekly_net_revenue(base: DataFrame, as_of: date, corrected: bool = False) ->
         refund = F.when(young, grown).otherwise(refund)
     rows = sums.withColumn("refund_rev", refund)
     if corrected and is_immature(as_of):
-        regional = (
-            rows.filter(region != dim.COMPANY)
-            .groupBy("delivery_week")
-            .agg(F.sum("refund_rev").alias("_regional_refund"))
-        )
-        rows = rows.join(regional, "delivery_week", "left").withColumn(
-            "refund_rev",
-            F.when(region == dim.COMPANY, as_money("_regional_refund")).otherwise(
-                F.col("refund_rev")
-            ),
+        regional = F.sum(F.when(region != dim.COMPANY, F.col("refund_rev"))).over(
+            Window.partitionBy("delivery_week")
         )
+        whole = F.when(region == dim.COMPANY, as_money(regional)).otherwise(F.col("refund_rev"))
+        rows = rows.withColumn("refund_rev", whole)
     coupon = F.col("total_coupon_rev") - F.lit(dim.NEW_USER_COUPON_VALUE) * F.col("new_user")
-    # a handful of rows by now, so the rank costs nothing here
-    ranked = week_rank_in_month(rows, "delivery_week")
-    return ranked.select(
+    # weeks x regions rows by now: a window over them is small
+    by_month = Window.partitionBy(month_start("delivery_week")).orderBy(F.desc("delivery_week"))
+    return rows.select(
         "delivery_week",
-        "rk",
+        F.dense_rank().over(by_month).alias("rk"),
         *REGION,
         F.lit(dim.REBATE_RATE).alias("rebate_rate"),
         "new_user",

@@ -24,7 +24,7 @@ from periodbook.functions.periods import (
     scorecard_window,
     shift_date,
 )
-from periodbook.functions.predicates import any_of, bucket_conditions
+from periodbook.functions.predicates import any_of, in_buckets, region_bucket
 from periodbook.functions.scalars import as_money, epoch_to_local, lookup, part_of, safe_div
 from periodbook.operators.aggregates import (
     avg_when,
@@ -194,7 +194,7 @@ def division_measures(value: Column, pattern: str) -> list[Column]:
 
 def return_measures() -> list[Column]:
     out = []
-    for b, inside in bucket_conditions().items():
+    for b, inside in in_buckets().items():
         out.append(sum_only(inside, _returned()).alias(f"refund_amount_{b}"))
         out.append(sum_only(inside, F.col("sub_total")).alias(f"gross_rev_{b}"))
     return out
@@ -207,18 +207,18 @@ def user_counts() -> dict[str, Column | None]:
 def new_user_counts() -> dict[str, Column | None]:
     new = F.col("daily_new_users_flag") == 1
     return {"new_users": new} | {
-        f"new_users_{b}": inside & new for b, inside in bucket_conditions().items()
+        f"new_users_{b}": inside & new for b, inside in in_buckets().items()
     }
 
 
 def active_user_counts() -> dict[str, Column | None]:
-    return {f"users_{b}": inside for b, inside in bucket_conditions().items()}
+    return {f"users_{b}": inside for b, inside in in_buckets().items()}
 
 
 def order_counts() -> dict[str, Column | None]:
     oos = F.col("is_gm") == 0
     out: dict[str, Column | None] = {"total_orders": None, "oos_orders": oos}
-    for b, inside in bucket_conditions().items():
+    for b, inside in in_buckets().items():
         out[f"total_orders_{b}"] = inside
         out[f"oos_orders_{b}"] = inside & oos
     return out
@@ -227,13 +227,14 @@ def order_counts() -> dict[str, Column | None]:
 def return_order_counts() -> dict[str, Column | None]:
     returned = _returned() > 0
     return {
-        f"return_orders_{b}": inside & returned for b, inside in bucket_conditions().items()
+        f"return_orders_{b}": inside & returned for b, inside in in_buckets().items()
     }
 
 
 def commerce_lines(t: Tables, r: Review) -> DataFrame:
     lines = r.scan(t["order_product"], "delivery_day", "order_day")
-    return lines.filter(F.col("order_biz_type") != dim.RESTAURANT_BIZ_TYPE)
+    kept = lines.filter(F.col("order_biz_type") != dim.RESTAURANT_BIZ_TYPE)
+    return kept.withColumn("bucket", region_bucket())
 
 
 def priced_commerce_lines(t: Tables, r: Review) -> DataFrame:
