@@ -513,18 +513,23 @@ class StandIns:
             F.struct(F.lit("month").alias("unit_type"), month_start(day).alias("unit")),
             F.struct(F.lit("quarter").alias("unit_type"), quarter_start(day).alias("unit")),
         )
-        rows = self.order_product.select(
-            F.inline(keys), "sub_total", "gm_margin", "daily_new_users_flag", "quantity"
+        daily = self.order_product.groupBy("delivery_day").agg(
+            F.sum("sub_total").alias("gross"),
+            F.sum("gm_margin").alias("gm"),
+            F.sum("daily_new_users_flag").alias("new"),
+            F.count("*").alias("lines"),
+            F.sum("quantity").alias("qty"),
         )
-        gross = F.sum("sub_total")
+        rows = daily.select(F.inline(keys), "gross", "gm", "new", "lines", "qty")
+        gross = F.sum("gross")
         up = F.lit("1.1").cast("decimal(2,1)")
         return rows.groupBy("unit_type", "unit").agg(
             dec(gross * up).alias("gross_rev_plan"),
             dec(gross).alias("net_rev_plan"),
-            dec(F.sum("gm_margin")).alias("gm_plan"),
-            F.sum("daily_new_users_flag").alias("new_users"),
-            F.count("*").alias("active_users"),
-            dec(F.sum("quantity")).alias("arpu_plan"),
+            dec(F.sum("gm")).alias("gm_plan"),
+            F.sum("new").alias("new_users"),
+            F.sum("lines").alias("active_users"),
+            dec(F.sum("qty")).alias("arpu_plan"),
         ).select(
             F.col("unit").cast("string").alias("delivery_unit"), "unit_type", "gross_rev_plan",
             "net_rev_plan", "gm_plan", "new_users", "active_users", "arpu_plan",
@@ -539,17 +544,32 @@ class StandIns:
 
     @cached_property
     def division_plan(self) -> DataFrame:
+        """Margin per division and month, from lines and parts alone."""
+        sold = self.raw("lineitem").join(self.raw("part"), F.col("l_partkey") == F.col("p_partkey"))
+        price = F.col("l_extendedprice").cast("decimal(18,2)")
+        missing = (F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "F")
+        margin = F.when(missing, F.lit(0)).otherwise(price - price * F.lit("0.7").cast("decimal(2,1)"))
+        brand = F.substring_index("p_brand", "#", -1).cast("int")
+        rows = sold.select(
+            month_start(F.col("l_shipdate").cast("date")).alias("month"),
+            pick(DIVISION_LIST, brand % 6).alias("division"),
+            margin.alias("margin"),
+        )
+
         def plan(title: str) -> Column:
-            return dec(F.sum(F.when(F.col("division") == title, F.col("gm_margin")).otherwise(F.lit(0))))
+            return dec(F.sum(F.when(F.col("division") == title, F.col("margin")).otherwise(F.lit(0))))
 
-        return self.order_product.groupBy("delivery_month").agg(
+        return rows.groupBy("month").agg(
             plan("Dairy/Deli").alias("dairy_deli"),
             plan("Protein").alias("protein"),
             plan("Frozen").alias("frozen"),
             plan("Produce").alias("produce"),
             plan("Dry Grocery").alias("dry_grocery"),
             plan("GM & HBC").alias("gm_hbc"),
-        ).withColumn("delivery_month", F.col("delivery_month").cast("string"))
+        ).select(
+            F.col("month").cast("string").alias("delivery_month"), "dairy_deli", "protein", "frozen",
+            "produce", "dry_grocery", "gm_hbc",
+        )
 
     @cached_property
     def order_case_details(self) -> DataFrame:

@@ -42,15 +42,19 @@ def attach_to_segment(
     segment_col: str,
     segment: str,
     extras: Sequence[tuple[DataFrame, str]],
+    unbounded: Sequence[tuple[DataFrame, str]] = (),
 ) -> DataFrame:
     """Attach period-level results to the rows of one segment only.
 
-    ``extras`` are ``(frame, its period column)``; each is aggregated to about one
-    row per period of the window (some fifteen rows), hence the broadcast.
+    ``extras`` are ``(frame, its period column)`` aggregated to one row per period of
+    the window (some fifteen rows), hence the broadcast.  Frames whose rows per period
+    depend on a sheet go into ``unbounded``; for them Spark picks the join by size.
     """
-    for extra, key in extras:
-        cond = (base[period] == extra[key]) & (base[segment_col] == F.lit(segment))
-        base = base.join(F.broadcast(extra), cond, "left").drop(extra[key])
+    for frames, bounded in ((extras, True), (unbounded, False)):
+        for extra, key in frames:
+            cond = (base[period] == extra[key]) & (base[segment_col] == F.lit(segment))
+            right = F.broadcast(extra) if bounded else extra
+            base = base.join(right, cond, "left").drop(extra[key])
     return base
 
 
@@ -84,7 +88,9 @@ def interval_join(
     its days and an event only meets the intervals of its day.
     """
     cols = [*dict.fromkeys([*on.values(), start, end, *keep])]
-    r = right.select(*(F.col(c).alias(f"_r_{c}") for c in cols))
+    r = right.filter(F.col(start) < F.col(end)).select(
+        *(F.col(c).alias(f"_r_{c}") for c in cols)
+    )
     cond = (F.col(event_time) >= F.col(f"_r_{start}")) & (
         F.col(event_time) < F.col(f"_r_{end}")
     )

@@ -143,7 +143,7 @@ def weekly_rate_costs(
 
     shown = sales.filter(window.holds("delivery_week"))
     return (
-        shown.join(F.broadcast(rates), "sales_region_id", "left")
+        shown.join(rates, "sales_region_id", "left")
         .select(
             *sales.columns,
             rate("avg_inbound_pct", "inbound_pct").alias("inbound_rev"),

@@ -589,11 +589,14 @@ def scorecard(t: Tables, r: Review) -> DataFrame:
 
     A period without a gate row shows no company metrics.
     """
-    extras = []
+    sets: dict[bool, list[tuple[DataFrame, str]]] = {True: [], False: []}
     for metric in COMPANY_METRICS:
         key = f"_{metric.__name__}"
-        extras.append((metric(t, r).withColumnRenamed(UNIT, key), key))
-    return attach_to_segment(commerce_block(t, r), UNIT, SEGMENT, r.gate, extras)
+        from_sheet = metric in (plan_targets, split_week_plan)
+        sets[from_sheet].append((metric(t, r).withColumnRenamed(UNIT, key), key))
+    return attach_to_segment(
+        commerce_block(t, r), UNIT, SEGMENT, r.gate, sets[False], unbounded=sets[True]
+    )
 
 
 def scorecard_report(t: Tables, r: Review) -> DataFrame:
