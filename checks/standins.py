@@ -349,7 +349,8 @@ class StandIns:
 
     @cached_property
     def sales_org_price_region(self) -> DataFrame:
-        orgs = self.order_product.select("sales_org_id").distinct()
+        org = pick(REGION_IDS, F.col("c_nationkey") % 9).cast("bigint")
+        orgs = self.raw("customer").select(org.alias("sales_org_id")).distinct()
         return orgs.select("sales_org_id", (1 + F.col("sales_org_id") % 4).alias("price_region_id"))
 
     @cached_property

@@ -186,8 +186,9 @@ VIEWS: dict[str, str] = {
       SELECT p_partkey + 500, s + 10 * 86400, s + 40 * 86400, {listed(st.REASONS, '(p_partkey + 1) % 7')}
       FROM (SELECT p_partkey, {st.SPECIALS_START} + (p_partkey % 90) * 86400 AS s FROM part) b
       WHERE p_partkey % 5 = 0""",
-    "v_price_region": """
-      SELECT DISTINCT sales_org_id, 1 + sales_org_id % 4 AS price_region_id FROM v_op""",
+    "v_price_region": f"""
+      SELECT org AS sales_org_id, 1 + org % 4 AS price_region_id
+      FROM (SELECT DISTINCT CAST({REGION} AS BIGINT) AS org FROM customer) c""",
     "v_revenue": """
       SELECT delivery_week, delivery_month, delivery_day, discount,
         CAST(quantity % 5 AS DECIMAL(18,4)) AS expense_pct, sub_total AS revenue,

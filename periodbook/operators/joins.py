@@ -15,6 +15,15 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def broadcast_if_few(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint for a lookup table that is small; left to Spark when it is not.
+
+    Joining a fact to a lookup whose size Spark cannot estimate would shuffle the fact
+    on the lookup key, where one member may hold much of the rows.
+    """
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+
+
 def left_filtered(left: DataFrame, right: DataFrame, cond: Column) -> DataFrame:
     """Left join that keeps every left row, also those failing a left-side predicate."""
     return left.join(right, cond, "left")

@@ -133,13 +133,17 @@ def coupon_spend(
     discounts: DataFrame,
     start: date = BOOKING_START,
     corrected: bool = False,
+    window: PeriodWindow | None = None,
 ) -> DataFrame:
     """New-user coupon amounts by order day and by delivery day.
 
     An order's amount counts once per use of a coupon code on it (``corrected``: once).
     The uses are counted per order first, so nothing fans out.  Both day views come
-    from one pass: each order yields an entry for either day.
+    from one pass: each order yields an entry for either day.  ``window`` limits the
+    days of the result and lets older orders go unread.
     """
+    if window is not None:
+        orders = orders.filter(window.holds_day("order_day") | window.holds_day("delivery_day"))
     rows = orders.filter(
         (F.col("payment_mode") == "F")
         & (F.col("discount") > 0)
@@ -177,10 +181,11 @@ def coupon_spend(
             amount.cast(MONEY_SUM).alias("_earned"),
         ),
     )
+    by_day = rows.select(F.inline(entries)).filter(F.col(DAY[0]) >= F.lit(start))
+    if window is not None:
+        by_day = by_day.filter(window.holds_day(DAY[0]))
     return (
-        rows.select(F.inline(entries))
-        .filter(F.col(DAY[0]) >= F.lit(start))
-        .groupBy(*DAY)
+        by_day.groupBy(*DAY)
         .agg(
             F.sum("_booked").alias("new_user_book_coupon_amount"),
             F.sum("_earned").alias("new_user_rev_coupon_amount"),
@@ -188,15 +193,30 @@ def coupon_spend(
     )
 
 
-def referral_spend(points: DataFrame, start: date = BOOKING_START) -> DataFrame:
-    """Referral points per local day in dollars; each row is cut to whole dollars."""
+def referral_spend(
+    points: DataFrame, start: date = BOOKING_START, window: PeriodWindow | None = None
+) -> DataFrame:
+    """Referral points per local day in dollars; each row is cut to whole dollars.
+
+    A local day is within a day of the UTC date, so ``window`` also gives a loose bound
+    on the stored time that scans can use.
+    """
+    if window is not None:
+        stored = F.col("rec_create_time")
+        points = points.filter(
+            (stored >= F.lit(window.first_day - timedelta(days=1)).cast("timestamp_ntz"))
+            & (stored < F.lit(window.day_after + timedelta(days=2)).cast("timestamp_ntz"))
+        )
     local_day = utc_to_local("rec_create_time", dim.LOCAL_ZONE).cast("date")
-    return (
+    daily = (
         points.filter(F.col("type") == dim.REFERRAL_POINTS)
         .select(local_day.alias(DAY[0]), whole_div("points", 100).alias("_dollars"))
         .filter(F.col(DAY[0]) >= F.lit(start))
-        .groupBy(DAY[0], week_start(DAY[0]).alias(DAY[1]))
-        .agg(F.sum("_dollars").alias("referral_cost"))
+    )
+    if window is not None:
+        daily = daily.filter(window.holds_day(DAY[0]))
+    return daily.groupBy(DAY[0], week_start(DAY[0]).alias(DAY[1])).agg(
+        F.sum("_dollars").alias("referral_cost")
     )
 
 
@@ -280,24 +300,26 @@ def acquisition_cost(
     orders = t["orders"]
     window: PeriodWindow = scorecard_window(as_of, unit)
     in_window = window.holds_day(DAY[0])
+    # the day range goes on both inputs: no filter passes a full outer join by itself
     buyers = full_outer_zero(
-        new_buyers_by_order_day(orders, as_of, start, "booked"),
-        new_buyers_by_delivery_day(orders, as_of, start, "earned"),
+        new_buyers_by_order_day(orders, as_of, start, "booked").filter(in_window),
+        new_buyers_by_delivery_day(orders, as_of, start, "earned").filter(in_window),
         [*DAY, *SEGMENT],
         ["booked", "earned"],
     )
-    daily = (
-        buyers.filter(in_window).groupBy(*DAY).agg(F.sum("earned").alias("revenue_new_user"))
-    )
-    for spend in (
+    daily = buyers.groupBy(*DAY).agg(F.sum("earned").alias("revenue_new_user"))
+    spends = (
         coupon_spend(
-            orders, t["coupon_use"], t["coupon_code"], t["order_discount"], start, corrected
+            orders, t["coupon_use"], t["coupon_code"], t["order_discount"], start, corrected, window
         ),
-        marketing_spend(t["marketing_spend"]),
-        referral_spend(t["user_points"], start),
-        other_spend(orders, t["mkt_other_spend"], t["marketing_spend"], overhead_start, corrected),
-    ):
-        daily = daily.join(spend.filter(in_window), DAY, "left")
+        marketing_spend(t["marketing_spend"]).filter(in_window),
+        referral_spend(t["user_points"], start, window),
+        other_spend(
+            orders, t["mkt_other_spend"], t["marketing_spend"], overhead_start, corrected
+        ).filter(in_window),
+    )
+    for spend in spends:
+        daily = daily.join(spend, DAY, "left")
     periods = daily.withColumn(period, period_key(DAY[0], unit)).filter(window.holds(period))
     sums = periods.groupBy(period).agg(
         F.sum("revenue_new_user").alias("revenue_new_user"),

@@ -172,11 +172,19 @@ def weekly_labor_by_warehouse(
     )
 
 
-def la_greater_cost(labor: DataFrame, key: Column, out: str) -> DataFrame:
-    """Labour of the second Los Angeles site per key; joins decide the periods kept."""
+def la_greater_cost(
+    labor: DataFrame, key: Column, out: str, window: PeriodWindow | None = None
+) -> DataFrame:
+    """Labour of the second Los Angeles site per key.
+
+    The join to the other sites decides which periods count; ``window`` names their
+    days so that older labour is not read at all.
+    """
     rows = labor.filter(
         (F.col("filter_flag") == "N") & (F.col("warehouse") == dim.LA_GREATER_WAREHOUSE)
     )
+    if window is not None:
+        rows = rows.filter(window.holds_day("entry_date"))
     return rows.groupBy(key.alias(out)).agg(F.sum("labor_cost").alias("_la_greater"))
 
 
@@ -314,13 +322,15 @@ def labor_allocation_base(
     )
 
 
-def labor_final_by_region(base: DataFrame, labor: DataFrame) -> DataFrame:
+def labor_final_by_region(
+    base: DataFrame, labor: DataFrame, window: PeriodWindow | None = None
+) -> DataFrame:
     """Move the allocated labour: out of Los Angeles, into the Bay Area, out to mail order.
 
     A missing share leaves the amount unknown (NULL), never zero.
     """
     la = _is(dim.LOS_ANGELES)
-    extra = la_greater_cost(labor, F.col("entry_date"), "_date")
+    extra = la_greater_cost(labor, F.col("entry_date"), "_date", window)
     rows = base.withColumns(
         {
             "_la_dry": value_of_member("allo_dry_cost", la, "entry_date"),
@@ -502,11 +512,14 @@ def weekly_labor_allocation_base(
 
 
 def weekly_labor_final(
-    base: DataFrame, labor: DataFrame, cutover: Cutover = CUTOVER
+    base: DataFrame,
+    labor: DataFrame,
+    cutover: Cutover = CUTOVER,
+    window: PeriodWindow | None = None,
 ) -> DataFrame:
     la = _is(dim.LOS_ANGELES)
     key = split_cutover("entry_week", "entry_date", cutover.week)
-    extra = la_greater_cost(labor, key, "_key")
+    extra = la_greater_cost(labor, key, "_key", window)
     rows = base.withColumn("_la_allo", value_of_member("allo_cost", la, "entry_week"))
     rows = rows.join(extra, la & (F.col("entry_week") == F.col("_key")), "left")
     greater = F.coalesce(as_money("_la_greater"), as_money(F.lit(0)))

@@ -49,7 +49,9 @@ def labor_base(t: Tables, as_of: date, cutover: labor.Cutover = labor.CUTOVER) -
 
 
 def labor_final(t: Tables, as_of: date, cutover: labor.Cutover = labor.CUTOVER) -> DataFrame:
-    return labor.labor_final_by_region(labor_base(t, as_of, cutover), t["labor_cost_detail"])
+    return labor.labor_final_by_region(
+        labor_base(t, as_of, cutover), t["labor_cost_detail"], trailing(as_of, "month", 1)
+    )
 
 
 def labor_rollup(t: Tables, as_of: date, cutover: labor.Cutover = labor.CUTOVER) -> DataFrame:

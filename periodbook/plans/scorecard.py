@@ -35,7 +35,7 @@ from periodbook.operators.aggregates import (
     sum_when,
 )
 from periodbook.operators.distincts import distinct_counts, distinct_pivot
-from periodbook.operators.joins import attach_to_segment, fits_broadcast, interval_join
+from periodbook.operators.joins import attach_to_segment, broadcast_if_few, fits_broadcast, interval_join
 from periodbook.operators.sets import append_comparison
 from periodbook.plans import acquisition
 from periodbook.sources.tables import Tables, pruned_scan
@@ -129,7 +129,7 @@ def with_price_reason(
     """
     no_reason = F.col("discount_reason").isNull()
     pantry_region = lookup("sales_org_id", dim.PANTRY_PRICE_REGIONS).cast("bigint")
-    keyed = lines.join(price_regions, "sales_org_id", "left").withColumn(
+    keyed = lines.join(broadcast_if_few(price_regions), "sales_org_id", "left").withColumn(
         "_pantry_region", pantry_region
     )
     few = fits_broadcast(windows)

@@ -67,8 +67,9 @@ def labor_base(t: Tables, as_of: date, cutover: labor.Cutover = labor.CUTOVER) -
 
 def labor_final(t: Tables, as_of: date, cutover: labor.Cutover = labor.CUTOVER) -> DataFrame:
     return labor.weekly_labor_final(
-        labor_base(t, as_of, cutover), t["labor_cost_detail"], cutover
-    )
+        labor_base(t, as_of, cutover), t["labor_cost_detail"], cutover,
+        trailing(as_of, "week", WEEKS_SHOWN),
+    )
 
 
 def labor_rollup(t: Tables, as_of: date, cutover: labor.Cutover = labor.CUTOVER) -> DataFrame:
