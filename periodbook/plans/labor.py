@@ -28,7 +28,7 @@ from periodbook.functions.periods import (
     week_start,
 )
 from periodbook.functions.scalars import as_money, lookup, safe_div
-from periodbook.operators.aggregates import add_company_row, share_of_total, sum_when
+from periodbook.operators.aggregates import add_company_row, share_of_total, sum_only, sum_when
 from periodbook.operators.joins import value_of_member
 from periodbook.operators.windows import with_lag
 from periodbook.sources.sheets import SheetSpec, parse_sheet, union_sheets
@@ -264,6 +264,109 @@ def mail_order_share(lines: DataFrame, as_of: date) -> DataFrame:
     return _mail_order_share(rows, "delivery_day")
 
 
+# --- all shares at once -----------------------------------------------------------
+
+
+def _inventory(title: str) -> Column:
+    return F.col("inventory_title") == title
+
+
+def _other_regions() -> Column:
+    """Regions booked under mail order in La Mirada's split, an unknown region included."""
+    return ~F.coalesce(_is(dim.BAY_AREA, dim.LOS_ANGELES), F.lit(False))
+
+
+def _mail_sums() -> list[Column]:
+    out = []
+    for name, title in (("_chi", dim.CHICAGO_INVENTORY), ("_ny", dim.NEW_YORK_INVENTORY)):
+        out.append(sum_when(_inventory(title) & _mail_order_line(), "sub_total").alias(f"{name}_mo"))
+        out.append(sum_only(_inventory(title), "sub_total").alias(f"{name}_all"))
+    return out
+
+
+def _mail_pct() -> Column:
+    """Mail-order share of the row's own warehouse."""
+    return F.when(_is(dim.CHICAGO), safe_div("_chi_mo", "_chi_all")).when(
+        _is(dim.NEW_YORK), safe_div("_ny_mo", "_ny_all")
+    )
+
+
+def _shared_inventories(rows: DataFrame) -> DataFrame:
+    return rows.filter(
+        F.col("inventory_title").isin(
+            dim.LA_MIRADA, dim.CHICAGO_INVENTORY, dim.NEW_YORK_INVENTORY
+        )
+    )
+
+
+def daily_share_row(lines: DataFrame, as_of: date, cutover: Cutover) -> DataFrame:
+    """One row per day with the shares of :func:`cutover_share` and
+    :func:`mail_order_share` that the allocation looks up, from one pass over the lines.
+    """
+    rows = _pnl_lines(lines, trailing(as_of, "month", 1), "delivery_month")
+    dry = _inventory(dim.LA_MIRADA) & (F.col("division") == dim.DRY_DIVISION)
+    nondry = _inventory(dim.LA_MIRADA) & (F.col("division") != dim.DRY_DIVISION)
+    bay = _is(dim.BAY_AREA)
+    sums = (
+        _shared_inventories(rows)
+        .groupBy(F.col("delivery_day").alias("entry_date"))
+        .agg(
+            sum_only(dry & _other_regions(), "sub_total").alias("_dry_mo"),
+            sum_only(dry & bay, "sub_total").alias("_dry_bay"),
+            sum_only(dry, "sub_total").alias("_dry_all"),
+            sum_only(nondry & bay, "sub_total").alias("_nondry_bay"),
+            sum_only(nondry & _is(dim.BAY_AREA, dim.LOS_ANGELES), "sub_total").alias("_nondry_all"),
+            *_mail_sums(),
+        )
+    )
+    before = F.col("entry_date") < F.lit(cutover.day)
+    nondry_pct = F.when(before, F.lit(0.0)).otherwise(
+        F.coalesce(safe_div("_nondry_bay", "_nondry_all"), F.lit(0.0))
+    )
+    return sums.withColumns(
+        {
+            "_mo_pct": safe_div("_dry_mo", "_dry_all"),
+            "_bay_pct": safe_div("_dry_bay", "_dry_all"),
+            # the share table has a Bay row only on days with dry sales to the Bay
+            "_bay_nondry_pct": F.when(F.col("_dry_bay").isNotNull(), nondry_pct),
+        }
+    )
+
+
+def weekly_share_row(lines: DataFrame, as_of: date, cutover: Cutover) -> DataFrame:
+    """One row per week (cutover week: per day) with the shares of
+    :func:`weekly_la_share` and :func:`weekly_mail_order_share` for the allocation."""
+    rows = _pnl_lines(lines, trailing(as_of, "week", 4), "delivery_week")
+    here = _inventory(dim.LA_MIRADA) & (F.col("payment_mode") == "F")
+    dry = here & (F.col("storage_type") == "N")
+    bay = _is(dim.BAY_AREA)
+    sums = (
+        _shared_inventories(rows)
+        .groupBy(
+            split_cutover("delivery_week", "delivery_day", cutover.week).alias("entry_week")
+        )
+        .agg(
+            sum_when(dry & _other_regions(), "sub_total").alias("_dry_mo"),
+            sum_when(dry & bay, "sub_total").alias("_dry_bay"),
+            sum_when(dry, "sub_total").alias("_dry_all"),
+            sum_only(here & _other_regions(), "sub_total").alias("_gross_mo"),
+            sum_only(here & bay, "sub_total").alias("_gross_bay"),
+            sum_only(here, "sub_total").alias("_gross_all"),
+            *_mail_sums(),
+        )
+    )
+    before = F.col("entry_week") < F.lit(cutover.day)
+    bay_pct = F.when(before, safe_div("_dry_bay", "_dry_all")).otherwise(
+        safe_div("_gross_bay", "_gross_all")
+    )
+    return sums.withColumns(
+        {
+            "_mo_pct": F.when(F.col("_gross_mo").isNotNull(), safe_div("_dry_mo", "_dry_all")),
+            "_bay_pct": F.when(F.col("_gross_bay").isNotNull(), bay_pct),
+        }
+    )
+
+
 # --- allocation, monthly ------------------------------------------------------
 
 
@@ -279,21 +382,12 @@ def labor_allocation_base(
     cutover: Cutover = CUTOVER,
 ) -> DataFrame:
     """Per day and region: cost, mail-order parts, and what Los Angeles did for the Bay."""
-    cost = labor_by_warehouse(labor, as_of)
-    shares = cutover_share(lines, as_of, cutover)
-    # one row per day with both roles of the share table side by side
-    by_day = shares.groupBy("delivery_day").agg(
-        F.max(F.when(_is(dim.MAIL_ORDER), F.col("dry_rev_pct"))).alias("_mo_dry"),
-        F.max(F.when(_is(dim.BAY_AREA), F.col("dry_rev_pct"))).alias("_bay_dry"),
-        F.max(F.when(_is(dim.BAY_AREA), F.col("nondry_rev_pct"))).alias("_bay_nondry"),
-    )
-    mail = mail_order_share(lines, as_of).withColumnRenamed("delivery_day", "entry_date")
     pct = inbound_labor_pct_monthly(sheets, as_of).withColumnRenamed(
         "delivery_week", "entry_week"
     )
     joined = (
-        cost.join(by_day.withColumnRenamed("delivery_day", "entry_date"), "entry_date", "left")
-        .join(mail, ["entry_date", "sales_region_id"], "left")
+        labor_by_warehouse(labor, as_of)
+        .join(daily_share_row(lines, as_of, cutover), "entry_date", "left")
         .join(pct, ["entry_week", "sales_region_id"], "left")
     )
     inbound = F.coalesce("inbound_pct", "lag_inbound_pct")
@@ -305,18 +399,18 @@ def labor_allocation_base(
         as_money("total_cost").alias("total_cost"),
         as_money("dry_cost").alias("dry_cost"),
         as_money("nondry_cost").alias("nondry_cost"),
-        F.when(in_la, _times("dry_cost", F.col("_mo_dry")))
+        F.when(in_la, _times("dry_cost", F.col("_mo_pct")))
         .otherwise(as_money("mo_outbound"))
         .alias("mo_outbound"),
         F.when(
-            _is(dim.CHICAGO, dim.NEW_YORK), _times("total_cost", inbound, F.col("mo_pct"))
+            _is(dim.CHICAGO, dim.NEW_YORK), _times("total_cost", inbound, _mail_pct())
         )
         .otherwise(as_money(F.lit(0)))
         .alias("mo_labor"),
-        F.when(in_la, _times("dry_cost", F.col("_bay_dry")))
+        F.when(in_la, _times("dry_cost", F.col("_bay_pct")))
         .otherwise(as_money(F.lit(0)))
         .alias("allo_dry_cost"),
-        F.when(in_la, _times("nondry_cost", F.col("_bay_nondry")))
+        F.when(in_la, _times("nondry_cost", F.col("_bay_nondry_pct")))
         .otherwise(as_money(F.lit(0)))
         .alias("allo_nondry_cost"),
     )
@@ -471,21 +565,11 @@ def weekly_labor_allocation_base(
     labor: DataFrame, lines: DataFrame, sheets: Iterable[DataFrame], as_of: date,
     cutover: Cutover = CUTOVER,
 ) -> DataFrame:
-    cost = weekly_labor_by_warehouse(labor, as_of, cutover)
-    shares = weekly_la_share(lines, as_of, cutover).groupBy(
-        F.col("delivery_week").alias("entry_week")
-    ).agg(
-        F.max(F.when(_is(dim.MAIL_ORDER), F.col("rev_pct"))).alias("_mo_pct"),
-        F.max(F.when(_is(dim.BAY_AREA), F.col("rev_pct"))).alias("_bay_pct"),
-    )
-    mail = weekly_mail_order_share(lines, as_of, cutover).withColumnRenamed(
-        "delivery_week", "entry_week"
-    )
     # the sheet is by week; cutover days look up the week they belong to
     pct = inbound_labor_pct_weekly(sheets, as_of).withColumnRenamed("delivery_week", "_week")
     joined = (
-        cost.join(shares, "entry_week", "left")
-        .join(mail, ["entry_week", "sales_region_id"], "left")
+        weekly_labor_by_warehouse(labor, as_of, cutover)
+        .join(weekly_share_row(lines, as_of, cutover), "entry_week", "left")
         .withColumn("_week", week_start("entry_week"))
         .join(pct, ["_week", "sales_region_id"], "left")
     )
@@ -500,7 +584,7 @@ def weekly_labor_allocation_base(
         as_money("mo_outbound").alias("mo_outbound"),
         F.when(
             _is(dim.CHICAGO, dim.NEW_YORK),
-            _times("total_cost", F.col("inbound_pct"), F.col("mo_pct")),
+            _times("total_cost", F.col("inbound_pct"), _mail_pct()),
         )
         .when(in_la, _times("dry_cost", F.col("_mo_pct")))
         .otherwise(as_money(F.lit(0)))
