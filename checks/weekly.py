@@ -261,7 +261,7 @@ PNL_OUT = PNL_BASE_OUT.replace("l: rk ", "l: ")
 
 reg.add(
     "weekly_order_grain_base",
-    lambda t: weekly.revenue.with_week_rank(weekly.order_grain_base(t, AS_OF)),
+    lambda t: weekly.ranked_order_grain(t, AS_OF),
     query(_select(GRAIN_OUT.format(p="delivery_week") + "; l: rk", "ranked"), **grain),
 )
 reg.add(

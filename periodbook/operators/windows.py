@@ -37,12 +37,15 @@ def rank_newest(df: DataFrame, member: str, period: str, out: str = "rn") -> Dat
     return df.join(r, cond).select(*df.columns, out)
 
 
-def week_rank_in_month(df: DataFrame, week: str, out: str = "rk") -> DataFrame:
+def week_rank_in_month(
+    df: DataFrame, week: str, out: str = "rk", present: DataFrame | None = None
+) -> DataFrame:
     """Dense rank of the weeks present in each month, newest first.
 
-    Ranked over the distinct weeks (as many as the window has) and joined back.
+    Ranked over the distinct weeks (some fifty a year) and joined back.  ``present``
+    gives the weeks where they can be had for less than by computing ``df`` twice.
     """
-    weeks = df.select(week).distinct()
+    weeks = (df if present is None else present).select(week).distinct()
     w = Window.partitionBy(month_start(week)).orderBy(F.col(week).desc())
     ranks = weeks.withColumn(out, F.dense_rank().over(w))
     return df.join(F.broadcast(ranks), week).select(*df.columns, out)

@@ -31,6 +31,7 @@ from periodbook.functions.scalars import as_money, lookup, safe_div
 from periodbook.operators.aggregates import add_company_row, share_of_total, sum_only, sum_when
 from periodbook.operators.joins import value_of_member
 from periodbook.operators.windows import with_lag
+from periodbook.plans.revenue import pnl_lines
 from periodbook.sources.sheets import SheetSpec, parse_sheet, union_sheets
 from periodbook.sources.tables import pruned_scan
 
@@ -83,12 +84,6 @@ def _mail_order_line() -> Column:
     )
 
 
-def _pnl_lines(lines: DataFrame, window: PeriodWindow, period: str) -> DataFrame:
-    return pruned_scan(lines, F.col(period), window, day="delivery_day").filter(
-        F.col("order_biz_type").isin(*dim.PNL_BIZ_TYPES)
-    )
-
-
 # --- inputs ------------------------------------------------------------------
 
 
@@ -192,7 +187,7 @@ def la_greater_cost(
 
 
 def _la_mirada(lines: DataFrame, as_of: date) -> DataFrame:
-    rows = _pnl_lines(lines, trailing(as_of, "month", 1), "delivery_month")
+    rows = pnl_lines(lines, "delivery_month", trailing(as_of, "month", 1))
     return rows.filter(F.col("inventory_title") == dim.LA_MIRADA)
 
 
@@ -260,7 +255,7 @@ def _mail_order_share(rows: DataFrame, period: str) -> DataFrame:
 
 def mail_order_share(lines: DataFrame, as_of: date) -> DataFrame:
     """Mail-order part of Chicago's and New York's revenue per day."""
-    rows = _pnl_lines(lines, trailing(as_of, "month", 1), "delivery_month")
+    rows = pnl_lines(lines, "delivery_month", trailing(as_of, "month", 1))
     return _mail_order_share(rows, "delivery_day")
 
 
@@ -303,7 +298,7 @@ def daily_share_row(lines: DataFrame, as_of: date, cutover: Cutover) -> DataFram
     """One row per day with the shares of :func:`cutover_share` and
     :func:`mail_order_share` that the allocation looks up, from one pass over the lines.
     """
-    rows = _pnl_lines(lines, trailing(as_of, "month", 1), "delivery_month")
+    rows = pnl_lines(lines, "delivery_month", trailing(as_of, "month", 1))
     dry = _inventory(dim.LA_MIRADA) & (F.col("division") == dim.DRY_DIVISION)
     nondry = _inventory(dim.LA_MIRADA) & (F.col("division") != dim.DRY_DIVISION)
     bay = _is(dim.BAY_AREA)
@@ -336,7 +331,7 @@ def daily_share_row(lines: DataFrame, as_of: date, cutover: Cutover) -> DataFram
 def weekly_share_row(lines: DataFrame, as_of: date, cutover: Cutover) -> DataFrame:
     """One row per week (cutover week: per day) with the shares of
     :func:`weekly_la_share` and :func:`weekly_mail_order_share` for the allocation."""
-    rows = _pnl_lines(lines, trailing(as_of, "week", 4), "delivery_week")
+    rows = pnl_lines(lines, "delivery_week", trailing(as_of, "week", 4))
     here = _inventory(dim.LA_MIRADA) & (F.col("payment_mode") == "F")
     dry = here & (F.col("storage_type") == "N")
     bay = _is(dim.BAY_AREA)
@@ -525,7 +520,7 @@ def labor_period_rollup(final: DataFrame) -> DataFrame:
 def weekly_la_share(lines: DataFrame, as_of: date, cutover: Cutover = CUTOVER) -> DataFrame:
     """La Mirada's revenue split: Bay by dry revenue up to the cutover and by gross
     revenue from then on, mail order by dry revenue, Los Angeles itself 0."""
-    rows = _pnl_lines(lines, trailing(as_of, "week", 4), "delivery_week").filter(
+    rows = pnl_lines(lines, "delivery_week", trailing(as_of, "week", 4)).filter(
         (F.col("inventory_title") == dim.LA_MIRADA) & (F.col("payment_mode") == "F")
     )
     region = F.when(_is(dim.BAY_AREA, dim.LOS_ANGELES), _region()).otherwise(
@@ -556,7 +551,7 @@ def weekly_la_share(lines: DataFrame, as_of: date, cutover: Cutover = CUTOVER) -
 def weekly_mail_order_share(
     lines: DataFrame, as_of: date, cutover: Cutover = CUTOVER
 ) -> DataFrame:
-    rows = _pnl_lines(lines, trailing(as_of, "week", 4), "delivery_week")
+    rows = pnl_lines(lines, "delivery_week", trailing(as_of, "week", 4))
     key = split_cutover("delivery_week", "delivery_day", cutover.week)
     return _mail_order_share(rows.withColumn("delivery_week", key), "delivery_week")
 

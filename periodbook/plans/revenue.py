@@ -18,14 +18,19 @@ from periodbook.sources.tables import pruned_scan
 REGION = ["sales_region_id", "sales_region_title"]
 
 
+def pnl_lines(lines: DataFrame, period: str, window: PeriodWindow) -> DataFrame:
+    """Lines of the window that count in the P&L."""
+    return pruned_scan(lines, F.col(period), window, day="delivery_day").filter(
+        F.col("order_biz_type").isin(*dim.PNL_BIZ_TYPES)
+    )
+
+
 def order_grain(lines: DataFrame, period: str, window: PeriodWindow) -> DataFrame:
     """Order lines collapsed to one row per period, folded region, order, buyer, invoice.
 
     Values repeated on each line of an order (coupon, new-user flag) are taken once.
     """
-    rows = pruned_scan(lines, F.col(period), window, day="delivery_day").filter(
-        F.col("order_biz_type").isin(*dim.PNL_BIZ_TYPES)
-    )
+    rows = pnl_lines(lines, period, window)
     new_user_coupon = F.when(
         F.col("coupon").isin(*dim.NEW_USER_COUPONS), F.col("discount")
     ).otherwise(F.lit(0))
@@ -91,8 +96,11 @@ def monthly_net_revenue(base: DataFrame) -> DataFrame:
     )
 
 
-def with_week_rank(base: DataFrame) -> DataFrame:
-    return week_rank_in_month(base, "delivery_week")
+def ranked_order_grain(lines: DataFrame, window: PeriodWindow) -> DataFrame:
+    """Weekly order grain with the rank of the week in its month."""
+    base = order_grain(lines, "delivery_week", window)
+    present = pnl_lines(lines, "delivery_week", window)
+    return week_rank_in_month(base, "delivery_week", present=present)
 
 
 def weekly_net_revenue(base: DataFrame, as_of: date, corrected: bool = False) -> DataFrame:

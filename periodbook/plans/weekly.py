@@ -38,6 +38,10 @@ def order_grain_base(t: Tables, as_of: date) -> DataFrame:
     )
 
 
+def ranked_order_grain(t: Tables, as_of: date) -> DataFrame:
+    return revenue.ranked_order_grain(t["order_product"], trailing(as_of, "week", WEEKS_READ))
+
+
 def net_revenue(t: Tables, as_of: date, corrected: bool = False) -> DataFrame:
     return revenue.weekly_net_revenue(order_grain_base(t, as_of), as_of, corrected)
 
