@@ -3,15 +3,17 @@
 Words are the pieces that the tokenizer's own pre-tokenizer cuts a text into; BPE never merges
 across them, so a text's ids are its words' ids in order. Three steps:
 
-1. ``word_table``: split all texts in Spark, count the distinct words, encode each of them once.
-2. ``encode``: join the ids back by position. A third of all words may be the same one, so the
-   ``hot_words`` most frequent words (a fixed number of at most ``hot_bytes`` bytes each, hence a
-   broadcast of bounded size) are numbered and looked up where the text is read; what leaves that
-   stage is the list of word numbers, with gaps for rare words. Only rare words are shuffled: joined
-   with the table by word, gathered by text and put into the gaps.
+1. ``word_table``: split all texts in Spark and count the distinct words over the whole corpus;
+   the most frequent ones (``hot_words`` at most, of up to ``hot_bytes`` bytes each, hence a broadcast
+   of bounded size) are encoded, each of them once.
+2. ``tokens``: split again and join the ids back by position. Words outside the table are collected
+   per block of texts; each distinct one is encoded once per block. (A table of all words, joined by
+   a shuffle, costs more disk than it saves: see README. It would hold mostly words that occur once.)
 3. ``decode``: ids are turned into bytes by a join with the id-to-piece table (the vocabulary, of
    fixed size) and read as UTF-8.
 
+No text and no word position is shuffled, so no word, however frequent, makes a hot partition.
+
 Cases: null text is empty and has no ids; ``<|endoftext|>`` within a text is the special token, as
 the library has it; texts of any length are taken whole; repeated rows and null or repeated ids each
 give a row; an empty table gives no rows; columns other than those named are ignored.
@@ -25,10 +27,9 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
+import public_tokenizers
 import regex
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -46,6 +47,12 @@ MEMO = 150_000
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
+def vocabulary_text(path: str | None = None) -> str:
+    """The tokenizer file's text, for the driver to hand out; executors need no file."""
+    with open(path or public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        return f.read()
+
+
 @functools.cache
 def vocabulary(spec: str) -> Tokenizer:
     tokenizer = Tokenizer.from_str(spec)
@@ -79,15 +86,18 @@ def words_of(chunk: str) -> list[str]:
     return [chunk] if chunk == SPECIAL else WORD.findall(chunk)
 
 
-def word_table(docs: DataFrame, spec: str) -> DataFrame:
-    """Distinct words of ``docs.text``: word, n (occurrences), ids (int array). Every word is encoded once."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """Distinct words of ``docs.text`` and how often they occur: (word, n)."""
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: Counter = Counter()
         for frame in frames:
             texts = frame["text"].tolist()
-            for a, b in batches(texts):
-                seen = Counter(c for t in texts[a:b] if t for c in chunks(t))
+            for a, b in batches(texts, 4_000_000):
+                seen: Counter = Counter()
+                for t in texts[a:b]:
+                    if t:
+                        seen.update(chunks(t))
                 for chunk, n in seen.items():
                     for word in words_of(chunk):
                         held[word] += n
@@ -97,23 +107,14 @@ def word_table(docs: DataFrame, spec: str) -> DataFrame:
         if held:
             yield pd.DataFrame({"word": list(held), "n": list(held.values())})
 
-    def encode_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            got = vocabulary(spec).encode_batch(frame["word"].tolist(), add_special_tokens=False)
-            yield frame.assign(ids=[x.ids for x in got])
+    return docs.select("text").mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
-    counted = docs.select("text").mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return counted.mapInPandas(encode_words, "word string, n long, ids array<int>")
 
-
-def hot_cut(table: DataFrame, most: int, longest: int) -> int:
-    """The least count that at most ``most`` words (of up to ``longest`` bytes) reach."""
-    by_count = (
-        table.filter(F.octet_length("word") <= longest).groupBy("n").agg(F.count(F.lit(1)).alias("words"))
-        .orderBy(F.desc("n")).limit(most).toLocalIterator()
-    )
+def hot_cut(counts: DataFrame, most: int) -> int:
+    """The least count that at most ``most`` words reach."""
+    by_count = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).limit(most)
     cut, total = 1 << 62, 0
-    for row in by_count:
+    for row in by_count.toLocalIterator():
         total += row.words
         if total > most:
             break
@@ -121,117 +122,100 @@ def hot_cut(table: DataFrame, most: int, longest: int) -> int:
     return cut
 
 
-def _pack(numbers: list[int]) -> bytes:
-    planes = np.array(numbers, "<u4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(1).compress(planes.tobytes())
+def word_table(docs: DataFrame, spec: str, hot_words: int = 262_144, hot_bytes: int = 64) -> DataFrame:
+    """(word, n, ids) of the ``hot_words`` most frequent words at most; words of equal counts stay or go together."""
 
+    def encode_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            got = vocabulary(spec).encode_batch(frame["word"].tolist(), add_special_tokens=False)
+            yield frame.assign(ids=[x.ids for x in got])
 
-def _unpack(packed: bytes) -> list[int]:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
-    return planes.reshape(4, -1).T.copy().view("<u4").ravel().tolist()
+    # words seen once never pay for their place
+    counts = keep(word_counts(docs).filter((F.octet_length("word") <= hot_bytes) & (F.col("n") > 1)), "bpe-words")
+    return counts.filter(F.col("n") >= hot_cut(counts, hot_words)).mapInPandas(encode_words, "word string, n long, ids array<int>")
 
 
-def encode(docs: DataFrame, spec: str, hot_words: int = 262_144, hot_bytes: int = 64) -> DataFrame:
-    """Word numbers and rare words of each row of ``docs`` (doc_id, text), and the shared table of hot words.
+class Encoder:
+    """The ids of chunks of text, from the shared table and from a block's own words."""
 
-    Gives (doc_id, packed, rare): ``packed`` holds a number for each word of the text, 0 for the next
-    word of ``gaps``; ``rare`` maps rare words to ids. ``token_rows`` and ``digests`` read it.
-    """
-    spark = docs.sparkSession
-    table = keep(word_table(docs, spec), "bpe-words")
-    cut = hot_cut(table, hot_words, hot_bytes)
-    hot = F.col("n").__ge__(cut) & (F.octet_length("word") <= hot_bytes)
-    known = [(r.word, r.ids) for r in table.filter(hot).select("word", "ids").toLocalIterator()]
-    numbers = spark.sparkContext.broadcast({w: i for i, (w, _) in enumerate(known, 1)})
-    hot_ids = spark.sparkContext.broadcast([()] + [tuple(ids) for _, ids in known])
+    def __init__(self, table: dict[str, tuple], spec: str) -> None:
+        self.table, self.spec, self.memo = table, spec, {}
 
-    def number(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        look_up, memo = numbers.value.get, {}
+    def prepare(self, seen: set[str]) -> dict[str, tuple]:
+        """Ids of every chunk in ``seen``; words that the table lacks are encoded together, each once."""
+        new = seen - self.memo.keys()
+        if len(self.memo) + len(new) > MEMO:
+            self.memo, new = {}, seen
+        split = {c: words_of(c) for c in new}
+        rare = list({w for words in split.values() for w in words} - self.table.keys())
+        own = dict(zip(rare, (tuple(x.ids) for x in vocabulary(self.spec).encode_batch(rare, add_special_tokens=False)), strict=True))
+        look_up = self.table
+        for chunk, words in split.items():
+            self.memo[chunk] = self.made(tuple(i for w in words for i in (look_up[w] if w in look_up else own[w])))
+        return self.memo
 
-        def numbered(chunk: str) -> tuple:
-            words = words_of(chunk)
-            found = [look_up(w, 0) for w in words]
-            return found, [w for w, i in zip(words, found, strict=True) if not i]
+    def made(self, ids: tuple) -> tuple:
+        return ids
 
-        for frame in frames:
-            texts = frame["text"].tolist()
-            for a, b in batches(texts):
-                out = []
-                for text in texts[a:b]:
-                    codes: list[int] = []
-                    gaps: list[str] = []
-                    for chunk in chunks(text) if text else ():
-                        got = memo.get(chunk)
-                        if got is None:
-                            if len(memo) >= MEMO:
-                                memo.clear()
-                            got = memo[chunk] = numbered(chunk)
-                        codes += got[0]
-                        if got[1]:
-                            gaps += got[1]
-                    out.append((_pack(codes), gaps))
-                part = frame.iloc[a:b]
-                yield pd.DataFrame({"doc_id": part["doc_id"], "key": part["key"], "packed": [x for x, _ in out], "gaps": [x for _, x in out]})
-
-    keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
-    coded = keyed.mapInPandas(number, "doc_id long, key long, packed binary, gaps array<string>")
-    # a rare word's ids do not depend on the text: rows that share a key may share the list
-    rare = coded.select("key", F.explode(F.array_distinct("gaps")).alias("word"))
-    rare = rare.join(table.filter(~hot).select("word", "ids"), "word")
-    rare = rare.groupBy("key").agg(F.collect_set(F.struct("word", "ids")).alias("rare"))
-    joined = coded.join(rare.withColumnRenamed("key", "r_key"), F.col("key") == F.col("r_key"), "left")
-    joined = joined.select("doc_id", "packed", "gaps", "rare")
-    joined.hot_ids = hot_ids  # type: ignore[attr-defined]
-    return joined
-
-
-def _ids(packed: bytes, gaps, rare, hot: list[tuple]) -> list[int]:
-    codes = _unpack(packed)
-    if gaps is None or not len(gaps):
-        return [i for c in codes for i in hot[c]]
-    own, word = {r["word"]: r["ids"] for r in rare}, iter(gaps)
-    return [i for c in codes for i in (hot[c] if c else own[next(word)])]
-
-
-def token_rows(encoded: DataFrame) -> DataFrame:
+
+class Digester(Encoder):
+    """As Encoder, with the ids written out and the bytes they decode to."""
+
+    def made(self, ids: tuple) -> tuple:
+        look_up = pieces(self.spec)
+        return len(ids), ",".join(map(str, ids)), b"".join([look_up[i] for i in ids])
+
+
+def _blocks(frames: Iterator[pd.DataFrame], encoder: Encoder) -> Iterator[tuple]:
+    """Ids of numbers of rows, and for each row the encoder's findings for its chunks in order."""
+    for frame in frames:
+        texts, numbers = frame["text"].tolist(), frame["doc_id"]
+        for a, b in batches(texts):
+            rows = [chunks(t) if t else [] for t in texts[a:b]]
+            found = encoder.prepare({c for r in rows for c in r})
+            yield numbers.iloc[a:b], [[found[c] for c in r] for r in rows]
+
+
+def shared_table(docs: DataFrame, spec: str, hot_words: int):
+    table = word_table(docs, spec, hot_words)
+    return docs.sparkSession.sparkContext.broadcast({r.word: tuple(r.ids) for r in table.select("word", "ids").toLocalIterator()})
+
+
+def tokens(docs: DataFrame, spec: str, hot_words: int = 262_144) -> DataFrame:
     """(doc_id, ids): the ids of each text in order."""
-    hot = encoded.hot_ids  # type: ignore[attr-defined]
+    table = shared_table(docs, spec, hot_words)
 
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            ids = [_ids(*x, hot.value) for x in zip(f["packed"], f["gaps"], f["rare"], strict=True)]
-            yield pd.DataFrame({"doc_id": f["doc_id"], "ids": ids})
+        for numbers, found in _blocks(frames, Encoder(table.value, spec)):
+            yield pd.DataFrame({"doc_id": numbers, "ids": [[i for ids in row for i in ids] for row in found]})
 
-    return encoded.mapInPandas(rows, "doc_id long, ids array<int>")
+    return docs.select("doc_id", "text").mapInPandas(rows, "doc_id long, ids array<int>")
 
 
-def decode(tokens: DataFrame, spec: str) -> DataFrame:
+def decode(rows: DataFrame, spec: str) -> DataFrame:
     """(doc_id, text) of (doc_id, ids): the pieces of the ids, joined and read as UTF-8; null ids give null."""
 
-    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         look_up = pieces(spec)
         for f in frames:
             texts = [None if x is None else b"".join([look_up[i] for i in x]).decode("utf-8", "replace") for x in f["ids"]]
             yield pd.DataFrame({"doc_id": f["doc_id"], "text": texts})
 
-    return tokens.mapInPandas(rows, "doc_id long, text string")
+    return rows.select("doc_id", "ids").mapInPandas(run, "doc_id long, text string")
 
 
-def digests(encoded: DataFrame, spec: str) -> DataFrame:
-    """Number of ids, and SHA-256 of the ids and of the text decoded from them."""
-    hot = encoded.hot_ids  # type: ignore[attr-defined]
+def digests(docs: DataFrame, spec: str, hot_words: int = 262_144) -> DataFrame:
+    """Number of ids, and SHA-256 of the ids and of the text decoded from them, without passing either through the JVM."""
+    table = shared_table(docs, spec, hot_words)
 
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names, look_up = [str(i) for i in range(len(pieces(spec)))], pieces(spec)
-        for f in frames:
-            out = []
-            for x in zip(f["packed"], f["gaps"], f["rare"], strict=True):
-                ids = _ids(*x, hot.value)
-                text = b"".join([look_up[i] for i in ids]).decode("utf-8", "replace")
-                listed = ",".join([names[i] for i in ids])
-                out.append((len(ids), hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()))
-            yield pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"]).assign(doc_id=f["doc_id"].to_numpy())[
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            ]
-
-    return encoded.mapInPandas(rows, RESULT)
+        for numbers, found in _blocks(frames, Digester(table.value, spec)):
+            text = [b"".join([x[2] for x in row]).decode("utf-8", "replace").encode() for row in found]
+            yield pd.DataFrame({
+                "doc_id": numbers,
+                "n_tokens": [sum([x[0] for x in row]) for row in found],
+                "ids_sha256": [hashlib.sha256(",".join([x[1] for x in row]).encode()).hexdigest() for row in found],
+                "decoded_sha256": [hashlib.sha256(t).hexdigest() for t in text],
+            })
+
+    return docs.select("doc_id", "text").mapInPandas(rows, RESULT)
