@@ -8,11 +8,11 @@ import zipfile
 from collections.abc import Callable
 from functools import wraps
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from periodbook.llm import bpe, near_dedup, quality, ring_sharding, toxicity
+import corpus_pipeline
+from periodbook.llm import bpe, decontaminate, graph_search, licences, near_dedup, page_text, quality, ring_sharding, substring_dedup, toxicity
 from periodbook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,11 +48,6 @@ def register(f: Query) -> Query:
     return run
 
 
-def vocabulary_text(name: str = "byte_bpe_50k.json") -> str:
-    with open(public_tokenizers.path(name), encoding="utf-8") as f:
-        return f.read()
-
-
 @register
 def op1_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_classes(table(spark, sf_dir, "documents"))
@@ -66,8 +61,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = vocabulary_text()
-    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), spec), spec)
+    spec = bpe.vocabulary_text()
+    return bpe.digests(table(spark, sf_dir, "documents"), spec)
 
 
 @register
@@ -79,3 +74,73 @@ def op6_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels"))).select("doc_id", F.round("score", 6).alias("score"), "kept")
+
+
+@register
+def op4_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_search.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licences.scan(docs, licences.train(docs))
+
+
+@register
+def op7_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register
+def op9_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract(table(spark, sf_dir, "pages"))
+
+
+@register
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(table(spark, sf_dir, "documents"))
+
+
+@register
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+# shares of an item's distinct runs of five words (all its words, if fewer) that a document has
+ORACLE["op7_containment"] = """
+WITH item_words AS (
+  SELECT item_id, list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda x: x <> '') AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL
+), item_shingles AS (
+  SELECT DISTINCT item_id, least(len(w), 5) AS n, unnest(list_transform(range(1, len(w) - least(len(w), 5) + 2), lambda i: list_slice(w, i, i + least(len(w), 5) - 1))) AS s
+  FROM item_words WHERE len(w) > 0
+), doc_words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL
+), doc_shingles AS (
+  SELECT DISTINCT doc_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: list_slice(w, i, i + n - 1))) AS s
+  FROM doc_words, (SELECT DISTINCT n FROM item_shingles) k WHERE len(w) >= n
+)
+SELECT d.doc_id, i.item_id, count(*)::DOUBLE / t.total AS containment
+FROM item_shingles i JOIN doc_shingles d ON d.n = i.n AND d.s = i.s
+JOIN (SELECT item_id, count(*) AS total FROM item_shingles GROUP BY item_id) t ON t.item_id = i.item_id
+GROUP BY d.doc_id, i.item_id, t.total HAVING count(*)::DOUBLE / t.total >= 0.8
+"""
+
+# every start of a window of 20 words against the earliest start of its words
+ORACLE["op10_substring_dedup"] = """
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, md5(array_to_string(list_slice(w, i, i + 19), ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM words)
+), firsts AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS nth FROM windows
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM firsts WHERE nth > 1
+), placed AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM words
+), kept AS (
+  SELECT placed.doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n FROM placed ANTI JOIN gone USING (doc_id, p) GROUP BY placed.doc_id
+)
+SELECT words.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(kept.n, 0))::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM words LEFT JOIN kept ON kept.doc_id = words.doc_id
+"""
