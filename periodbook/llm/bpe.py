@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import os
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -43,7 +44,7 @@ SPECIAL = "<|endoftext|>"
 
 CHUNK = re.compile(f"{re.escape(SPECIAL)}|[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
 WORD = regex.compile(WORDS)
-MEMO = 150_000
+MEMO = 120_000
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -55,6 +56,7 @@ def vocabulary_text(path: str | None = None) -> str:
 
 @functools.cache
 def vocabulary(spec: str) -> Tokenizer:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     tokenizer = Tokenizer.from_str(spec)
     tokenizer.no_truncation()
     tokenizer.no_padding()
@@ -135,36 +137,61 @@ def word_table(docs: DataFrame, spec: str, hot_words: int = 262_144, hot_bytes:
     return counts.filter(F.col("n") >= hot_cut(counts, hot_words)).mapInPandas(encode_words, "word string, n long, ids array<int>")
 
 
+class Memo(dict):
+    """A dict of two generations: when the young one is full it becomes the old one, and what is used again is young again."""
+
+    def __init__(self, most: int) -> None:
+        super().__init__()
+        self.most, self.old = most, {}
+
+    def __missing__(self, key):
+        value = self[key] = self.old[key]
+        return value
+
+    def lacking(self, keys: set) -> list:
+        if len(self) > self.most:
+            self.old = dict(self)
+            self.clear()
+        return [k for k in keys if k not in self and k not in self.old]
+
+
 class Encoder:
     """The ids of chunks of text, from the shared table and from a block's own words."""
 
     def __init__(self, table: dict[str, tuple], spec: str) -> None:
-        self.table, self.spec, self.memo = table, spec, {}
-
-    def prepare(self, seen: set[str]) -> dict[str, tuple]:
-        """Ids of every chunk in ``seen``; words that the table lacks are encoded together, each once."""
-        new = seen - self.memo.keys()
-        if len(self.memo) + len(new) > MEMO:
-            self.memo, new = {}, seen
-        split = {c: words_of(c) for c in new}
-        rare = list({w for words in split.values() for w in words} - self.table.keys())
-        own = dict(zip(rare, (tuple(x.ids) for x in vocabulary(self.spec).encode_batch(rare, add_special_tokens=False)), strict=True))
-        look_up = self.table
+        self.spec = spec
+        self.table = {w: self.made(ids) for w, ids in table.items()}
+        self.chunks, self.rare = Memo(MEMO), Memo(MEMO)
+
+    def prepare(self, seen: set[str]) -> Memo:
+        """Findings for every chunk in ``seen``; words that the table lacks are encoded together, each once."""
+        split = {c: words_of(c) for c in self.chunks.lacking(seen)}
+        table, rare = self.table, self.rare
+        new = rare.lacking({w for words in split.values() for w in words if w not in table})
+        for word, got in zip(new, vocabulary(self.spec).encode_batch_fast(new, add_special_tokens=False), strict=True):
+            rare[word] = self.made(tuple(got.ids))
         for chunk, words in split.items():
-            self.memo[chunk] = self.made(tuple(i for w in words for i in (look_up[w] if w in look_up else own[w])))
-        return self.memo
+            parts = [table[w] if w in table else rare[w] for w in words]
+            self.chunks[chunk] = parts[0] if len(parts) == 1 else self.joined(parts)
+        return self.chunks
 
-    def made(self, ids: tuple) -> tuple:
+    def made(self, ids: tuple):
         return ids
 
+    def joined(self, parts: list):
+        return tuple(i for p in parts for i in p)
+
 
 class Digester(Encoder):
-    """As Encoder, with the ids written out and the bytes they decode to."""
+    """As Encoder, with the ids written out and the bytes they decode to: (number of ids, ids, bytes)."""
 
-    def made(self, ids: tuple) -> tuple:
+    def made(self, ids: tuple):
         look_up = pieces(self.spec)
         return len(ids), ",".join(map(str, ids)), b"".join([look_up[i] for i in ids])
 
+    def joined(self, parts: list):
+        return sum([p[0] for p in parts]), ",".join([p[1] for p in parts]), b"".join([p[2] for p in parts])
+
 
 def _blocks(frames: Iterator[pd.DataFrame], encoder: Encoder) -> Iterator[tuple]:
     """Ids of numbers of rows, and for each row the encoder's findings for its chunks in order."""
@@ -172,7 +199,7 @@ def _blocks(frames: Iterator[pd.DataFrame], encoder: Encoder) -> Iterator[tuple]
         texts, numbers = frame["text"].tolist(), frame["doc_id"]
         for a, b in batches(texts):
             rows = [chunks(t) if t else [] for t in texts[a:b]]
-            found = encoder.prepare({c for r in rows for c in r})
+            found = encoder.prepare(set().union(*rows))
             yield numbers.iloc[a:b], [[found[c] for c in r] for r in rows]
 
 
