@@ -10,10 +10,11 @@ the signature there. Two texts agree in a coordinate with probability equal to t
 Jaccard similarity, and a text costs about size * ln(size) darts however long it is.
 
 Signatures are joined by bands. Texts with the same words are first reduced to one representative
-(the smallest doc_id), so copies are never paired. In a bucket every member is compared with the
-bucket's smallest member, exactly, on the texts; what these links leave in different components is
-then compared across components, so that no link found by the bands is lost while a large group of
-copies costs one comparison per member and bucket. Classes are the connected components.
+(the smallest doc_id), so copies are never paired. In a bucket every member is compared, exactly, on
+the texts, with one member that a hash picks, another one in each bucket and round; links within a component tell
+nothing new, so later rounds compare only across components. What ``rounds`` such rounds leave in different components
+is at last compared across components, block by block and by larger sketches first, so that no link found by the bands is lost, while a large group of
+near copies costs a few comparisons per member and bucket. Classes are the connected components.
 
 With 24 bands of 5, a pair of similarity 0.8 is missed with probability 0.00007, one of 0.9 never in practice.
 
@@ -35,6 +36,7 @@ from pyspark.sql import functions as F
 from periodbook.llm.common import GOLDEN, batches, keep, mix, shingles, text_words, unit
 
 SHINGLE = 5
+SKETCH = 1_024
 
 
 def weighted_set(text: str | None, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -154,7 +156,69 @@ def components(links: DataFrame) -> DataFrame:
         state = new.select("doc_id", "root")
 
 
-def near_classes(docs: DataFrame, least: float = 0.8, bands: int = 24, rows: int = 5) -> DataFrame:
+def sketched(texts: DataFrame) -> DataFrame:
+    """(rep, sketch): ``SKETCH`` minima of each text's weighted set, a byte of each; shares of equal bytes estimate similarity."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        odd = mix(np.arange(1, SKETCH + 1, dtype=np.uint64)) | np.uint64(1)
+        for f in frames:
+            out = []
+            for text in f["text"]:
+                element, weight = weighted_set(text)
+                # a weight of n is n elements: the shingle and its number among its repeats
+                nth = np.arange(weight.sum()) - np.repeat(np.cumsum(weight) - weight, weight)
+                with np.errstate(over="ignore"):
+                    units = mix(np.repeat(element, weight) + GOLDEN * nth.astype(np.uint64))
+                    low = np.empty(SKETCH, np.uint64)
+                    for j in range(SKETCH):
+                        h = units * odd[j]
+                        low[j] = (h ^ (h >> np.uint64(29))).min()
+                out.append((mix(low) >> np.uint64(56)).astype(np.uint8).tobytes())
+            yield pd.DataFrame({"rep": f["rep"], "sketch": out})
+
+    return texts.select(F.col("doc_id").alias("rep"), "text").mapInPandas(run, "rep long, sketch binary")
+
+
+def across(open_: DataFrame, own: DataFrame, texts: DataFrame, least: float, block: int = 1_024) -> DataFrame:
+    """Pairs (centre, rep) that share a bucket of ``open_`` (key, rep, root), lie in different components and may reach ``least``.
+
+    Buckets are compared block by block within tasks; only pairs whose sketches agree often enough
+    leave them (4.5 standard deviations below ``least``), and only from the first bucket they share.
+    """
+    cut = least - 4.5 * (least * (1 - least) / SKETCH) ** 0.5
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for row in f.itertuples():
+                x, y = row.left, row.right
+                rep_x, rep_y = (np.array([m["rep"] for m in z]) for z in (x, y))
+                root_x, root_y = (np.array([m["root"] for m in z]) for z in (x, y))
+                keys_x, keys_y = (np.stack([m["keys"] for m in z]) for z in (x, y))
+                sk_x, sk_y = (np.stack([np.frombuffer(m["sketch"], np.uint8) for m in z]) for z in (x, y))
+                band = int(np.flatnonzero(keys_x[0] == row.key)[0])
+                wanted = root_x[:, None] != root_y[None, :]
+                if row.block == row.other:
+                    wanted &= rep_x[:, None] < rep_y[None, :]
+                for b in range(band):
+                    wanted &= keys_x[:, b][:, None] != keys_y[:, b][None, :]
+                i, j = np.nonzero(wanted)
+                for k in range(0, len(i), 20_000):
+                    a, b = i[k : k + 20_000], j[k : k + 20_000]
+                    good = (sk_x[a] == sk_y[b]).mean(axis=1) >= cut
+                    yield pd.DataFrame({"centre": rep_x[a[good]], "rep": rep_y[b[good]]})
+
+    sketches = sketched(texts.join(open_.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"))
+    sizes = open_.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
+    full = open_.join(sketches, "rep").join(own, "rep").join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks"))
+    # bounded: about ``block`` members each
+    blocks = full.groupBy("key", "block", "blocks").agg(F.collect_list(F.struct("rep", "root", "keys", "sketch")).alias("left"))
+    blocks = keep(blocks, "blocks")
+    left = blocks.withColumn("other", F.explode(F.sequence("block", F.col("blocks") - 1)))
+    right = blocks.select("key", F.col("block").alias("other"), F.col("left").alias("right"))
+    return left.join(right, ["key", "other"]).select("key", "block", "other", "left", "right").mapInPandas(run, "centre long, rep long")
+
+
+def near_classes(docs: DataFrame, least: float = 0.8, bands: int = 24, rows: int = 5, rounds: int = 3) -> DataFrame:
     """One row per document (doc_id): (doc_id, class_id), the class being its smallest doc_id."""
     sign = keep(signed(docs, bands, rows), "darts")
     reps = sign.groupBy("same").agg(F.min("doc_id").alias("rep"))
@@ -162,24 +226,31 @@ def near_classes(docs: DataFrame, least: float = 0.8, bands: int = 24, rows: int
     # a doc_id with several texts is represented by each of them; its classes then meet in one
     own = sign.join(reps, (sign["same"] == reps["same"]) & (sign["doc_id"] == reps["rep"])).select("rep", "keys").distinct()
     in_band = keep(own.select("rep", F.explode("keys").alias("key")).distinct(), "bands")
-    centres = in_band.groupBy("key").agg(F.min("rep").alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = keep(in_band.join(centres.select("key", "centre"), "key"), "buckets")
+    several = in_band.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    shared = keep(in_band.join(several, "key"), "buckets")
     texts = docs.select("doc_id", "text").join(shared.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     texts = keep(texts.filter("text is not null").dropDuplicates(["doc_id"]), "texts")
-    stars = shared.filter("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
-    links = keep(verified(stars, texts, least), "stars")
-    roots = components(links)
-    # buckets that still hold several components: compare across them
-    rooted = shared.join(roots.withColumnRenamed("doc_id", "rep"), "rep", "left").select("key", "rep", F.coalesce("root", "rep").alias("root"))
-    rooted = keep(rooted, "rooted")
-    split = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
-    open_ = rooted.join(split, "key")
-    other = open_.select("key", F.col("rep").alias("b"), F.col("root").alias("root_b"))
-    across = open_.join(other, "key").filter("rep < b and root <> root_b").select(F.col("rep").alias("a"), "b").distinct()
-    across = across.join(stars, ["a", "b"], "left_anti")
-    more = keep(verified(across, texts, least), "across")
-    if not more.isEmpty():
-        roots = components(links.unionByName(more))
+    rooted = shared.select("key", "rep", F.col("rep").alias("root"))
+    links = roots = None
+    for r in range(rounds + 1):
+        # buckets that still hold several components
+        split = rooted.groupBy("key").agg(
+            F.min("root").alias("lo"), F.max("root").alias("hi"), F.min_by(F.struct("rep", "root"), F.xxhash64("rep", "key", F.lit(r))).alias("c")
+        ).filter("lo < hi").select("key", F.col("c.rep").alias("centre"), F.col("c.root").alias("c_root"))
+        if r < rounds:
+            pairs = rooted.join(split, "key").filter("root <> c_root").select("centre", "rep")
+        else:
+            pairs = across(keep(rooted.join(split.select("key"), "key"), "open"), own, texts, least)
+        pairs = pairs.select(F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b")).distinct()
+        new = keep(verified(pairs, texts, least), "links")
+        if new.isEmpty():
+            continue
+        links = new if links is None else links.unionByName(new)
+        roots = components(links)
+        rooted = shared.join(roots.withColumnRenamed("doc_id", "rep"), "rep", "left").select("key", "rep", F.coalesce("root", "rep").alias("root"))
+        rooted = keep(rooted, "rooted")
+    if roots is None:
+        roots = members.select("doc_id", F.col("doc_id").alias("root")).limit(0)
     classes = members.join(roots.withColumnRenamed("doc_id", "rep"), "rep", "left").select("doc_id", F.coalesce("root", "rep").alias("class_id"))
     lone = docs.select("doc_id").filter("doc_id is not null").select("doc_id", F.col("doc_id").alias("class_id"))
     return lone.unionByName(classes).groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
