@@ -3,7 +3,8 @@
 A page is read as lines: the texts of its blocks, without markup, scripts, styles, menus, forms and
 elements whose name, role, class or id says that they are no content. Pages are paired within each
 host with the page whose URL path is nearest: the neighbour in path order with the longer common
-beginning (of the two neighbours; copies of the page itself are passed over). The longest common
+beginning (of the two neighbours; if they are equally near, the one with more lines in common; copies
+of the page itself are passed over). The longest common
 subsequence of the two pages' lines is template text and is deleted. Lines inside the page's
 ``article`` or ``main`` element are its text by the author's own mark: there differencing has nothing
 to decide, they stay; if a page has such an element, lines outside it go.
@@ -135,8 +136,9 @@ def shared_beginning(a: str, b: str) -> int:
 
 def main_text(texts: list[str], inner: list[bool], marks: list[int], path: str, neighbours: list[tuple]) -> str:
     """The lines that stay, joined."""
-    near = [(-shared_beginning(path, p), k, list(m)) for k, (p, m) in enumerate(neighbours) if m is not None and list(m) != list(marks)]
-    template = common_lines(list(marks), min(near)[2]) if near else set()
+    own = list(marks)
+    near = [(shared_beginning(path, p), common_lines(own, list(m))) for p, m in neighbours if m is not None and list(m) != own]
+    template = max(near, key=lambda x: (x[0], len(x[1])))[1] if near else set()
     if any(inner):
         return "\n".join(t for t, i in zip(texts, inner, strict=True) if i)
     return "\n".join(t for k, t in enumerate(texts) if k not in template)
