@@ -45,18 +45,33 @@ def size_class(words: list[str]) -> tuple[int, int] | None:
     return n, 1 << max(3 if n == SHINGLE else 0, (size - 1).bit_length())
 
 
-def minima(shingle: np.ndarray, block: int, kind: tuple[int, int]) -> np.ndarray:
-    """Keys (windows x HASHES) of the windows of two blocks; a text of one block is one window."""
-    starts = np.arange(0, len(shingle), block)
+def minima(runs: list[np.ndarray], block: int, kind: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys (windows x HASHES) of the windows of two blocks, and the run each window is of; a run of one block is one window.
+
+    ``runs`` are the shingles of several texts; they are hashed together, windows stay within their text.
+    """
+    sizes = np.array([len(r) for r in runs], np.int64)
+    blocks = -(-sizes // block)
+    owner = np.repeat(np.arange(len(runs)), blocks)
+    nth = np.arange(len(owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+    starts = np.repeat(np.cumsum(sizes) - sizes, blocks) + nth * block
+    last = np.r_[owner[1:] != owner[:-1], True] if len(owner) else np.zeros(0, bool)
+    first = np.flatnonzero(~last | (nth == 0))  # every block but a text's last begins a window, as does a lone one
+    second = np.where(last[first], first, first + 1)
     odd = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
-    out = np.empty((max(len(starts) - 1, 1), HASHES), np.uint64)
+    out = np.empty((len(first), HASHES), np.uint64)
+    if not len(first):
+        return out, owner[first]
+    shingle = np.concatenate(runs)
+    h, other = np.empty_like(shingle), np.empty_like(shingle)
     with np.errstate(over="ignore"):
         for j in range(HASHES):
-            h = shingle * odd[j]
-            h ^= h >> np.uint64(32)
+            np.multiply(shingle, odd[j], out=h)
+            np.right_shift(h, np.uint64(32), out=other)
+            np.bitwise_xor(h, other, out=h)
             low = np.minimum.reduceat(h, starts)
-            out[:, j] = np.minimum(low[:-1], low[1:]) if len(low) > 1 else low
-        return mix(out + GOLDEN * (odd ^ np.uint64(kind[0] * 64 + kind[1].bit_length())))
+            out[:, j] = np.minimum(low[first], low[second])
+        return mix(out + GOLDEN * (odd ^ np.uint64(kind[0] * 64 + kind[1].bit_length()))), owner[first]
 
 
 def bits(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -74,7 +89,7 @@ def item_keys(items: DataFrame) -> DataFrame:
                 words = text_words(text)
                 if kind := size_class(words):
                     shingle = rolling(hashes(words), kind[0])
-                    out.append((number, *kind, minima(shingle, len(shingle), kind)[0].view(np.int64)))
+                    out.append((number, *kind, minima([shingle], len(shingle), kind)[0][0].view(np.int64)))
             yield pd.DataFrame(out, columns=["item_id", "n", "size", "keys"])
 
     return items.select("item_id", "text").filter("item_id is not null").mapInPandas(run, "item_id long, n int, size int, keys array<long>")
@@ -103,20 +118,16 @@ def contained(docs: DataFrame, items: DataFrame, least: float = 0.8) -> DataFram
         for f in frames:
             texts = f["text"].tolist()
             for a, b in batches(texts):
-                out = []
-                for number, text in zip(f["doc_id"].iloc[a:b], texts[a:b], strict=True):
-                    words = text_words(text)
-                    h = hashes(words)
-                    rolled = {n: rolling(h, n) for n, _ in kinds}
-                    found = []
-                    for n, size in kinds:
-                        if len(rolled[n]):
-                            keys = minima(rolled[n], size, (n, size)).ravel()
-                            one, two = bits(keys)
-                            found.append(keys[bitmap[one] & bitmap[two]])
-                    keys = np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
-                    if len(keys):
-                        out.append((number, xxhash.xxh3_128_digest(text), text, keys.view(np.int64)))
+                numbers, part = f["doc_id"].iloc[a:b].tolist(), texts[a:b]
+                words = [hashes(text_words(t)) for t in part]
+                found: list[list[np.ndarray]] = [[] for _ in part]
+                for n, size in kinds:
+                    keys, owner = minima([rolling(w, n) for w in words], size, (n, size))
+                    one, two = bits(keys)
+                    window, hash_ = np.nonzero(bitmap[one] & bitmap[two])
+                    for w, j in zip(window, hash_, strict=True):
+                        found[owner[w]].append(keys[w, j])
+                out = [(numbers[i], xxhash.xxh3_128_digest(part[i]), part[i], np.unique(np.array(k, np.uint64)).view(np.int64)) for i, k in enumerate(found) if k]
                 yield pd.DataFrame(out, columns=["doc_id", "same", "text", "keys"])
 
     found = keep(docs.select("doc_id", "text").filter("text is not null").mapInPandas(hits, "doc_id long, same binary, text string, keys array<long>"), "hits")
