@@ -464,7 +464,7 @@ reg.add(
 )
 
 
-def _interval(t: Tables, few: bool | None = None) -> DataFrame:
+def _interval(t: Tables) -> DataFrame:
     windows = scorecard.price_special_windows(t["product_price"], t["product_price_special"])
     lines = op(t).join(t["sales_org_price_region"], "sales_org_id", "left").select(
         "order_id", "product_id", "price_region_id", "order_create_time", "quantity", "discount_reason"
@@ -472,7 +472,7 @@ def _interval(t: Tables, few: bool | None = None) -> DataFrame:
     joined = jn.interval_join(
         lines, windows, {"product_id": "product_id", "price_region_id": "sales_org_id"},
         "order_create_time", "start_time_extended", "end_time_extended", ["reason"],
-        when=F.col("discount_reason").isNull(), few=few,
+        when=F.col("discount_reason").isNull(),
     )
     return joined.groupBy("product_id", "reason").agg(rows(), F.sum("quantity").alias("qty"))
 
@@ -481,9 +481,9 @@ _INTERVAL_SQL = """SELECT o.product_id, w.reason, count(*) AS n, sum(quantity) A
   JOIN v_price_region p ON p.sales_org_id = o.sales_org_id
   LEFT JOIN win w ON w.product_id = o.product_id AND w.sales_org_id = p.price_region_id AND o.discount_reason IS NULL
     AND o.order_create_time >= w.start_time_extended AND o.order_create_time < w.end_time_extended GROUP BY 1, 2"""
-for _name, _few in (("interval_join", None), ("interval_join_by_day", False)):
+for _name in ("interval_join", "interval_join_by_day"):
     reg.add(
-        _name, lambda t, few=_few: _interval(t, few),
+        _name, _interval,
         q("l: product_id n qty; s: reason", _INTERVAL_SQL, win=windows_cte(None)),
     )
 reg.add(

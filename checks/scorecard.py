@@ -36,7 +36,7 @@ DIVISIONS = {
 
 def review(unit: str, corrected: bool = False) -> sc.Review:
     return sc.Review(
-        st.AS_OF, unit, st.GATE,
+        st.AS_OF, unit, st.GATE, sc.OrderTypes(("RTG",), ("OD", "Partner", "Partner_vip"), ("OD", "Partner")),
         booking_start=st.BOOKING_START, overhead_start=st.OVERHEAD_START, corrected=corrected,
     )
 

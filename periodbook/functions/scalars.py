@@ -74,11 +74,24 @@ def month_from_label(c: Column | str) -> Column:
 
     Two-digit years from 70 on belong to the last century.
     """
-    tidy = F.regexp_replace(F.trim(_col(c)), r"[' ]+", " ")
-    d = F.try_to_date(F.concat(F.lit("01 "), tidy), "dd MMM yy")
+    text = F.nullif(F.trim(_col(c)), F.lit(""))
+    tidy = F.regexp_replace(text, r"[' ]+", " ")
+    label = F.when(text.contains("'"), text)  # other texts, such as a total's, are no month
+    d = _readable(label, F.try_to_date(F.concat(F.lit("01 "), tidy), "dd MMM yy"), "date")
     return F.when(F.year(d) >= 2070, F.add_months(d, -1200)).otherwise(d)
 
 
 def number_from_text(c: Column | str) -> Column:
-    """Number held as text; blank or unreadable gives NULL."""
-    return _col(c).try_cast("double")
+    """Number held as text; blank gives NULL, anything else must be a number."""
+    return strict_cast(c, "double")
+
+
+def strict_cast(c: Column | str, kind: str) -> Column:
+    """Typed text: blank gives NULL, text that does not parse fails the job instead of losing its row."""
+    text = F.nullif(F.trim(_col(c).cast("string")), F.lit(""))
+    return _readable(text, text.try_cast(kind), kind)
+
+
+def _readable(text: Column, value: Column, kind: str) -> Column:
+    error = F.raise_error(F.concat(F.lit(f"not a {kind}: "), text)).cast(kind)
+    return F.when(text.isNotNull() & value.isNull(), error).otherwise(value)

@@ -7,23 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True if the frame has at most ``max_rows`` rows (stops reading past that)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_few(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for a lookup table that is small; left to Spark when it is not.
-
-    Joining a fact to a lookup whose size Spark cannot estimate would shuffle the fact
-    on the lookup key, where one member may hold much of the rows.
-    """
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
 def left_filtered(left: DataFrame, right: DataFrame, cond: Column) -> DataFrame:
     """Left join that keeps every left row, also those failing a left-side predicate."""
     return left.join(right, cond, "left")
@@ -84,17 +67,16 @@ def interval_join(
     end: str,
     keep: Sequence[str],
     when: Column | None = None,
-    few: bool | None = None,
 ) -> DataFrame:
     """Left join on equal keys and ``start <= event_time < end``.
 
     A left row joins every interval that covers it; ``when`` limits which left rows
     may match at all.  ``keep`` names the right columns to bring along.
 
-    Intervals that are ``few`` are broadcast; unless the caller has checked already,
-    they are counted here (:func:`fits_broadcast`).  Beyond the bound both sides are shuffled on keys *and day*: each interval is listed under
-    the days it touches, so an entry key that holds much of the data is spread over
-    its days and an event only meets the intervals of its day.
+    Each interval is listed under the days it touches and the join is on keys *and day*, so
+    a key that holds much of the data is spread over its days and an event only meets the
+    intervals of its day.  There is no hint: whether the intervals are broadcast is decided
+    by their size, statically or once it is known at run time.
     """
     cols = [*dict.fromkeys([*on.values(), start, end, *keep])]
     r = right.filter(F.col(start) < F.col(end)).select(
@@ -107,14 +89,7 @@ def interval_join(
         cond = cond & (F.col(lcol) == F.col(f"_r_{rcol}"))
     if when is not None:
         cond = cond & when
-    if fits_broadcast(r) if few is None else few:
-        joined = left.join(F.broadcast(r), cond, "left")
-    else:
-        days = F.sequence(
-            F.col(f"_r_{start}").cast("date"), F.col(f"_r_{end}").cast("date")
-        )
-        by_day = r.withColumn("_r_day", F.explode(days))
-        joined = left.join(
-            by_day, cond & (F.col(event_time).cast("date") == F.col("_r_day")), "left"
-        )
+    days = F.sequence(F.col(f"_r_{start}").cast("date"), F.col(f"_r_{end}").cast("date"))
+    by_day = r.withColumn("_r_day", F.explode(days))
+    joined = left.join(by_day, cond & (F.col(event_time).cast("date") == F.col("_r_day")), "left")
     return joined.select(*left.columns, *(F.col(f"_r_{c}").alias(c) for c in keep))

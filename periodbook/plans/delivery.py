@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from periodbook import dimensions as dim
 from periodbook.functions.periods import PeriodWindow, period_key
+from periodbook.functions.scalars import strict_cast
 from periodbook.operators.aggregates import add_company_row, max_then_sum
 from periodbook.sources.tables import pruned_scan
 
@@ -33,7 +34,7 @@ def delivery_cost(
         .agg((F.sum("total_delivery_cost") + F.sum("linehaul_cost")).alias("delivery_cost"))
         .withColumn("kind", F.lit("dispatch"))
     )
-    shipped = shipments.withColumn("_day", F.col("deal_delivery_date").try_cast("date"))
+    shipped = shipments.withColumn("_day", strict_cast("deal_delivery_date", "date"))
     shipped = pruned_scan(
         shipped.withColumn(period, period_key("_day", window.unit)),
         F.col(period),

@@ -4,7 +4,7 @@ commerce rows of each buyer segment."""
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -25,7 +25,7 @@ from periodbook.functions.periods import (
     shift_date,
 )
 from periodbook.functions.predicates import any_of, in_buckets, region_bucket
-from periodbook.functions.scalars import as_money, epoch_to_local, lookup, part_of, safe_div
+from periodbook.functions.scalars import as_money, epoch_to_local, lookup, part_of, safe_div, strict_cast
 from periodbook.operators.aggregates import (
     avg_when,
     blend_by_days,
@@ -35,7 +35,7 @@ from periodbook.operators.aggregates import (
     sum_when,
 )
 from periodbook.operators.distincts import distinct_counts, distinct_pivot
-from periodbook.operators.joins import attach_to_segment, broadcast_if_few, fits_broadcast, interval_join
+from periodbook.operators.joins import attach_to_segment, interval_join
 from periodbook.operators.sets import append_comparison
 from periodbook.plans import acquisition
 from periodbook.sources.tables import Tables, pruned_scan
@@ -47,15 +47,15 @@ LOOKBACK = {"month": 13, "quarter": 5}
 
 @dataclass(frozen=True)
 class OrderTypes:
-    """Restaurant order types of each group; the labels are the business's own.
+    """Restaurant order types of each group; the labels are the business's own, so there is no default.
 
     ``on_demand_base`` is the group behind the margin ratio's denominator.  The
     report leaves one on-demand type out of it; ``corrected`` uses the same group.
     """
 
-    scheduled: Sequence[str] = ("RTG",)
-    on_demand: Sequence[str] = ("OD", "Partner", "Partner_vip")
-    on_demand_base: Sequence[str] = ("OD", "Partner")
+    scheduled: Sequence[str]
+    on_demand: Sequence[str]
+    on_demand_base: Sequence[str]
 
 
 @dataclass(frozen=True)
@@ -65,7 +65,7 @@ class Review:
     as_of: date
     unit: Unit
     gate: str = dim.GATE_SEGMENT
-    order_types: OrderTypes = field(default_factory=OrderTypes)
+    order_types: OrderTypes | None = None
     booking_start: date = acquisition.BOOKING_START
     overhead_start: date = acquisition.OVERHEAD_START
     lookback: int | None = None
@@ -129,18 +129,17 @@ def with_price_reason(
     """
     no_reason = F.col("discount_reason").isNull()
     pantry_region = lookup("sales_org_id", dim.PANTRY_PRICE_REGIONS).cast("bigint")
-    keyed = lines.join(broadcast_if_few(price_regions), "sales_org_id", "left").withColumn(
+    keyed = lines.join(price_regions, "sales_org_id", "left").withColumn(
         "_pantry_region", pantry_region
     )
-    few = fits_broadcast(windows)
     hours = ("order_create_time", "start_time_extended", "end_time_extended", ["reason"])
     direct = interval_join(
         keyed, windows, {"product_id": "product_id", "price_region_id": "sales_org_id"},
-        *hours, when=no_reason, few=few,
+        *hours, when=no_reason,
     ).withColumnRenamed("reason", "_direct")
     both = interval_join(
         direct, windows, {"product_id": "product_id", "_pantry_region": "sales_org_id"},
-        *hours, when=no_reason & (F.col("mail_type") == "pantry"), few=few,
+        *hours, when=no_reason & (F.col("mail_type") == "pantry"),
     ).withColumnRenamed("reason", "_pantry")
     return both.withColumn(
         "promo_reason", F.coalesce("discount_reason", "_direct", "_pantry")
@@ -401,6 +400,8 @@ def acquisition_cost(t: Tables, r: Review) -> DataFrame:
 
 
 def restaurant_margin(t: Tables, r: Review) -> DataFrame:
+    if r.order_types is None:
+        raise ValueError("restaurant margin needs Review.order_types")
     rows = r.scan(t["restaurant_order"], "delivery_day", "order_day")
     kind = F.col("order_type")
     scheduled = kind.isin(*r.order_types.scheduled)
@@ -444,7 +445,7 @@ PLAN_COLUMNS = {
 
 def plan_targets(t: Tables, r: Review) -> DataFrame:
     """Plan rows of the run's unit."""
-    rows = t["plan_data"].withColumn(UNIT, F.col("delivery_unit").try_cast("date"))
+    rows = t["plan_data"].withColumn(UNIT, strict_cast("delivery_unit", "date"))
     kept = rows.filter(r.window.holds(UNIT) & (F.col("unit_type") == r.unit))
     return kept.select(UNIT, "unit_type", *(F.col(c).alias(out) for c, out in PLAN_COLUMNS.items()))
 
@@ -487,7 +488,7 @@ def split_week_plan(t: Tables, r: Review) -> DataFrame:
     ``corrected`` takes the month after.  One conditional replaces the report's union
     of straddling and whole periods.
     """
-    plan = t["division_plan"].withColumn("_month", F.col("delivery_month").try_cast("date"))
+    plan = t["division_plan"].withColumn("_month", strict_cast("delivery_month", "date"))
     other = F.add_months("_month", -1 if r.corrected else 1)
     here = plan.select(
         F.col("_month").alias("_m"), *(F.col(c).alias(f"_now_{c}") for c in DIVISION_PLANS)

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from periodbook.functions.scalars import month_from_label, number_from_text
+from periodbook.functions.scalars import month_from_label, number_from_text, strict_cast
 
 
 def union_sheets(sheets: Iterable[DataFrame]) -> DataFrame:
@@ -42,7 +42,7 @@ def parse_sheet(df: DataFrame, spec: SheetSpec) -> DataFrame:
         df = df.filter(F.col(text).contains("'"))
         period = month_from_label(text)
     else:
-        period = F.col(text).try_cast("date")
+        period = strict_cast(text, "date")
 
     def number(c: str) -> Column:
         n = number_from_text(c)

@@ -18,7 +18,8 @@ def read_table(
 ) -> DataFrame:
     """Parquet table ``<base_dir>/<name>.parquet`` (file or directory), declared schema.
 
-    With a schema the read needs no footer inference and fails on a type clash.
+    With a schema the read needs no footer inference and fails on a type clash, but a
+    column that the files lack is NULL: check with :func:`conform` where that matters.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(f"{base_dir}/{name}.parquet")
@@ -48,7 +49,7 @@ class Tables:
     def from_dir(cls, spark: SparkSession, base_dir: str) -> Tables:
         return cls(
             {
-                n: (lambda n=n: read_table(spark, base_dir, n, SCHEMAS[n]))
+                n: (lambda n=n: conform(read_table(spark, base_dir, n), n))
                 for n in SCHEMAS
             }
         )

@@ -199,8 +199,7 @@ def test_full_outer_null_keys_do_not_match(spark):
     assert jn.full_outer_zero(a, b, ["k"], ["x", "y"]).count() == 4
 
 
-@pytest.mark.parametrize("few", [True, False])
-def test_interval_join_edges_and_overlap(spark, few):
+def test_interval_join_edges_and_overlap(spark):
     events = spark.createDataFrame(
         [(1, datetime(2000, 1, 1, 10)), (1, datetime(2000, 1, 3)), (1, datetime(2000, 1, 5)), (2, datetime(2000, 1, 3))],
         "k int, t timestamp_ntz",
@@ -210,7 +209,7 @@ def test_interval_join_edges_and_overlap(spark, few):
          (1, datetime(2000, 1, 9), datetime(2000, 1, 1), "never")],
         "k int, s timestamp_ntz, e timestamp_ntz, why string",
     )
-    got = jn.interval_join(events, spans, {"k": "k"}, "t", "s", "e", ["why"], few=few)
+    got = jn.interval_join(events, spans, {"k": "k"}, "t", "s", "e", ["why"])
     assert sorted((r.k, r.t.day, r.why or "") for r in got.collect()) == [
         (1, 1, "a"), (1, 3, "a"), (1, 3, "b"), (1, 5, ""), (2, 3, ""),
     ]
@@ -244,12 +243,32 @@ def test_comparison_row_is_appended(spark):
 # --- sheets, tables, sink ------------------------------------------------------------
 
 
-def test_sheet_drops_blank_rows_and_bad_numbers(spark):
+def test_sheet_text_that_does_not_parse_fails(spark):
+    spec = SheetSpec(("d", "m"), {"x": "p"})
+    for row in (("2000-03-01", "n/a"), ("03/05/2000", "1")):
+        with pytest.raises(Exception, match="not a"):
+            parse_sheet(spark.createDataFrame([row], "m string, p string"), spec).collect()
+    with pytest.raises(Exception, match="not a date"):
+        spark.createDataFrame([("Foo'00",)], "s string").select(month_from_label("s")).collect()
+
+
+def test_sheet_drops_blank_rows_and_keeps_blank_numbers(spark):
     df = spark.createDataFrame([("2000-03-01", "5", "-0.10"), ("2000-03-01", "", "1"), ("2000-02-01", "1", "")], "m string, g string, p string")
     got = values(parse_sheet(df, SheetSpec(("d", "m"), {"x": "p"}, required=["g"], absolute=True)), "d", "x")
     assert got == [(date(2000, 2, 1), None), (date(2000, 3, 1), 0.1)]
 
 
+def test_a_folder_table_without_a_column_is_refused(spark, tmp_path):
+    spark.range(1).write.parquet(str(tmp_path / "coupon_code.parquet"))
+    with pytest.raises(ValueError, match="lacks columns"):
+        Tables.from_dir(spark, str(tmp_path))["coupon_code"]
+
+
+def test_restaurant_margin_needs_the_order_types(tables):
+    with pytest.raises(ValueError, match="order_types"):
+        scorecard.restaurant_margin(tables, scorecard.Review(date(2000, 4, 10), "week"))
+
+
 def test_conform_reports_missing_columns(spark):
     with pytest.raises(ValueError, match="lacks columns"):
         conform(spark.range(1), "coupon_code")
