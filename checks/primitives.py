@@ -762,8 +762,9 @@ reg.add(
 )
 reg.add(
     "dense_rank_partitioned",
-    lambda t: wn.rank_newest(op(t), "sales_region_id", "delivery_week")
-    .groupBy("sales_region_id", "delivery_week", "rn").agg(rows()),
+    lambda t: wn.rank_newest(
+        op(t).groupBy("sales_region_id", "delivery_week").agg(rows()), "sales_region_id", "delivery_week"
+    ),
     q("l: sales_region_id rn n; d: delivery_week",
       """SELECT sales_region_id, delivery_week, rn, count(*) AS n FROM (
            SELECT *, dense_rank() OVER (PARTITION BY sales_region_id ORDER BY delivery_week DESC) AS rn FROM v_op) x GROUP BY 1, 2, 3"""),

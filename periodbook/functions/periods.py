@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date, timedelta
+from functools import reduce
 from typing import Literal
 
 from pyspark.sql import Column
@@ -105,21 +106,21 @@ class PeriodWindow:
         return inside if self.anchor is None else inside | (p == F.lit(self.anchor))
 
     @property
-    def first_day(self) -> date:
-        return self.lo if self.anchor is None else min(self.lo, self.anchor)
-
-    @property
-    def day_after(self) -> date:
-        end = shift_date(self.hi, self.unit, 1)
+    def spans(self) -> list[tuple[date, date]]:
+        """Day ranges (end excluded) that the periods cover: the window's, and the comparison period's where it lies apart."""
+        lo, end = self.lo, shift_date(self.hi, self.unit, 1)
         if self.anchor is None:
-            return end
+            return [(lo, end)]
         # the anchor is a Sunday: only a period that starts there can equal it
-        return max(end, shift_date(floor_date(self.anchor, self.unit), self.unit, 1))
+        after = shift_date(floor_date(self.anchor, self.unit), self.unit, 1)
+        if self.anchor <= end and after >= lo:
+            return [(min(lo, self.anchor), max(end, after))]
+        return [(self.anchor, after), (lo, end)]
 
     def holds_day(self, day: Column | str) -> Column:
-        """Day range implied by :meth:`holds`; redundant, so that scans can prune."""
+        """Days implied by :meth:`holds`, as plain ranges; redundant, so that scans can prune."""
         d = _col(day)
-        return (d >= F.lit(self.first_day)) & (d < F.lit(self.day_after))
+        return reduce(lambda x, y: x | y, ((d >= F.lit(a)) & (d < F.lit(b)) for a, b in self.spans))
 
 
 def trailing(as_of: date, unit: Unit, n: int) -> PeriodWindow:

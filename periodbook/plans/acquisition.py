@@ -204,8 +204,8 @@ def referral_spend(
     if window is not None:
         stored = F.col("rec_create_time")
         points = points.filter(
-            (stored >= F.lit(window.first_day - timedelta(days=1)).cast("timestamp_ntz"))
-            & (stored < F.lit(window.day_after + timedelta(days=2)).cast("timestamp_ntz"))
+            (stored >= F.lit(window.spans[0][0] - timedelta(days=1)).cast("timestamp_ntz"))
+            & (stored < F.lit(window.spans[-1][1] + timedelta(days=2)).cast("timestamp_ntz"))
         )
     local_day = utc_to_local("rec_create_time", dim.LOCAL_ZONE).cast("date")
     daily = (

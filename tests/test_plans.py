@@ -35,6 +35,12 @@ def test_period_filter_reaches_the_scan(tables):
     assert re.search(r"LessThan\(l_shipdate,2000-04-01", text)
 
 
+def test_weekly_scan_leaves_out_the_weeks_between(tables):
+    text = scans(scorecard.division_scorecard(tables, review("week")))
+    pushed = next(line for line in text.splitlines() if "PushedFilters" in line and "l_shipdate" in line)
+    assert re.search(r"Or\(And\(GreaterThanOrEqual\(l_shipdate,1999-04-04[^)]*\),LessThan\(l_shipdate,1999-04-11", pushed), pushed
+
+
 def test_flagship_scans_the_fact_once(tables):
     text = plan(monthly.net_revenue(tables, st.AS_OF))
     assert len(re.findall(r"FileScan parquet.*lineitem", text)) == 1
