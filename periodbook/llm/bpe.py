@@ -25,6 +25,7 @@ import functools
 import hashlib
 import os
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -193,6 +194,16 @@ class Digester(Encoder):
         return sum([p[0] for p in parts]), ",".join([p[1] for p in parts]), b"".join([p[2] for p in parts])
 
 
+_ready: dict[type, tuple[str, Encoder]] = {}
+
+
+def ready(kind: type, token: str, table, spec: str) -> Encoder:
+    """The Python worker's encoder for the broadcast ``table``: made once, used by all tasks the worker gets."""
+    if _ready.get(kind, ("",))[0] != token:
+        _ready[kind] = token, kind(table.value, spec)
+    return _ready[kind][1]
+
+
 def _blocks(frames: Iterator[pd.DataFrame], encoder: Encoder) -> Iterator[tuple]:
     """Ids of numbers of rows, and for each row the encoder's findings for its chunks in order."""
     for frame in frames:
@@ -210,10 +221,10 @@ def shared_table(docs: DataFrame, spec: str, hot_words: int):
 
 def tokens(docs: DataFrame, spec: str, hot_words: int = 262_144) -> DataFrame:
     """(doc_id, ids): the ids of each text in order."""
-    table = shared_table(docs, spec, hot_words)
+    table, token = shared_table(docs, spec, hot_words), uuid.uuid4().hex
 
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for numbers, found in _blocks(frames, Encoder(table.value, spec)):
+        for numbers, found in _blocks(frames, ready(Encoder, token, table, spec)):
             yield pd.DataFrame({"doc_id": numbers, "ids": [[i for ids in row for i in ids] for row in found]})
 
     return docs.select("doc_id", "text").mapInPandas(rows, "doc_id long, ids array<int>")
@@ -233,10 +244,10 @@ def decode(rows: DataFrame, spec: str) -> DataFrame:
 
 def digests(docs: DataFrame, spec: str, hot_words: int = 262_144) -> DataFrame:
     """Number of ids, and SHA-256 of the ids and of the text decoded from them, without passing either through the JVM."""
-    table = shared_table(docs, spec, hot_words)
+    table, token = shared_table(docs, spec, hot_words), uuid.uuid4().hex
 
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for numbers, found in _blocks(frames, Digester(table.value, spec)):
+        for numbers, found in _blocks(frames, ready(Digester, token, table, spec)):
             text = [b"".join([x[2] for x in row]).decode("utf-8", "replace").encode() for row in found]
             yield pd.DataFrame({
                 "doc_id": numbers,
