@@ -129,8 +129,9 @@ def word_table(docs: DataFrame, spec: str, hot_words: int = 262_144, hot_bytes:
     """(word, n, ids) of the ``hot_words`` most frequent words at most; words of equal counts stay or go together."""
 
     def encode_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tokenizer = vocabulary(spec)
         for frame in frames:
-            got = vocabulary(spec).encode_batch(frame["word"].tolist(), add_special_tokens=False)
+            got = tokenizer.encode_batch_fast(frame["word"].tolist(), add_special_tokens=False)
             yield frame.assign(ids=[x.ids for x in got])
 
     # words seen once never pay for their place
@@ -160,7 +161,7 @@ class Encoder:
     """The ids of chunks of text, from the shared table and from a block's own words."""
 
     def __init__(self, table: dict[str, tuple], spec: str) -> None:
-        self.spec = spec
+        self.tokenizer, self.pieces = vocabulary(spec), pieces(spec)
         self.table = {w: self.made(ids) for w, ids in table.items()}
         self.chunks, self.rare = Memo(MEMO), Memo(MEMO)
 
@@ -169,7 +170,7 @@ class Encoder:
         split = {c: words_of(c) for c in self.chunks.lacking(seen)}
         table, rare = self.table, self.rare
         new = rare.lacking({w for words in split.values() for w in words if w not in table})
-        for word, got in zip(new, vocabulary(self.spec).encode_batch_fast(new, add_special_tokens=False), strict=True):
+        for word, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
             rare[word] = self.made(tuple(got.ids))
         for chunk, words in split.items():
             parts = [table[w] if w in table else rare[w] for w in words]
@@ -187,7 +188,7 @@ class Digester(Encoder):
     """As Encoder, with the ids written out and the bytes they decode to: (number of ids, ids, bytes)."""
 
     def made(self, ids: tuple):
-        look_up = pieces(self.spec)
+        look_up = self.pieces
         return len(ids), ",".join(map(str, ids)), b"".join([look_up[i] for i in ids])
 
     def joined(self, parts: list):
