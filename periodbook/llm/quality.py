@@ -14,7 +14,7 @@ their ids; fewer if there are fewer.
 
 Cases: null and empty texts are texts without words; null metadata is a value of its own, as is a
 missing column; null labels are not learned from; without both classes among the labels everything gets the
-smoothed share of good labels; repeated rows are each kept or rejected; an empty table gives no rows.
+smoothed share of good labels; repeated rows are each kept or rejected, but a repeated id is learned from once; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -151,14 +151,16 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 8_000, pool: int = 4
     # both are bounded, by ``sample`` and ``pool``
     few = by_hash(known, sample)
     unlabelled = by_hash(docs.select("doc_id").filter("doc_id is not null").join(known, "doc_id", "left_anti"), pool)
-    chosen = few.unionByName(unlabelled.select("doc_id", F.lit(None).cast("int").alias("label")))
+    chosen = few.unionByName(unlabelled.select("doc_id", F.lit(None).cast("int").alias("label")).distinct())
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             content, meta = _views(f)
             yield pd.DataFrame({"doc_id": f["doc_id"], "label": f["label"], "content": content, "meta": meta})
 
-    got = viewed(docs).join(F.broadcast(chosen), "doc_id").mapInPandas(run, "doc_id long, label int, content array<int>, meta array<int>").toPandas()
+    # a repeated id is learned from once, and is reduced before the shuffle
+    once = viewed(docs).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min(F.struct("text", *META)).alias("row")).select("doc_id", "label", "row.*")
+    got = once.mapInPandas(run, "doc_id long, label int, content array<int>, meta array<int>").toPandas()
     got = got.sort_values("doc_id", kind="stable")
     known_rows, rest = got[got["label"].notna()], got[got["label"].isna()]
     return cotrain(list(known_rows["content"]), list(known_rows["meta"]), known_rows["label"].to_numpy(np.float64), list(rest["content"]), list(rest["meta"]))

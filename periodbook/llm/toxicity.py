@@ -8,7 +8,7 @@ to the loss, so that a group's mere mention gains no weight: neutral sentences a
 
 Cases: null and empty texts score as texts without words; null labels and labels without a text are
 not learned from; without both classes among the labels every text gets the smoothed share of
-toxic labels; repeated rows each give a row; an empty table gives no rows; other columns are ignored.
+toxic labels; repeated rows each give a row, but a repeated id is learned from once (its smallest text); an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -63,8 +63,8 @@ def learning_rows(docs: DataFrame, labels: DataFrame, label: str, sample: int) -
     known = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & (fold(F.col("doc_id")) != 0))
     known = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     few = known.orderBy(F.xxhash64("doc_id", F.lit(label)), "doc_id").limit(sample)
-    # bounded by ``sample`` rows
-    return docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")
+    # bounded by ``sample`` rows; a repeated id is learned from once, and is reduced before the shuffle
+    return docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = 8_000, sentences: int = 40_000, groups=IDENTITY, pair_weight: float = 1.0) -> Toxicity:
@@ -79,9 +79,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 8_000, sentences: in
                 pairs = [(words, other) for s in SENTENCE.split(text or "") if (other := twin(words := tokens(s), swap))]
                 was.append([features(a) for a, _ in pairs])
                 now.append([features(b) for _, b in pairs])
-            yield pd.DataFrame({"label": f["label"], "own": own, "was": was, "now": now})
+            yield pd.DataFrame({"doc_id": f["doc_id"], "label": f["label"], "own": own, "was": was, "now": now})
 
-    got = learning_rows(docs, labels, "toxic", sample).mapInPandas(run, "label int, own array<int>, was array<array<int>>, now array<array<int>>").toPandas()
+    schema = "doc_id long, label int, own array<int>, was array<array<int>>, now array<array<int>>"
+    got = learning_rows(docs, labels, "toxic", sample).mapInPandas(run, schema).toPandas().sort_values("doc_id")
     label = got["label"].to_numpy(np.float64)
     width = 1 << BITS
     if len(np.unique(label)) < 2:

@@ -97,6 +97,10 @@ def test_toxicity_scores_all_and_ignores_swapped_groups(docs_of, spark):
     assert np.mean([r.predicted == r.doc_id % 2 for r in held]) > 0.95
     assert toxicity.score(docs.limit(0), fair).count() == 0
     assert toxicity.train(docs.limit(0), known).score([""]).shape == (1,)
+    # one id with many rows is learned from once: the model is that of its smallest text
+    hot = docs_of([*rows, *[(1, rows[1][1] + " zz" + str(i)) for i in range(300)]])
+    assert np.allclose(toxicity.train(hot, known).weights, toxicity.train(docs_of(rows), known).weights, atol=1e-6)
+    assert toxicity.learning_rows(hot, known, "toxic", 50).count() <= 50
 
 
 def test_bpe_is_the_library(docs_of, texts):
@@ -229,6 +233,9 @@ def test_quality(docs_of, spark):
     assert quality.keep_good(docs, model).columns == docs.columns
     assert quality.score(docs.select("doc_id", "text"), model).filter("score is null").count() == 0
     assert quality.score(docs.limit(0), quality.train(docs.limit(0), known.limit(0))).count() == 0
+    # one id with many rows is learned from once
+    hot = docs_of([*rows, *[(1, rows[1][1] + " zz" + str(i)) for i in range(300)]])
+    assert np.allclose(quality.train(hot, known).content[0], quality.train(docs_of(rows), known).content[0], atol=1e-6)
 
 
 def test_substring_dedup(docs_of, texts):
