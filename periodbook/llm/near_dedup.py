@@ -125,7 +125,7 @@ def signed(docs: DataFrame, bands: int, rows: int) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """Those of the pairs (a, b) whose texts reach the similarity."""
+    """Those of the pairs (a, b, ra, rb) whose texts reach the similarity."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last, held = None, None
@@ -135,25 +135,37 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
                 if a != last:
                     last, held = a, weighted_set(ta)
                 good.append(similarity(held, weighted_set(tb)) >= least)
-            yield frame.loc[good, ["a", "b"]]
+            yield frame.loc[good, ["a", "b", "ra", "rb"]]
 
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb").mapInPandas(run, "a long, b long")
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "ra", "rb", "ta", "tb").mapInPandas(run, "a long, b long, ra long, rb long")
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(doc_id, root): the smallest member of each linked doc's component. Labels spread along links and jump to their label's label."""
-    both = keep(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
-    state = keep(both.groupBy(F.col("b").alias("doc_id")).agg(F.min("a").alias("m")).select("doc_id", F.least("doc_id", "m").alias("root")), "roots")
-    while True:
-        heard = both.join(state.withColumnRenamed("doc_id", "a"), "a").groupBy("b").agg(F.min("root").alias("heard"))
-        step = state.join(heard.withColumnRenamed("b", "doc_id"), "doc_id").select("doc_id", F.least("root", "heard").alias("next"), "root")
-        jump = state.select(F.col("doc_id").alias("next"), F.col("root").alias("far"))
-        new = keep(step.join(jump, "next", "left").select("doc_id", F.coalesce(F.least("next", "far"), "next").alias("root"), (F.coalesce(F.least("next", "far"), "next") != F.col("root")).alias("moved")), "roots")
-        if new.filter("moved").isEmpty():
-            return new.select("doc_id", "root")
-        state = new.select("doc_id", "root")
+    """(doc_id, root): the smallest member of each linked doc's component.
+
+    Every doc points to its smallest neighbour, pointers are followed to their ends, and the links are
+    drawn anew between those ends, each once, until none is left: the links get fewer in each pass.
+    """
+    known, edges = None, links
+    while known is None or not edges.isEmpty():
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        ends = keep(both.groupBy(F.col("b").alias("doc_id")).agg(F.min("a").alias("m")).select("doc_id", F.least("doc_id", "m").alias("root")), "ends")
+        moved = True
+        while moved:
+            further = ends.select(F.col("doc_id").alias("root"), F.col("root").alias("far"))
+            step = keep(ends.join(further, "root").select("doc_id", F.col("far").alias("root"), (F.col("far") < F.col("root")).alias("moved")), "ends")
+            moved, ends = not step.filter("moved").isEmpty(), step.select("doc_id", "root")
+        if known is None:
+            known = ends
+        else:
+            further = ends.select(F.col("doc_id").alias("root"), F.col("root").alias("far"))
+            known = keep(known.join(further, "root", "left").select("doc_id", F.coalesce("far", "root").alias("root")), "roots")
+        of_a = ends.select(F.col("doc_id").alias("a"), F.col("root").alias("ra"))
+        of_b = ends.select(F.col("doc_id").alias("b"), F.col("root").alias("rb"))
+        edges = keep(edges.join(of_a, "a").join(of_b, "b").filter("ra <> rb").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(), "links")
+    return known
 
 
 def sketched(texts: DataFrame) -> DataFrame:
@@ -180,7 +192,7 @@ def sketched(texts: DataFrame) -> DataFrame:
 
 
 def across(open_: DataFrame, own: DataFrame, texts: DataFrame, least: float, block: int = 1_024) -> DataFrame:
-    """Pairs (centre, rep) that share a bucket of ``open_`` (key, rep, root), lie in different components and may reach ``least``.
+    """Pairs (centre, rep), with their roots, that share a bucket of ``open_`` (key, rep, root), lie in different components and may reach ``least``.
 
     Buckets are compared block by block within tasks; only pairs whose sketches agree often enough
     leave them (4.5 standard deviations below ``least``), and only from the first bucket they share.
@@ -205,7 +217,7 @@ def across(open_: DataFrame, own: DataFrame, texts: DataFrame, least: float, blo
                 for k in range(0, len(i), 20_000):
                     a, b = i[k : k + 20_000], j[k : k + 20_000]
                     good = (sk_x[a] == sk_y[b]).mean(axis=1) >= cut
-                    yield pd.DataFrame({"centre": rep_x[a[good]], "rep": rep_y[b[good]]})
+                    yield pd.DataFrame({"centre": rep_x[a[good]], "c_root": root_x[a[good]], "rep": rep_y[b[good]], "root": root_y[b[good]]})
 
     sketches = sketched(texts.join(open_.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"))
     sizes = open_.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
@@ -215,7 +227,7 @@ def across(open_: DataFrame, own: DataFrame, texts: DataFrame, least: float, blo
     blocks = keep(blocks, "blocks")
     left = blocks.withColumn("other", F.explode(F.sequence("block", F.col("blocks") - 1)))
     right = blocks.select("key", F.col("block").alias("other"), F.col("left").alias("right"))
-    return left.join(right, ["key", "other"]).select("key", "block", "other", "left", "right").mapInPandas(run, "centre long, rep long")
+    return left.join(right, ["key", "other"]).select("key", "block", "other", "left", "right").mapInPandas(run, "centre long, c_root long, rep long, root long")
 
 
 def near_classes(docs: DataFrame, least: float = 0.8, bands: int = 24, rows: int = 5, rounds: int = 3) -> DataFrame:
@@ -231,26 +243,26 @@ def near_classes(docs: DataFrame, least: float = 0.8, bands: int = 24, rows: int
     texts = docs.select("doc_id", "text").join(shared.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     texts = keep(texts.filter("text is not null").dropDuplicates(["doc_id"]), "texts")
     rooted = shared.select("key", "rep", F.col("rep").alias("root"))
-    links = roots = None
     for r in range(rounds + 1):
         # buckets that still hold several components
         split = rooted.groupBy("key").agg(
             F.min("root").alias("lo"), F.max("root").alias("hi"), F.min_by(F.struct("rep", "root"), F.xxhash64("rep", "key", F.lit(r))).alias("c")
         ).filter("lo < hi").select("key", F.col("c.rep").alias("centre"), F.col("c.root").alias("c_root"))
         if r < rounds:
-            pairs = rooted.join(split, "key").filter("root <> c_root").select("centre", "rep")
+            pairs = rooted.join(split, "key").filter("root <> c_root").select("centre", "c_root", "rep", "root")
         else:
             pairs = across(keep(rooted.join(split.select("key"), "key"), "open"), own, texts, least)
-        pairs = pairs.select(F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b")).distinct()
+        one, two = F.struct(F.col("centre").alias("n"), F.col("c_root").alias("r")), F.struct(F.col("rep").alias("n"), F.col("root").alias("r"))
+        pairs = pairs.select(F.least(one, two).alias("x"), F.greatest(one, two).alias("y")).distinct()
+        pairs = pairs.select(F.col("x.n").alias("a"), F.col("y.n").alias("b"), F.col("x.r").alias("ra"), F.col("y.r").alias("rb"))
         new = keep(verified(pairs, texts, least), "links")
         if new.isEmpty():
             continue
-        links = new if links is None else links.unionByName(new)
-        roots = components(links)
-        rooted = shared.join(roots.withColumnRenamed("doc_id", "rep"), "rep", "left").select("key", "rep", F.coalesce("root", "rep").alias("root"))
-        rooted = keep(rooted, "rooted")
-    if roots is None:
-        roots = members.select("doc_id", F.col("doc_id").alias("root")).limit(0)
+        # links between members are links between the components found so far, each once
+        joined = components(new.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
+        joined = joined.select(F.col("doc_id").alias("root"), F.col("root").alias("now"))
+        rooted = keep(rooted.join(joined, "root", "left").select("key", "rep", F.coalesce("now", "root").alias("root")), "rooted")
+    roots = rooted.select(F.col("rep").alias("doc_id"), "root").distinct()
     classes = members.join(roots.withColumnRenamed("doc_id", "rep"), "rep", "left").select("doc_id", F.coalesce("root", "rep").alias("class_id"))
     lone = docs.select("doc_id").filter("doc_id is not null").select("doc_id", F.col("doc_id").alias("class_id"))
     return lone.unionByName(classes).groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
