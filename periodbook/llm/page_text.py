@@ -5,9 +5,9 @@ elements whose name, role, class or id says that they are no content. Pages are
 host with the page whose URL path is nearest: the neighbour in path order with the longer common
 beginning (of the two neighbours; if they are equally near, the one with more lines in common; copies
 of the page itself are passed over). The longest common
-subsequence of the two pages' lines is template text and is deleted. Lines inside the page's
-``article`` or ``main`` element are its text by the author's own mark: there differencing has nothing
-to decide, they stay; if a page has such an element, lines outside it go.
+subsequence of the two pages' lines is template text and is deleted, inside the page's ``article`` or
+``main`` element as well as outside it. Only paragraphs and headings inside that element stay
+although the other page has them: they are text by the author's own mark.
 
 A host with very many pages is cut into blocks by a hash of the path, so that no window holds more
 than about ``per_block`` pages; the list of such hosts is of bounded length (``most_hosts``).
@@ -41,6 +41,7 @@ TOKEN = re.compile(
 # HTML elements by their part in a page.
 DROPPED = frozenset("head nav footer aside form button select dialog menu object canvas audio video".split())
 MAIN = frozenset(("article", "main"))
+PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q ruby rt rp s samp small span strike strong sub sup time tt u var wbr br".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 ATTRIBUTE = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
@@ -61,17 +62,17 @@ def _is_chrome(name: str, attrs: str, inside: bool) -> bool:
 
 
 def lines(html: str | None) -> tuple[list[str], list[bool]]:
-    """Texts of the page's blocks in order, and whether each is inside its article or main element."""
+    """Texts of the page's blocks in order, and whether each is a paragraph or heading inside its article or main element."""
     texts: list[str] = []
-    inner: list[bool] = []
+    fixed: list[bool] = []
     held: list[str] = []
-    inside, skipping, depth = 0, "", 0
+    inside, skipping, depth, paragraph = 0, "", 0, False
 
     def flush() -> None:
         if held:
             if text := SPACE.sub(" ", unescape("".join(held))).strip():
                 texts.append(text)
-                inner.append(inside > 0)
+                fixed.append(inside > 0 and paragraph)
             held.clear()
 
     for m in TOKEN.finditer(html or ""):
@@ -96,6 +97,8 @@ def lines(html: str | None) -> tuple[list[str], list[bool]]:
                 skipping, depth = name, 1
             continue
         flush()
+        if name not in VOID:
+            paragraph = name in PARAGRAPHS and not m["close"]
         if m["close"]:
             inside -= name in MAIN and inside > 0
         elif name not in VOID and _is_chrome(name, m["attrs"], inside > 0):
@@ -104,7 +107,7 @@ def lines(html: str | None) -> tuple[list[str], list[bool]]:
         else:
             inside += name in MAIN
     flush()
-    return texts, inner
+    return texts, fixed
 
 
 def common_lines(own: list[int], other: list[int]) -> set[int]:
@@ -134,14 +137,12 @@ def shared_beginning(a: str, b: str) -> int:
     return next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
 
 
-def main_text(texts: list[str], inner: list[bool], marks: list[int], path: str, neighbours: list[tuple]) -> str:
+def main_text(texts: list[str], fixed: list[bool], marks: list[int], path: str, neighbours: list[tuple]) -> str:
     """The lines that stay, joined."""
     own = list(marks)
     near = [(shared_beginning(path, p), common_lines(own, list(m))) for p, m in neighbours if m is not None and list(m) != own]
     template = max(near, key=lambda x: (x[0], len(x[1])))[1] if near else set()
-    if any(inner):
-        return "\n".join(t for t, i in zip(texts, inner, strict=True) if i)
-    return "\n".join(t for k, t in enumerate(texts) if k not in template)
+    return "\n".join(t for k, (t, stays) in enumerate(zip(texts, fixed, strict=True)) if stays or k not in template)
 
 
 def extract(pages: DataFrame, per_block: int = 2_000, most_hosts: int = 100_000) -> DataFrame:
@@ -161,20 +162,20 @@ def extract(pages: DataFrame, per_block: int = 2_000, most_hosts: int = 100_000)
             for a, b in batches(f["html"].tolist()):
                 part = f.iloc[a:b]
                 got = [lines(h) for h in part["html"]]
-                yield part.drop(columns=["html"]).assign(texts=[t for t, _ in got], inner=[i for _, i in got], marks=[hashes(t).view(np.int64) for t, _ in got])
+                yield part.drop(columns=["html"]).assign(texts=[t for t, _ in got], fixed=[x for _, x in got], marks=[hashes(t).view(np.int64) for t, _ in got])
 
-    schema = "page_id long, url string, host string, path string, block long, texts array<string>, inner array<boolean>, marks array<long>"
+    schema = "page_id long, url string, host string, path string, block long, texts array<string>, fixed array<boolean>, marks array<long>"
     parsed = dealt.select("page_id", "url", "html", "host", "path", F.col("block").cast("long").alias("block")).mapInPandas(read, schema)
     order = W.partitionBy("host", "block").orderBy("path", "page_id", "url")
     paired = parsed.select(
-        "page_id", "url", "path", "texts", "inner", "marks", F.lag("path").over(order).alias("path_a"), F.lag("marks").over(order).alias("marks_a"),
+        "page_id", "url", "path", "texts", "fixed", "marks", F.lag("path").over(order).alias("path_a"), F.lag("marks").over(order).alias("marks_a"),
         F.lead("path").over(order).alias("path_b"), F.lead("marks").over(order).alias("marks_b"),
     )
 
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             texts = [
-                main_text(r.texts, r.inner, r.marks, r.path, [(r.path_a, r.marks_a), (r.path_b, r.marks_b)]) for r in f.itertuples()
+                main_text(r.texts, r.fixed, r.marks, r.path, [(r.path_a, r.marks_a), (r.path_b, r.marks_b)]) for r in f.itertuples()
             ]
             yield pd.DataFrame({"page_id": f["page_id"], "url": f["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 

@@ -301,6 +301,13 @@ def test_page_text(spark):
     assert page_text.extract(pages.limit(0)).count() == 0
 
 
+def test_differencing_decides_on_pages_with_an_article(spark):
+    page = "{head}<div>Site name</div><div>Written in {n}</div><article><h1>Title {n}</h1><ul><li>Topics</li><li>Topic {n}</li></ul><p>Said in both.</p><p>Only {n}.<div>Read more</div></article><div>All rights</div>"
+    pages = spark.createDataFrame([(n, f"http://a.example/x/{n}", page.format(head=HEAD, n=n)) for n in (1, 2)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in page_text.extract(pages).collect()}
+    assert got == {n: f"Written in {n}\nTitle {n}\nTopic {n}\nSaid in both.\nOnly {n}." for n in (1, 2)}
+
+
 def test_common_lines_are_longest():
     rng = random.Random(2)
     for _ in range(200):
