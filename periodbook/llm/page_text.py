@@ -4,13 +4,14 @@ A page is read as lines: the texts of its blocks, without markup, scripts, style
 elements whose name, role, class or id says that they are no content. Pages are paired within each
 host with the page whose URL path is nearest: the neighbour in path order with the longer common
 beginning (of the two neighbours; if they are equally near, the one with more lines in common; copies
-of the page itself are passed over). The longest common
+of the page itself, however many and under whatever path, are passed over). The longest common
 subsequence of the two pages' lines is template text and is deleted, inside the page's ``article`` or
 ``main`` element as well as outside it. Only paragraphs and headings inside that element stay
 although the other page has them: they are text by the author's own mark.
 
-A host with very many pages is cut into blocks by a hash of the path, so that no window holds more
-than about ``per_block`` pages; the list of such hosts is of bounded length (``most_hosts``).
+Neighbours are sought among the distinct (host, path, lines), of which only hashes of the lines are
+held. They are cut into ranges of about ``per_range`` by host and path, whatever host they are of; each
+range is told the nearest other pages before and after it, so the cuts change no result.
 
 Cases: null html is empty and gives empty text; null or unparsable URLs make a host of their own; a
 page alone on its host keeps all its lines; repeated rows each give a row; an empty table gives no rows; other
@@ -22,16 +23,16 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from html import unescape
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from periodbook.llm.common import batches, hashes
+from periodbook.llm.common import batches, hashes, keep, parts
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|textarea|svg|iframe)\b(?:[^<>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
@@ -137,46 +138,100 @@ def shared_beginning(a: str, b: str) -> int:
     return next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
 
 
-def main_text(texts: list[str], fixed: list[bool], marks: list[int], path: str, neighbours: list[tuple]) -> str:
-    """The lines that stay, joined."""
-    own = list(marks)
-    near = [(shared_beginning(path, p), common_lines(own, list(m))) for p, m in neighbours if m is not None and list(m) != own]
-    template = max(near, key=lambda x: (x[0], len(x[1])))[1] if near else set()
+def main_text(texts: list[str], fixed: list[bool], gone: Iterable[int]) -> str:
+    """The lines that stay, joined; ``gone`` are the places of the template's lines."""
+    template = set(gone)
     return "\n".join(t for k, (t, stays) in enumerate(zip(texts, fixed, strict=True)) if stays or k not in template)
 
 
-def extract(pages: DataFrame, per_block: int = 2_000, most_hosts: int = 100_000) -> DataFrame:
+def _digest(marks: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(marks.tobytes())
+
+
+def edges(ranges: DataFrame) -> dict[int, tuple]:
+    """For each range the last pages before it and the first ones after it, two with different lines on each side at most."""
+    page = F.struct("host", "path", "digest", "marks")
+    ends = ranges.groupBy("range").agg(F.min(page).alias("first"), F.max(page).alias("last"))
+    known = ends.select("range", F.col("first.digest").alias("f"), F.col("last.digest").alias("l"))
+    seconds = ranges.join(F.broadcast(known), "range").groupBy("range").agg(
+        F.min(F.when(F.col("digest") != F.col("f"), page)).alias("first"), F.max(F.when(F.col("digest") != F.col("l"), page)).alias("last")
+    )
+    # bounded: one row per range
+    one, two = ({r["range"]: r for r in x.collect()} for x in (ends, seconds))
+    out: dict[int, list] = {k: [(), ()] for k in one}
+    for side, name, order in ((0, "last", sorted(one)), (1, "first", sorted(one, reverse=True))):
+        near: list = []
+        for k in order:
+            out[k][side] = tuple(near)
+            own = [tuple(x[name]) for x in (one[k], two[k]) if x[name] is not None]
+            near = (own + [x for x in near if x[2] != own[0][2]])[:2]
+    return {k: tuple(v) for k, v in out.items()}
+
+
+def templates(f: pd.DataFrame, before: tuple, after: tuple) -> list[list[int]]:
+    """The places of the template lines of each page of a range in order (host, path, digest, marks)."""
+    rows = list(zip(f["host"], f["path"], f["digest"], f["marks"], strict=True))
+
+    def others(order: range, near: tuple) -> list:
+        """The nearest page with other lines that comes earlier in ``order``, if it is of the same host."""
+        found: list = [None] * len(rows)
+        last, other = (*near, None, None)[:2]  # the page met last, and the nearest one with other lines than that
+        for i in order:
+            if last is not None and last[2] != rows[i][2]:
+                other = last
+            found[i] = other if other is not None and other[0] == rows[i][0] else None
+            last = rows[i]
+        return found
+
+    out = []
+    for row, a, b in zip(rows, others(range(len(rows)), before), others(range(len(rows) - 1, -1, -1), after), strict=True):
+        own = list(row[3])
+        near = [(shared_beginning(row[1], x[1]), common_lines(own, list(x[3]))) for x in (a, b) if x is not None]
+        out.append(sorted(max(near, key=lambda x: (x[0], len(x[1])))[1]) if near else [])
+    return out
+
+
+def extract(pages: DataFrame, per_range: int = 20_000) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages`` (page_id, url, html)."""
     address = F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)([^?#]*)", 1)
     path = F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)([^?#]*)", 2)
     placed = pages.select("page_id", "url", "html", F.lower(address).alias("host"), path.alias("path"))
-    counts = placed.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
-    total = placed.count()
-    large = max(per_block, total // most_hosts)
-    # bounded: at most most_hosts hosts can have more than total / most_hosts pages
-    big = F.broadcast(counts.filter(F.col("n") > large).select("host", F.ceil(F.col("n") / per_block).alias("blocks")))
-    dealt = placed.join(big, "host", "left").withColumn("block", F.when(F.col("blocks").isNotNull(), F.pmod(F.xxhash64("path"), "blocks")).otherwise(0))
+
+    def mark(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for a, b in batches(f["html"].tolist()):
+                part = f.iloc[a:b]
+                marks = [hashes(lines(h)[0]).view(np.int64) for h in part["html"]]
+                yield pd.DataFrame({"host": part["host"], "path": part["path"], "digest": [_digest(m) for m in marks], "marks": marks})
+
+    marked = placed.select("host", "path", "html").mapInPandas(mark, "host string, path string, digest binary, marks array<long>")
+    distinct = marked.groupBy("host", "path", "digest").agg(F.first("marks").alias("marks"))
+    ranges = distinct.repartitionByRange(parts(pages.count(), per_range), "host", "path", "digest")
+    ranges = keep(ranges.withColumn("range", F.spark_partition_id()), "ranges")
+    near = pages.sparkSession.sparkContext.broadcast(edges(ranges))
+
+    def decide(f: pd.DataFrame) -> pd.DataFrame:
+        # as Spark orders strings, by their bytes
+        keys = [(h.encode("utf-8", "surrogatepass"), p.encode("utf-8", "surrogatepass"), d) for h, p, d in zip(f["host"], f["path"], f["digest"], strict=True)]
+        f = f.iloc[sorted(range(len(f)), key=keys.__getitem__)]
+        found = f[["host", "path", "digest"]].assign(gone=templates(f, *near.value[int(f["range"].iloc[0])]))
+        return found[[len(g) > 0 for g in found["gone"]]]
+
+    decided = ranges.groupBy("range").applyInPandas(decide, "host string, path string, digest binary, gone array<int>")
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             for a, b in batches(f["html"].tolist()):
                 part = f.iloc[a:b]
                 got = [lines(h) for h in part["html"]]
-                yield part.drop(columns=["html"]).assign(texts=[t for t, _ in got], fixed=[x for _, x in got], marks=[hashes(t).view(np.int64) for t, _ in got])
-
-    schema = "page_id long, url string, host string, path string, block long, texts array<string>, fixed array<boolean>, marks array<long>"
-    parsed = dealt.select("page_id", "url", "html", "host", "path", F.col("block").cast("long").alias("block")).mapInPandas(read, schema)
-    order = W.partitionBy("host", "block").orderBy("path", "page_id", "url")
-    paired = parsed.select(
-        "page_id", "url", "path", "texts", "fixed", "marks", F.lag("path").over(order).alias("path_a"), F.lag("marks").over(order).alias("marks_a"),
-        F.lead("path").over(order).alias("path_b"), F.lead("marks").over(order).alias("marks_b"),
-    )
+                yield part.drop(columns=["html"]).assign(texts=[t for t, _ in got], fixed=[x for _, x in got], digest=[_digest(hashes(t)) for t, _ in got])
+
+    parsed = placed.mapInPandas(read, "page_id long, url string, host string, path string, texts array<string>, fixed array<boolean>, digest binary")
+    joined = parsed.join(decided, ["host", "path", "digest"], "left").select("page_id", "url", "texts", "fixed", "gone")
 
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            texts = [
-                main_text(r.texts, r.fixed, r.marks, r.path, [(r.path_a, r.marks_a), (r.path_b, r.marks_b)]) for r in f.itertuples()
-            ]
+            texts = [main_text(t, x, () if g is None else g) for t, x, g in zip(f["texts"], f["fixed"], f["gone"], strict=True)]
             yield pd.DataFrame({"page_id": f["page_id"], "url": f["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
-    return paired.mapInPandas(write, "page_id long, url string, text string, n_chars long")
+    return joined.mapInPandas(write, "page_id long, url string, text string, n_chars long")

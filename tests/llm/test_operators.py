@@ -308,6 +308,17 @@ def test_differencing_decides_on_pages_with_an_article(spark):
     assert got == {n: f"Written in {n}\nTitle {n}\nTopic {n}\nSaid in both.\nOnly {n}." for n in (1, 2)}
 
 
+@pytest.mark.parametrize("per_range", [20_000, 5])
+def test_pages_pair_with_their_nearest_url(spark, per_range):
+    """On a host of any size, copies of a page passed over; section menus are shared with the true neighbour only."""
+    rows = [(n, f"http://a.example/s{n // 2:02d}/{n % 2}", f"{HEAD}<div>Section {n // 2}</div><p>Only {n}.</p>") for n in range(40)]
+    rows += [(100 + n, f"http://b.example/x/{n}", f"{HEAD}<div>Site</div><p>Copied.</p>") for n in range(12)] + [(120, "http://b.example/x/2", f"{HEAD}<div>Site</div><p>Other.</p>")]
+    pages = spark.createDataFrame([*rows, *rows[:3]], "page_id long, url string, html string")
+    got = [(r.page_id, r.text) for r in page_text.extract(pages, per_range).collect()]
+    want = [(n, f"Only {n}.") for n in range(40)] + [(100 + n, "Copied.") for n in range(12)] + [(120, "Other.")]
+    assert sorted(got) == sorted([*want, *want[:3]])
+
+
 def test_common_lines_are_longest():
     rng = random.Random(2)
     for _ in range(200):
