@@ -90,7 +90,10 @@ TEMPLATES = {
         "This is free and unencumbered software released into the public domain.",
         "Released under the Unlicense.",
     ),
-    "Proprietary": ("All rights reserved. No part of this work may be reproduced without prior written permission.",),
+    "Proprietary": (
+        "All rights reserved.",
+        "All rights reserved. No part of this work may be reproduced without prior written permission.",
+    ),
 }
 FAMILIES = tuple(TEMPLATES)
 UNKNOWN = len(FAMILIES)

@@ -171,6 +171,16 @@ def test_licences(docs_of, texts):
     assert sum(map(len, got.values())) == len(rows) + len(ODD)
 
 
+def test_shortest_notice_of_each_family(docs_of, texts):
+    """The shortest template of each family; those of the given documents are among them or stand below."""
+    notices = [(name, min(licences.TEMPLATES[name], key=len)) for name in licences.FAMILIES]
+    notices += [("GPL", "This work is licensed under the GNU General Public License, version 3."), ("Proprietary", "All rights reserved."), ("CC-BY-NC", "Licensed under CC BY-NC 4.0."),
+                ("MIT", "Released under the MIT License."), ("Apache-2.0", "Licensed under the Apache License, Version 2.0.")]
+    docs = docs_of([*texts, *((400 + k, f"first line\n{t}\nlast line") for k, (_, t) in enumerate(notices)), (500, "all the rights of the reserved seats")])
+    got = {r.doc_id: r.licences for r in licences.scan(docs, licences.train(docs)).collect() if r.doc_id >= 400}
+    assert got == {500: []} | {400 + k: [name] for k, (name, _) in enumerate(notices)}
+
+
 def test_ring_shards(docs_of, texts):
     rows = [*texts, *ODD]
     docs = docs_of(rows)
