@@ -1,14 +1,17 @@
 """Licence scan by a trained paragraph classifier.
 
-Every paragraph (line) of a document is classified: a softmax regression over hashed word n-grams
+A paragraph is a block of lines without a blank one between them. Every line of it is classified, and
+every run of its words, over whatever lines, that has enough word pairs of a template in a stretch of
+about the template's length: a wrapped notice is judged as a whole, and each of several notices of a
+paragraph by itself. The classifier: a softmax regression over hashed word n-grams
 (one and two words) tells licence families apart from one another and from ``unknown``, which stands
 for ordinary text and for licences not among the families. It is trained here: positives are the
 families' notices and variants of them (comment marks, other years and names, words left out),
 negatives are paragraphs of a bounded sample of the documents (``sample`` of them) and notices whose
 telling words were exchanged. The unknown class is calibrated on variants and paragraphs kept
 aside: a temperature and the lowest family probability that lets at most ``slips`` of them
-through. A family that passes is confirmed only if the paragraph shares enough word pairs with one
-of that family's templates.
+through. Every family that passes is confirmed only if the line or run shares enough word pairs with one
+of that family's templates, and a run also a word that tells the template's licence, if it has one.
 
 Cases: null and empty texts have no licence; paragraphs of any length are read whole; repeated rows each
 give a row; an empty table gives no rows; other columns are ignored.
@@ -39,6 +42,7 @@ TEMPLATES = {
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         "Released under the Apache License 2.0.",
+        "Apache License, Version 2.0.",
         "SPDX-License-Identifier: Apache-2.0",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
         "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
@@ -97,6 +101,7 @@ TEMPLATES = {
 }
 FAMILIES = tuple(TEMPLATES)
 UNKNOWN = len(FAMILIES)
+TELLING = frozenset("mit apache gnu gpl lgpl agpl bsd mozilla mpl cc cc0 creative unlicense affero lesser".split())
 WORD = re.compile(r"\w+")
 BITS = 16
 RESULT = "doc_id long, licences array<string>, licence string, probability double, likeness double, paragraphs int"
@@ -124,6 +129,98 @@ def likeness(ws: list[str], family: str) -> float:
     return max(len(own & t) / len(t) for t in PAIRS[family])
 
 
+# all templates' word pairs by hash, and which template has which
+KNOWN = [(name, words(t), p) for name, ts in TEMPLATES.items() for t, p in zip(ts, PAIRS[name], strict=True)]
+_hash = {p: rolling(hashes(list(p)), 2)[0] for _, _, ps in KNOWN for p in ps}
+PAIR_HASHES = np.unique(np.array(list(_hash.values()), np.uint64))
+HAS = np.array([np.isin(PAIR_HASHES, [_hash[p] for p in ps]) for _, _, ps in KNOWN])
+
+
+def runs(two: np.ndarray, block: np.ndarray, confirm: float) -> list[tuple[int, int, int]]:
+    """(template, first word, last word) of the stretches of words that have ``confirm`` of a template's pairs.
+
+    ``two`` are the hashes of the pairs of neighbouring words, ``block`` the paragraph of each, -1 where a pair crosses
+    paragraphs. Of a stretch that reaches the share, the shortest part that does and the longest one are given.
+    """
+    slot = np.searchsorted(PAIR_HASHES, two).clip(max=len(PAIR_HASHES) - 1)
+    at = np.flatnonzero((PAIR_HASHES[slot] == two) & (block >= 0))
+    if not len(at):
+        return []
+    slot, block = slot[at], block[at]
+    need = np.array([max(1, int(np.ceil(confirm * len(ps) - 1e-9))) for _, _, ps in KNOWN])
+    blocks, inverse = np.unique(block, return_inverse=True)
+    found = np.unique(inverse * len(PAIR_HASHES) + slot)
+    which, pair = np.divmod(found, len(PAIR_HASHES))
+    counts = np.add.reduceat(HAS[:, pair].astype(np.int64), np.searchsorted(which, np.arange(len(blocks))), axis=1)
+    bounds = np.searchsorted(inverse, np.arange(len(blocks) + 1))
+    out = []
+    for t, b in np.argwhere(counts >= need[:, None]):
+        own = slice(bounds[b], bounds[b + 1])
+        hit = HAS[t, slot[own]]
+        place, kind = at[own][hit].tolist(), slot[own][hit].tolist()
+        span = int(1.5 * len(KNOWN[t][1])) + 2
+        held: dict[int, int] = {}
+        left, tight, best = 0, None, 0
+        for right in range(len(place)):
+            if tight and place[right] - tight[0] > span:
+                out += [(int(t), *tight), (int(t), tight[0], place[last] + 1)]
+                left, tight, held = last + 1, None, {}
+                for k in kind[left:right]:
+                    held[k] = held.get(k, 0) + 1
+            held[kind[right]] = held.get(kind[right], 0) + 1
+            if tight:
+                if len(held) > best:
+                    best, last = len(held), right
+                continue
+            while place[right] - place[left] > span or held[kind[left]] > 1:
+                held[kind[left]] -= 1
+                if not held[kind[left]]:
+                    del held[kind[left]]
+                left += 1
+            if len(held) >= need[t]:
+                tight, best, last = (place[left], place[right] + 1), len(held), right
+        if tight:
+            out += [(int(t), *tight), (int(t), tight[0], place[last] + 1)]
+    return list(dict.fromkeys(out))
+
+
+def split_lines(texts: list) -> tuple[list[int], list[list[str]], list[int]]:
+    """For each line with words: its text's number, its words, and the number of its paragraph."""
+    owner, rows, block = [], [], []
+    blocks = 0
+    for i, t in enumerate(texts):
+        blocks += 1
+        for p in t.split("\n") if t else ():
+            if ws := words(p):
+                owner.append(i)
+                rows.append(ws)
+                block.append(blocks)
+            elif not p.strip():
+                blocks += 1
+    return owner, rows, block
+
+
+def within_blocks(block: list[int], own: np.ndarray) -> np.ndarray:
+    """The paragraph of each pair of neighbouring words, whose lines are ``own``; -1 between paragraphs."""
+    of_word = np.array(block)[own]
+    return np.where(of_word[:-1] == of_word[1:], of_word[:-1], -1)
+
+
+def ordinary_lines(texts: list, least: float = 0.5) -> list[list[str]]:
+    """Words of the lines that neither have nor are part of something that has ``least`` of a template's pairs."""
+    _, rows, block = split_lines(texts)
+    if not rows:
+        return []
+    own = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    flat = [w for r in rows for w in r]
+    taken = set()
+    for t, x, y in runs(rolling(hashes(flat), 2), within_blocks(block, own), least):
+        telling = TELLING & set(KNOWN[t][1])
+        if not telling or telling & set(flat[x : y + 1]):
+            taken.update(range(own[x], own[y] + 1))
+    return [ws for k, ws in enumerate(rows) if k not in taken and max(likeness(ws, f) for f in FAMILIES) < least]
+
+
 def variants(rng: np.random.Generator, copies: int) -> tuple[list[list[str]], list[int]]:
     rows, labels = [], []
     for k, name in enumerate(FAMILIES):
@@ -136,9 +233,8 @@ def variants(rng: np.random.Generator, copies: int) -> tuple[list[list[str]], li
                 rows.append(lead + kept)
                 labels.append(k)
             # the same notice without the words that name the licence
-            telling = {"mit", "apache", "gnu", "gpl", "lgpl", "agpl", "bsd", "mozilla", "mpl", "cc", "cc0", "creative", "unlicense", "affero", "lesser"}
-            if telling & set(own):
-                rows += [[f"x{rng.integers(1 << 30)}" if w in telling else w for w in own]] * 2
+            if TELLING & set(own):
+                rows += [[f"x{rng.integers(1 << 30)}" if w in TELLING else w for w in own]] * 2
                 labels += [UNKNOWN] * 2
     return rows, labels
 
@@ -169,7 +265,7 @@ def train(docs: DataFrame, sample: int = 500, slips: float = 0.0005, copies: int
     """``sample`` documents, those with the smallest hashes of their ids, give the ordinary paragraphs."""
     few = docs.select("doc_id", "text").filter("text is not null").orderBy(F.xxhash64("doc_id", F.lit("licence")), "doc_id").limit(sample)
     rng = np.random.default_rng(7)
-    ordinary = [ws for t in few.toPandas()["text"] for p in t.split("\n") if (ws := words(p)) and max(likeness(ws, f) for f in FAMILIES) < 0.5]
+    ordinary = ordinary_lines(few.toPandas()["text"].tolist())
     rows, labels = variants(rng, copies)
     rows, labels = rows + ordinary, np.array(labels + [UNKNOWN] * len(ordinary))
     aside = rng.random(len(rows)) < 0.25
@@ -204,8 +300,16 @@ def train(docs: DataFrame, sample: int = 500, slips: float = 0.0005, copies: int
     return Licences(w.astype(np.float32), b, best[1], least)
 
 
+def stretched(found: list[tuple]) -> int:
+    """Number of separate stretches of lines among ``found`` (.., first line, last line)."""
+    n, end = 0, -1
+    for first, last in sorted(x[3:] for x in found):
+        n, end = n + (first > end), max(end, last)
+    return n
+
+
 def scan(docs: DataFrame, model: Licences, confirm: float = 0.6) -> DataFrame:
-    """One row per row of ``docs``: all confirmed families by name, the surest one, its figures, and how many paragraphs name a licence."""
+    """One row per row of ``docs``: all confirmed families by name, the surest one, its figures, and how many lines or runs of lines name a licence."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -213,12 +317,7 @@ def scan(docs: DataFrame, model: Licences, confirm: float = 0.6) -> DataFrame:
         for f in frames:
             texts = f["text"].tolist()
             for a, b in batches(texts, 500_000):
-                owner, rows = [], []
-                for i, t in enumerate(texts[a:b]):
-                    for p in t.split("\n") if t else ():
-                        if ws := words(p):
-                            owner.append(i)
-                            rows.append(ws)
+                owner, rows, block = split_lines(texts[a:b])
                 found: list[list[tuple]] = [[] for _ in range(b - a)]
                 if rows:
                     lengths = np.array([len(r) for r in rows])
@@ -232,18 +331,26 @@ def scan(docs: DataFrame, model: Licences, confirm: float = 0.6) -> DataFrame:
                     order = np.argsort(belongs, kind="stable")
                     sizes = np.bincount(belongs, minlength=len(rows))
                     p = m.probabilities(flat[order].astype(np.int64), np.cumsum(sizes) - sizes, sizes)
-                    top = p[:, :UNKNOWN].argmax(axis=1)
-                    for r in np.flatnonzero(p[np.arange(len(rows)), top] >= m.least):
-                        family = FAMILIES[top[r]]
-                        if (like := likeness(rows[r], family)) >= confirm:
-                            found[owner[r]].append((float(p[r, top[r]]), like, family))
+                    for r, k in np.argwhere(p[:, :UNKNOWN] >= m.least):
+                        if (like := likeness(rows[r], FAMILIES[k])) >= confirm:
+                            found[owner[r]].append((float(p[r, k]), like, FAMILIES[k], int(r), int(r)))
+                    stretches = runs(two, within_blocks(block, own), confirm)
+                    flat_words = [w for r in rows for w in r] if stretches else []
+                    parts = [flat_words[x : y + 1] for _, x, y in stretches]
+                    p = m.probabilities(*_flat(parts)) if parts else p
+                    for (t, x, y), ws, chance in zip(stretches, parts, p, strict=False):
+                        family, template, _ = KNOWN[t]
+                        chance = float(chance[FAMILIES.index(family)])
+                        telling = TELLING & set(template)
+                        if chance >= m.least and (not telling or telling & set(ws)) and (like := likeness(ws, family)) >= confirm:
+                            found[owner[own[x]]].append((chance, like, family, int(own[x]), int(own[y])))
                 yield pd.DataFrame({
                     "doc_id": f["doc_id"].iloc[a:b],
                     "licences": [sorted({x[2] for x in g}) for g in found],
                     "licence": [max(g)[2] if g else None for g in found],
                     "probability": [max(g)[0] if g else None for g in found],
                     "likeness": [max(g)[1] if g else None for g in found],
-                    "paragraphs": [len(g) for g in found],
+                    "paragraphs": [stretched(g) for g in found],
                 })
 
     return docs.select("doc_id", "text").mapInPandas(run, RESULT)

@@ -181,6 +181,30 @@ def test_shortest_notice_of_each_family(docs_of, texts):
     assert got == {500: []} | {400 + k: [name] for k, (name, _) in enumerate(notices)}
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"""
+BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+
+
+def test_wrapped_and_dual_notices(docs_of, texts):
+    import textwrap
+
+    wrap = lambda t, n, mark="": "\n".join(mark + x for x in textwrap.wrap(t, n))
+    plain = " ".join(prose(random.Random(3), 300))
+    cases = [
+        (wrap(MIT, 60), ["MIT"]), (wrap(MIT, 30, " * "), ["MIT"]), (wrap(BSD, 50, "# "), ["BSD"]), (f"{wrap(plain, 60)}\n{wrap(BSD, 40)}\n{wrap(plain, 60)}", ["BSD"]),
+        (f"{plain} Released under the MIT License. {plain}", ["MIT"]), (wrap("Licensed under the Apache License, Version 2.0.", 16), ["Apache-2.0"]),
+        ("Licensed under the MIT license or Apache License, Version 2.0.", ["Apache-2.0", "MIT"]), (wrap(f"{MIT} {BSD}", 50), ["BSD", "MIT"]),
+        ("This library is licensed under the GNU Lesser General Public License, version 3.", ["LGPL"]), ("Licensed under the GNU Affero General Public License, version 3.", ["AGPL"]),
+        ("the film was released under\nthe title of the first book", []), ("permission is hereby granted\n\nto any person obtaining a copy", []), (plain, []),
+    ]
+    docs = docs_of([*texts, *((400 + k, t) for k, (t, _) in enumerate(cases))])
+    got = {r.doc_id: (r.licences, r.paragraphs) for r in licences.scan(docs, licences.train(docs)).collect()}
+    assert [got[400 + k][0] for k in range(len(cases))] == [w for _, w in cases]
+    assert got[400][1] == got[402][1] == 1 and got[412][1] == 0
+    assert all(not got[i][0] for i, _ in texts)
+
+
 def test_ring_shards(docs_of, texts):
     rows = [*texts, *ODD]
     docs = docs_of(rows)
