@@ -9,12 +9,13 @@ Each dart names one of ``size`` coordinates; a coordinate keeps its earliest dar
 the signature there. Two texts agree in a coordinate with probability equal to their weighted
 Jaccard similarity, and a text costs about size * ln(size) darts however long it is.
 
-Signatures are joined by bands. Texts with the same words are first reduced to one representative
-(the smallest doc_id), so copies are never paired. In a bucket every member is compared, exactly, on
+Signatures are joined by bands. Texts with the same words are first reduced to one representative,
+which has a number of its own (a doc_id may have several texts), so copies are never paired. In a bucket every member is compared, exactly, on
 the texts, with one member that a hash picks, another one in each bucket and round; links within a component tell
 nothing new, so later rounds compare only across components. What ``rounds`` such rounds leave in different components
 is at last compared across components, block by block and by larger sketches first, so that no link found by the bands is lost, while a large group of
-near copies costs a few comparisons per member and bucket. Classes are the connected components.
+near copies costs a few comparisons per member and bucket. Classes are the connected components of the documents: the
+texts of one doc_id belong together.
 
 With 24 bands of 5, a pair of similarity 0.8 is missed with probability 0.00007, one of 0.9 never in practice.
 
@@ -30,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from periodbook.llm.common import GOLDEN, batches, keep, mix, shingles, text_words, unit
@@ -39,6 +40,11 @@ SHINGLE = 5
 SKETCH = 1_024
 
 
+def _raw() -> Column:
+    """Tells apart the texts of one doc_id."""
+    return F.unhex(F.md5(F.col("text").cast("binary")))
+
+
 def weighted_set(text: str | None, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles and their numbers of occurrences."""
     return np.unique(shingles(text_words(text), n), return_counts=True)
@@ -103,25 +109,26 @@ def band_keys(signatures: np.ndarray, rows: int) -> np.ndarray:
 
 
 def signed(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """(doc_id, same, keys) of every text with words: a 128-bit digest of its words, and its band keys."""
+    """(doc_id, raw, same, keys) of every text with words: digests of the text and of its words, and its band keys."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            texts, numbers = frame["text"].tolist(), frame["doc_id"].to_numpy()
+            texts, numbers, raws = frame["text"].tolist(), frame["doc_id"].to_numpy(), frame["raw"].tolist()
             for a, b in batches(texts, 2_000_000):
-                sets, digest, ids = [], [], []
-                for text, number in zip(texts[a:b], numbers[a:b], strict=True):
+                sets, digest, ids, raw = [], [], [], []
+                for text, number, own in zip(texts[a:b], numbers[a:b], raws[a:b], strict=True):
                     if words := text_words(text):
                         sets.append(np.unique(shingles(words, SHINGLE), return_counts=True))
                         digest.append(xxhash.xxh3_128_digest(" ".join(words)))
                         ids.append(number)
+                        raw.append(own)
                 if not sets:
                     continue
                 owner = np.repeat(np.arange(len(sets)), [len(s[0]) for s in sets])
                 got = dart_signatures(np.concatenate([s[0] for s in sets]), np.concatenate([s[1] for s in sets]), owner, len(sets), bands * rows)
-                yield pd.DataFrame({"doc_id": ids, "same": digest, "keys": list(band_keys(got, rows))})
+                yield pd.DataFrame({"doc_id": ids, "raw": raw, "same": digest, "keys": list(band_keys(got, rows))})
 
-    return docs.select("doc_id", "text").filter("doc_id is not null").mapInPandas(run, "doc_id long, same binary, keys array<long>")
+    return docs.select("doc_id", _raw().alias("raw"), "text").filter("doc_id is not null").mapInPandas(run, "doc_id long, raw binary, same binary, keys array<long>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -137,8 +144,8 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
                 good.append(similarity(held, weighted_set(tb)) >= least)
             yield frame.loc[good, ["a", "b", "ra", "rb"]]
 
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
+    left = texts.select(F.col("rep").alias("a"), F.col("text").alias("ta"))
+    right = texts.select(F.col("rep").alias("b"), F.col("text").alias("tb"))
     return pairs.join(right, "b").join(left, "a").select("a", "b", "ra", "rb", "ta", "tb").mapInPandas(run, "a long, b long, ra long, rb long")
 
 
@@ -188,7 +195,7 @@ def sketched(texts: DataFrame) -> DataFrame:
                 out.append((mix(low) >> np.uint64(56)).astype(np.uint8).tobytes())
             yield pd.DataFrame({"rep": f["rep"], "sketch": out})
 
-    return texts.select(F.col("doc_id").alias("rep"), "text").mapInPandas(run, "rep long, sketch binary")
+    return texts.select("rep", "text").mapInPandas(run, "rep long, sketch binary")
 
 
 def across(open_: DataFrame, own: DataFrame, texts: DataFrame, least: float, block: int = 1_024) -> DataFrame:
@@ -219,7 +226,7 @@ def across(open_: DataFrame, own: DataFrame, texts: DataFrame, least: float, blo
                     good = (sk_x[a] == sk_y[b]).mean(axis=1) >= cut
                     yield pd.DataFrame({"centre": rep_x[a[good]], "c_root": root_x[a[good]], "rep": rep_y[b[good]], "root": root_y[b[good]]})
 
-    sketches = sketched(texts.join(open_.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"))
+    sketches = sketched(texts.join(open_.select("rep").distinct(), "rep", "left_semi"))
     sizes = open_.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
     full = open_.join(sketches, "rep").join(own, "rep").join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks"))
     # bounded: about ``block`` members each
@@ -233,15 +240,16 @@ def across(open_: DataFrame, own: DataFrame, texts: DataFrame, least: float, blo
 def near_classes(docs: DataFrame, least: float = 0.8, bands: int = 24, rows: int = 5, rounds: int = 3) -> DataFrame:
     """One row per document (doc_id): (doc_id, class_id), the class being its smallest doc_id."""
     sign = keep(signed(docs, bands, rows), "darts")
-    reps = sign.groupBy("same").agg(F.min("doc_id").alias("rep"))
-    members = sign.select("doc_id", "same").distinct().join(reps, "same").select("doc_id", "rep")
-    # a doc_id with several texts is represented by each of them; its classes then meet in one
-    own = sign.join(reps, (sign["same"] == reps["same"]) & (sign["doc_id"] == reps["rep"])).select("rep", "keys").distinct()
+    # a representative is a text, whatever doc_ids have it; it is numbered, and read from the first of them
+    first = F.min(F.struct("doc_id", "raw")).alias("first")
+    reps = keep(sign.groupBy("same").agg(first, F.first("keys").alias("keys")).select("same", "first.*", "keys", F.monotonically_increasing_id().alias("rep")), "reps")
+    own = reps.select("rep", "keys")
     in_band = keep(own.select("rep", F.explode("keys").alias("key")).distinct(), "bands")
     several = in_band.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     shared = keep(in_band.join(several, "key"), "buckets")
-    texts = docs.select("doc_id", "text").join(shared.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    texts = keep(texts.filter("text is not null").dropDuplicates(["doc_id"]), "texts")
+    wanted = reps.join(shared.select("rep").distinct(), "rep", "left_semi").select("doc_id", "raw", "rep")
+    texts = docs.select("doc_id", _raw().alias("raw"), "text").filter("text is not null").join(wanted, ["doc_id", "raw"]).select("rep", "text")
+    texts = keep(texts.dropDuplicates(["rep"]), "texts")
     rooted = shared.select("key", "rep", F.col("rep").alias("root"))
     for r in range(rounds + 1):
         # buckets that still hold several components
@@ -262,8 +270,15 @@ def near_classes(docs: DataFrame, least: float = 0.8, bands: int = 24, rows: int
         joined = components(new.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
         joined = joined.select(F.col("doc_id").alias("root"), F.col("root").alias("now"))
         rooted = keep(rooted.join(joined, "root", "left").select("key", "rep", F.coalesce("now", "root").alias("root")), "rooted")
-    roots = rooted.select(F.col("rep").alias("doc_id"), "root").distinct()
-    classes = members.join(roots.withColumnRenamed("doc_id", "rep"), "rep", "left").select("doc_id", F.coalesce("root", "rep").alias("class_id"))
+    roots = reps.select("same", "rep").join(rooted.select("rep", "root").distinct(), "rep", "left").select("same", F.coalesce("root", "rep").alias("root"))
+    members = keep(sign.select("doc_id", "same").distinct().join(roots, "same").select("doc_id", "root").distinct(), "members")
+    # the components of one doc_id's texts are one
+    several = members.groupBy("doc_id").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("doc_id", "lo")
+    met = keep(members.join(several, "doc_id").filter("root <> lo").select(F.col("lo").alias("a"), F.col("root").alias("b")).distinct(), "met")
+    if not met.isEmpty():
+        joined = components(met).select(F.col("doc_id").alias("root"), F.col("root").alias("now"))
+        members = members.join(joined, "root", "left").select("doc_id", F.coalesce("now", "root").alias("root"))
+    classes = members.join(members.groupBy("root").agg(F.min("doc_id").alias("class_id")), "root").select("doc_id", "class_id")
     lone = docs.select("doc_id").filter("doc_id is not null").select("doc_id", F.col("doc_id").alias("class_id"))
     return lone.unionByName(classes).groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
 

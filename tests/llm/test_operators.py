@@ -58,6 +58,18 @@ def test_near_classes_without_star_rounds_are_the_same(docs_of, texts):
     assert sorted(near_dedup.near_classes(docs, rounds=0).collect()) == sorted(near_dedup.near_classes(docs).collect())
 
 
+@pytest.mark.parametrize("rounds", [0, 3])
+def test_each_text_of_a_doc_id_finds_its_near_copies(docs_of, rounds):
+    rng = random.Random(12)
+    base = [prose(rng, 120) for _ in range(9)]
+    near = [" ".join([*w[:60], "changed", *w[61:]]) for w in base]
+    text = [" ".join(w) for w in base]
+    rows = [*((5, t) for t in text[:6]), *((50 + k, t) for k, t in enumerate(near[:6]))]  # six texts of one id, a near copy of each
+    rows += [(1, text[6]), (70, near[6]), (70, text[7]), (80, near[7]), (90, text[8])]  # 70 joins two groups
+    got = {r.doc_id: r.class_id for r in near_dedup.near_classes(docs_of(rows), rounds=rounds).collect()}
+    assert got == {5: 5} | {50 + k: 5 for k in range(6)} | {1: 1, 70: 1, 80: 1, 90: 90}
+
+
 def test_one_of_each_class_stays(docs_of, texts):
     docs = docs_of([*texts, *ODD])
     kept = near_dedup.keep_one(docs)
