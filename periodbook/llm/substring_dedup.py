@@ -168,24 +168,27 @@ def _body(body: bytes | None) -> str | None:
 
 
 def repeated_anchors(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(doc_id, at): starts of the document's anchors that occur more than once anywhere, doubled, plus 1 if the anchor is hot."""
+    """(doc_id, mark, at): starts of the text's anchors that occur more than once anywhere, doubled, plus 1 if the anchor is hot; equal rows are one."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            texts, numbers = f["text"].tolist(), f["doc_id"].to_numpy()
+            texts, numbers, marks = f["text"].tolist(), f["doc_id"].to_numpy(), f["mark"].to_numpy()
             for a, b in batches(texts):
-                hs, starts, owners = [], [], []
-                for text, number in zip(texts[a:b], numbers[a:b], strict=True):
+                hs, starts, sizes = [], [], []
+                for text in texts[a:b]:
                     at, grams, _ = anchors(split_words(text), width)
                     at = np.unique(at)
                     hs.append(grams[at])
                     starts.append(at)
-                    owners.append(np.full(len(at), number))
-                yield pd.DataFrame({"anchor": np.concatenate(hs).view(np.int64), "doc_id": np.concatenate(owners).astype(np.int64), "start": np.concatenate(starts).astype(np.int32)})
+                    sizes.append(len(at))
+                yield pd.DataFrame({
+                    "anchor": np.concatenate(hs).view(np.int64), "doc_id": np.repeat(numbers[a:b], sizes), "mark": np.repeat(marks[a:b], sizes), "start": np.concatenate(starts).astype(np.int32),
+                })
 
-    found = docs.select("doc_id", "text").filter("doc_id is not null and text is not null").mapInPandas(run, "anchor long, doc_id long, start int")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text").filter("doc_id is not null and text is not null")
+    found = rows.mapInPandas(run, "anchor long, doc_id long, mark long, start int")
     often = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor", (F.col("n") > HOT).cast("int").alias("hot"))
-    return found.join(often, "anchor").groupBy("doc_id").agg(F.collect_list((F.col("start") * 2 + F.col("hot"))).alias("at"))
+    return found.join(often, "anchor").groupBy("doc_id", "mark").agg(F.collect_set((F.col("start") * 2 + F.col("hot"))).alias("at"))
 
 
 def passages(docs: DataFrame, repeats: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -212,7 +215,7 @@ def passages(docs: DataFrame, repeats: DataFrame, width: int = WIDTH) -> DataFra
                     rows += [(own[s].view(np.int64), b" ".join(words[s : s + width]), number, s, mark) for s in range(a, z + 1)]
             yield pd.DataFrame(rows, columns=["anchor", "words", "doc_id", "start", "mark"])
 
-    joined = docs.join(repeats, "doc_id").select("doc_id", "mark", "body", "at")
+    joined = docs.join(repeats, ["doc_id", "mark"]).select("doc_id", "mark", "body", "at")
     found = joined.mapInPandas(run, "anchor long, words binary, doc_id long, start int, mark long")
     place = F.min(F.struct("doc_id", "start", "mark")).alias("p")
     return found.groupBy("anchor", "words").agg(place).select("anchor", "words", "p.*")
@@ -246,7 +249,7 @@ def judged(docs: DataFrame, width: int = WIDTH, per_shard: int = 4_000) -> DataF
         .groupBy("doc_id", "mark").agg(F.collect_list("starts").alias("firsts"))
         .select(F.col("doc_id").alias("f_id"), F.col("mark").alias("f_mark"), "firsts")
     )
-    joined = packed.join(repeats, "doc_id", "left")
+    joined = packed.join(repeats, ["doc_id", "mark"], "left")
     return joined.join(firsts, (F.col("doc_id") == F.col("f_id")) & (F.col("mark") == F.col("f_mark")), "left").select("doc_id", "mark", "body", "at", "firsts")
 
 

@@ -315,6 +315,18 @@ def test_hot_anchors_give_the_same(docs_of, texts, monkeypatch):
     assert sorted(substring_dedup.digests(docs_of(texts)).collect()) == want
 
 
+def test_anchors_are_gathered_per_text_of_a_doc_id(docs_of):
+    """A row gets its own anchors, not those of other texts of its doc_id, and equal rows get them once."""
+    rng = random.Random(5)
+    one, two = (" ".join(prose(rng, 60)) for _ in range(2))
+    docs = docs_of([(7, one), (7, one), (7, two), (8, one), (9, two), (7, " ".join(prose(rng, 60)))])
+    places = {t: sorted(2 * int(a) for a in np.unique(substring_dedup.anchors(substring_dedup.split_words(t))[0])) for t in (one, two)}
+    got = sorted((r.doc_id, sorted(r["at"])) for r in substring_dedup.repeated_anchors(docs).collect())
+    assert got == sorted([(7, places[one]), (7, places[two]), (8, places[one]), (9, places[two])])
+    removed = sorted((r.doc_id, r.n_removed) for r in substring_dedup.digests(docs).collect())
+    assert removed == [(7, 0), (7, 0), (7, 0), (7, 0), (8, 60), (9, 60)]
+
+
 def test_suffix_automaton_against_search():
     rng = random.Random(1)
     for _ in range(40):
