@@ -42,7 +42,7 @@ def size_class(words: list[str]) -> tuple[int, int] | None:
         return None
     n = min(SHINGLE, len(words))
     size = len({tuple(words[i : i + n]) for i in range(len(words) - n + 1)})
-    return n, 1 << max(3 if n == SHINGLE else 0, (size - 1).bit_length())
+    return n, 1 << (size - 1).bit_length()
 
 
 def minima(runs: list[np.ndarray], block: int, kind: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:

@@ -262,6 +262,15 @@ def test_containment(docs_of, texts, spark):
     assert decontaminate.contained(docs.limit(0), bench).count() == 0 and decontaminate.contained(docs, bench.limit(0)).count() == 0
 
 
+def test_items_of_few_shingles_are_sought_in_windows_of_their_size(docs_of, spark):
+    rng = random.Random(6)
+    assert [decontaminate.size_class(prose(rng, n, 10**9)) for n in (3, 5, 6, 7, 8, 9, 12, 13)] == [(3, 1), (5, 1), (5, 2), (5, 4), (5, 4), (5, 8), (5, 8), (5, 16)]
+    items = [prose(rng, 5 + k % 3, 10**9) for k in range(300)]
+    docs = docs_of([(k, " ".join([*w, *prose(rng, 60, 10**9)])) for k, w in enumerate(items)])
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    assert sorted(decontaminate.contained(docs, bench).collect()) == [(k, k, 1.0) for k in range(300)]
+
+
 def test_quality(docs_of, spark):
     rng = random.Random(6)
     rows, labels = [], []
