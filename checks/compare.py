@@ -60,7 +60,7 @@ def differences(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> list
     problems = []
     if sorted(df.columns) != sorted(names):
         return [f"columns: only spark {sorted(set(df.columns) - set(names))}, only oracle {sorted(set(names) - set(df.columns))}"]
-    want = {"bigint": "BIGINT", "double": "DOUBLE", "date": "DATE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+    want = {"bigint": "BIGINT", "integer": "INTEGER", "double": "DOUBLE", "date": "DATE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
     for f in df.schema:
         t = f.dataType.typeName() if not isinstance(f.dataType, T.LongType) else "bigint"
         if want.get(t) != kinds[f.name]:
