@@ -25,19 +25,28 @@ def features(words: list[str], bits: int = BITS) -> np.ndarray:
 
 
 class Rows:
-    """Rows of feature numbers, in one flat array."""
+    """Rows of feature numbers, in one flat array; sums go by slices, so that passing copies stay small."""
+
+    SLICE = 1 << 20
 
     def __init__(self, rows: list[np.ndarray], width: int) -> None:
         sizes = np.array([len(r) for r in rows], np.int64)
-        self.row = np.repeat(np.arange(len(rows)), sizes)
-        self.feature = np.concatenate([np.asarray(r, np.int64) for r in rows]) if len(rows) else np.zeros(0, np.int64)
+        self.row = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
+        self.feature = np.concatenate(rows, dtype=np.int32, casting="unsafe") if len(rows) else np.zeros(0, np.int32)
         self.n, self.width = len(rows), width
 
+    def _summed(self, into: np.ndarray, values: np.ndarray, by: np.ndarray, size: int) -> np.ndarray:
+        out = np.zeros(size)
+        for k in range(0, len(into), self.SLICE):
+            part = slice(k, k + self.SLICE)
+            out += np.bincount(into[part], values[by[part]], size)
+        return out
+
     def dot(self, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, weights[self.feature], self.n)
+        return self._summed(self.row, weights, self.feature, self.n)
 
     def back(self, per_row: np.ndarray) -> np.ndarray:
-        return np.bincount(self.feature, per_row[self.row], self.width)
+        return self._summed(self.feature, per_row, self.row, self.width)
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
@@ -45,10 +54,10 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def log_ratios(rows: Rows, label: np.ndarray, importance: np.ndarray, least: int = 5) -> np.ndarray:
-    """How much likelier a feature is in label 1 than in label 0, as a logarithm; 0 for features of fewer than ``least`` rows."""
+    """How much likelier a feature is in label 1 than in label 0, as a logarithm; 0 for features of fewer than ``least`` rows that count."""
     ones, zeros = rows.back(label * importance) + 1.0, rows.back((1 - label) * importance) + 1.0
     ratio = np.log(ones / ((label * importance).sum() + 2)) - np.log(zeros / (((1 - label) * importance).sum() + 2))
-    return np.where(rows.back(np.ones(rows.n)) >= least, ratio, 0.0)
+    return np.where(rows.back((importance > 0).astype(np.float64)) >= least, ratio, 0.0)
 
 
 def fit(
@@ -57,7 +66,7 @@ def fit(
 ) -> tuple[np.ndarray, float]:
     """Weights and bias by full-batch Adam over features scaled by their log ratios, so that rare words carry little.
 
-    ``pairs`` are rows whose scores should be equal: their squared differences are penalised.
+    Rows of importance 0 take no part. ``pairs`` are rows whose scores should be equal: their squared differences are penalised.
     """
     importance = np.ones(rows.n) if importance is None else importance
     scale = log_ratios(rows, label, importance)

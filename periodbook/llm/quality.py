@@ -10,7 +10,7 @@ documents kept aside, the two calibrated views are weighed against each other th
 document is scored. A document is rejected if its score is below ``least``.
 
 Bounds: ``sample`` labelled and ``pool`` unlabelled documents, those with the smallest hashes of
-their ids; fewer if there are fewer.
+their ids; fewer if there are fewer. They are fitted in one task; only the weights come to the driver.
 
 Cases: null and empty texts are texts without words; null metadata is a value of its own, as is a
 missing column; null labels are not learned from; without both classes among the labels everything gets the
@@ -98,28 +98,32 @@ def cotrain(content: list, meta: list, label: np.ndarray, pool_content: list, po
     aside = np.zeros(len(label), bool)
     for value in (0, 1):  # both classes are in both parts wherever there are two rows of them
         aside[np.flatnonzero(label == value)[1::4]] = True
-    views = {"content": (content, pool_content), "meta": (meta, pool_meta)}
+    known, n = len(label), len(label) + len(pool_content)
+    # one array per view for all fits: labelled rows, then the pool; a fit weighs the rows it may see
+    views = {"content": Rows([*content, *pool_content], width), "meta": Rows([*meta, *pool_meta], width)}
     taught: dict[str, dict[int, int]] = {"content": {}, "meta": {}}  # pool row: pseudo-label
     models = {}
     share = label[~aside].mean()
     for r in range(rounds + 1):
-        for view, (own, pool) in views.items():
-            rows = [own[i] for i in np.flatnonzero(~aside)] + [pool[i] for i in taught[view]]
-            y = np.concatenate([label[~aside], np.array(list(taught[view].values()), np.float64)])
-            trust = np.concatenate([np.ones((~aside).sum()), np.full(len(taught[view]), 0.3)])
-            models[view] = fit(Rows(rows, width), y, importance=trust)
+        for view, rows in views.items():
+            y, trust = np.zeros(n), np.zeros(n)
+            y[:known], trust[:known] = label, ~aside
+            if taught[view]:
+                at = known + np.array(list(taught[view]))
+                y[at], trust[at] = list(taught[view].values()), 0.3
+            models[view] = fit(rows, y, importance=trust)
         if r == rounds or not len(pool_content):
             break
         for view, other in (("content", "meta"), ("meta", "content")):
-            z = Rows(views[view][1], width).dot(models[view][0]) + models[view][1]
+            z = (views[view].dot(models[view][0]) + models[view][1])[known:]
             order = np.argsort(z, kind="stable")
             sure = [(i, 1) for i in order[::-1][: int(exchange * share)] if sigmoid(z[i]) >= 0.9]
             sure += [(i, 0) for i in order[: int(exchange * (1 - share))] if sigmoid(z[i]) <= 0.1]
             taught[other].update({int(i): y for i, y in sure})
     held = np.flatnonzero(aside)
     odds = {}
-    for view, (own, _) in views.items():
-        z = Rows([own[i] for i in held], width).dot(models[view][0]) + models[view][1]
+    for view, rows in views.items():
+        z = (rows.dot(models[view][0]) + models[view][1])[held]
         odds[view] = (z, *calibrate(z, label[held]))
     if len(np.unique(label[held])) < 2:
         return Quality(*((w.astype(np.float32), b) for w, b in models.values()), (1.0, 0.0, 0.0))
@@ -153,17 +157,31 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 8_000, pool: int = 4
     unlabelled = by_hash(docs.select("doc_id").filter("doc_id is not null").join(known, "doc_id", "left_anti"), pool)
     chosen = few.unionByName(unlabelled.select("doc_id", F.lit(None).cast("int").alias("label")).distinct())
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def view(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            content, meta = _views(f)
+            content, meta = ([x.astype(np.int32).tobytes() for x in v] for v in _views(f))
             yield pd.DataFrame({"doc_id": f["doc_id"], "label": f["label"], "content": content, "meta": meta})
 
+    def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The fit, in one task: the driver only gets the weights."""
+        got = pd.concat([pd.DataFrame(columns=["doc_id", "label", "content", "meta"]), *(f for f in frames if len(f))])
+        got = got.sort_values("doc_id", kind="stable")
+        known_rows = got["label"].notna().to_numpy()
+        label = got["label"].to_numpy()[known_rows].astype(np.float64)
+        content, meta = ([np.frombuffer(x, np.int32) for x in got[c]] for c in ("content", "meta"))
+        pick = lambda rows, wanted: [x for x, w in zip(rows, known_rows, strict=True) if w == wanted]
+        m = cotrain(pick(content, True), pick(meta, True), label, pick(content, False), pick(meta, False))
+        yield pd.DataFrame({
+            "content": [m.content[0].astype(np.float32).tobytes()], "content_bias": [m.content[1]],
+            "meta": [m.meta[0].astype(np.float32).tobytes()], "meta_bias": [m.meta[1]], "mixing": [list(m.mixing)],
+        })
+
     # a repeated id is learned from once, and is reduced before the shuffle
     once = viewed(docs).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min(F.struct("text", *META)).alias("row")).select("doc_id", "label", "row.*")
-    got = once.mapInPandas(run, "doc_id long, label int, content array<int>, meta array<int>").toPandas()
-    got = got.sort_values("doc_id", kind="stable")
-    known_rows, rest = got[got["label"].notna()], got[got["label"].isna()]
-    return cotrain(list(known_rows["content"]), list(known_rows["meta"]), known_rows["label"].to_numpy(np.float64), list(rest["content"]), list(rest["meta"]))
+    viewed_rows = once.mapInPandas(view, "doc_id long, label int, content binary, meta binary")
+    row = viewed_rows.repartition(1).mapInPandas(learn, "content binary, content_bias double, meta binary, meta_bias double, mixing array<double>").first()
+    weights = lambda b: np.frombuffer(b, np.float32)
+    return Quality((weights(row.content), row.content_bias), (weights(row.meta), row.meta_bias), tuple(row.mixing))
 
 
 def score(docs: DataFrame, model: Quality, least: float = 0.35) -> DataFrame:
