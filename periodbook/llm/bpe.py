@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import json
 import os
 import re
 import uuid
@@ -32,6 +33,7 @@ from collections.abc import Iterator
 import pandas as pd
 import public_tokenizers
 import regex
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -75,6 +77,32 @@ def pieces(spec: str) -> list[bytes]:
     return [b"".join(bytes([spelt[c]]) if c in spelt else c.encode() for c in name) for name in names]
 
 
+@functools.cache
+def ranked(spec: str) -> tiktoken.Encoding | None:
+    """The vocabulary for tiktoken, which merges whichever neighbours form the piece of the smallest id.
+
+    That is the tokenizer's own order exactly where ids go up with the merges; other vocabularies give None.
+    """
+    model = json.loads(spec)["model"]
+    merged = [m if isinstance(m, list) else m.split(" ", 1) for m in model["merges"]]
+    order = [model["vocab"]["".join(m)] for m in merged]
+    single = [i for name, i in model["vocab"].items() if len(name) == 1]
+    plain = not model.get("dropout") and not model.get("ignore_merges") and len(single) == 256 and len(order) + 256 <= len(model["vocab"])
+    if not plain or any(a >= b for a, b in zip([max(single), *order], order, strict=False)):
+        return None
+    look_up, added = pieces(spec), {x["id"] for x in json.loads(spec)["added_tokens"]}
+    return tiktoken.Encoding("pieces", pat_str=WORDS, mergeable_ranks={p: i for i, p in enumerate(look_up) if i not in added}, special_tokens={})
+
+
+def encode_words(words: list[str], spec: str) -> list[list[int]]:
+    """The ids of each word."""
+    fast, tokenizer = ranked(spec), vocabulary(spec)
+    if fast is None:
+        return [x.ids for x in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    one = fast._core_bpe.encode_single_piece
+    return [tokenizer.encode(w, add_special_tokens=False).ids if w == SPECIAL else one(w.encode("utf-8", "surrogatepass")) for w in words]
+
+
 def chunks(text: str) -> list[str]:
     """Runs of white space with the word after them: ends of chunks are always ends of words."""
     if SPECIAL not in text:
@@ -86,6 +114,9 @@ def chunks(text: str) -> list[str]:
 
 
 def words_of(chunk: str) -> list[str]:
+    bare = chunk[1:] if chunk[0] == " " else chunk
+    if (bare.isalpha() or bare.isdigit() and bare.isascii()) and (chunk.isascii() or max(chunk) < "\u0250"):
+        return [chunk]  # most chunks: letters only, or digits only, as all versions of Unicode have them
     return [chunk] if chunk == SPECIAL else WORD.findall(chunk)
 
 
@@ -128,15 +159,13 @@ def hot_cut(counts: DataFrame, most: int) -> int:
 def word_table(docs: DataFrame, spec: str, hot_words: int = 262_144, hot_bytes: int = 64) -> DataFrame:
     """(word, n, ids) of the ``hot_words`` most frequent words at most; words of equal counts stay or go together."""
 
-    def encode_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokenizer = vocabulary(spec)
+    def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            got = tokenizer.encode_batch_fast(frame["word"].tolist(), add_special_tokens=False)
-            yield frame.assign(ids=[x.ids for x in got])
+            yield frame.assign(ids=encode_words(frame["word"].tolist(), spec))
 
     # words seen once never pay for their place
     counts = keep(word_counts(docs).filter((F.octet_length("word") <= hot_bytes) & (F.col("n") > 1)), "bpe-words")
-    return counts.filter(F.col("n") >= hot_cut(counts, hot_words)).mapInPandas(encode_words, "word string, n long, ids array<int>")
+    return counts.filter(F.col("n") >= hot_cut(counts, hot_words)).mapInPandas(encode, "word string, n long, ids array<int>")
 
 
 class Memo(dict):
@@ -161,7 +190,8 @@ class Encoder:
     """The ids of chunks of text, from the shared table and from a block's own words."""
 
     def __init__(self, table: dict[str, tuple], spec: str) -> None:
-        self.tokenizer, self.pieces = vocabulary(spec), pieces(spec)
+        self.spec, self.pieces = spec, pieces(spec)
+        self.names = [str(i) for i in range(len(self.pieces))]
         self.table = {w: self.made(ids) for w, ids in table.items()}
         self.chunks, self.rare = Memo(MEMO), Memo(MEMO)
 
@@ -170,8 +200,8 @@ class Encoder:
         split = {c: words_of(c) for c in self.chunks.lacking(seen)}
         table, rare = self.table, self.rare
         new = rare.lacking({w for words in split.values() for w in words if w not in table})
-        for word, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            rare[word] = self.made(tuple(got.ids))
+        for word, ids in zip(new, encode_words(new, self.spec), strict=True):
+            rare[word] = self.made(tuple(ids))
         for chunk, words in split.items():
             parts = [table[w] if w in table else rare[w] for w in words]
             self.chunks[chunk] = parts[0] if len(parts) == 1 else self.joined(parts)
@@ -188,8 +218,8 @@ class Digester(Encoder):
     """As Encoder, with the ids written out and the bytes they decode to: (number of ids, ids, bytes)."""
 
     def made(self, ids: tuple):
-        look_up = self.pieces
-        return len(ids), ",".join(map(str, ids)), b"".join([look_up[i] for i in ids])
+        look_up, names = self.pieces, self.names
+        return len(ids), ",".join([names[i] for i in ids]), b"".join([look_up[i] for i in ids])
 
     def joined(self, parts: list):
         return sum([p[0] for p in parts]), ",".join([p[1] for p in parts]), b"".join([p[2] for p in parts])
@@ -249,11 +279,12 @@ def digests(docs: DataFrame, spec: str, hot_words: int = 262_144) -> DataFrame:
 
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for numbers, found in _blocks(frames, ready(Digester, token, table, spec)):
-            text = [b"".join([x[2] for x in row]).decode("utf-8", "replace").encode() for row in found]
+            columns = [tuple(zip(*row, strict=True)) or ((), (), ()) for row in found]
+            text = [b"".join(data).decode("utf-8", "replace").encode() for _, _, data in columns]
             yield pd.DataFrame({
                 "doc_id": numbers,
-                "n_tokens": [sum([x[0] for x in row]) for row in found],
-                "ids_sha256": [hashlib.sha256(",".join([x[1] for x in row]).encode()).hexdigest() for row in found],
+                "n_tokens": [sum(n) for n, _, _ in columns],
+                "ids_sha256": [hashlib.sha256(",".join(ids).encode()).hexdigest() for _, ids, _ in columns],
                 "decoded_sha256": [hashlib.sha256(t).hexdigest() for t in text],
             })
 

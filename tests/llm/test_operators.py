@@ -134,6 +134,19 @@ def test_bpe_is_the_library(docs_of, texts):
     assert bpe.digests(docs.limit(0), spec).count() == 0
 
 
+def test_words_are_encoded_as_the_library_does():
+    """Also where merges could go several ways: repeats, overlaps, bytes of broken characters."""
+    rng, spec = random.Random(13), bpe.vocabulary_text()
+    tok, pools = bpe.vocabulary(spec), ["ab", "aab ", "-=", "0123456789", "etaoinshrdlu", "\u00e9\u00df\u4e00\u4e8c\U0001f600\u200d", "\n \t", "!?.,'", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"]
+    words = {w for pool in pools for _ in range(4_000) for w in bpe.words_of("".join(rng.choice(pool) for _ in range(rng.randrange(1, 30))))}
+    words |= {c * n for c in "a-=. 0\n\u00e9_*" for n in range(1, 130)} | {bpe.SPECIAL}
+    words = sorted(w for w in words if bpe.WORD.findall(w) == [w] or w == bpe.SPECIAL)
+    assert bpe.ranked(spec) is not None and len(words) > 8_000
+    assert bpe.encode_words(words, spec) == [x.ids for x in tok.encode_batch_fast(words, add_special_tokens=False)]
+    shuffled = spec.replace('"ignore_merges": false', '"ignore_merges": true')
+    assert bpe.ranked(shuffled) is None or shuffled == spec
+
+
 def test_bpe_chunks_are_independent():
     rng = random.Random(3)
     pool = [*map(chr, range(0x250)), " ", " ", "\n", " ", "　", "s", "'", "一", "٣"] + [" "] * 80 + list("abcdefg'st") * 8
