@@ -1,7 +1,9 @@
 """Main text of web pages by nearest-URL page differencing.
 
 A page is read as lines: the texts of its blocks, without markup, scripts, styles, menus, forms and
-elements whose name, role, class or id says that they are no content. Pages are paired within each
+elements whose name, role, class or id says that they are no content (as a whole word, or put together from such
+words and words of place; inside an article only as a whole word; headings never). End tags that HTML lets out are
+implied; chrome that lacks its own end tag ends with its parent, or where an article or main element begins. Pages are paired within each
 host with the page whose URL path is nearest: the neighbour in path order with the longer common
 beginning (of the two neighbours; if they are equally near, the one with more lines in common; copies
 of the page itself, however many and under whatever path, are passed over). The longest common
@@ -40,74 +42,180 @@ TOKEN = re.compile(
     re.IGNORECASE | re.DOTALL,
 )
 # HTML elements by their part in a page.
-DROPPED = frozenset("head nav footer aside form button select dialog menu object canvas audio video".split())
+DROPPED = frozenset("head title nav footer aside form button select dialog menu object canvas audio video".split())
 MAIN = frozenset(("article", "main"))
-PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+PARAGRAPHS = HEADINGS | frozenset("p pre blockquote".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q ruby rt rp s samp small span strike strong sub sup time tt u var wbr br".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-ATTRIBUTE = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
+OF_HEAD = frozenset("html head title meta link base".split())
+# Which open elements a start tag ends, and up to which elements they are sought.
+CELL = frozenset("td th caption table".split())
+LISTS = frozenset("ul ol menu".split())
+ENDS_P = HEADINGS | LISTS | MAIN | frozenset(
+    "address aside blockquote center details dialog dir div dl fieldset figcaption figure footer form header hgroup hr nav p pre search section summary table".split()
+)
+ENDS = {
+    "li": (frozenset(("li",)), LISTS),
+    **dict.fromkeys(("dt", "dd"), (frozenset(("dt", "dd")), frozenset(("dl",)))),
+    **dict.fromkeys(("td", "th"), (frozenset(("td", "th")), frozenset(("tr", "table")))),
+    "tr": (frozenset(("tr", "td", "th")), frozenset(("table",))),
+    **dict.fromkeys(("thead", "tbody", "tfoot"), (frozenset("thead tbody tfoot tr td th".split()), frozenset(("table",)))),
+    "option": (frozenset(("option",)), frozenset(("select", "datalist"))),
+}
+OPTIONAL_END = frozenset("head p li dt dd td th tr thead tbody tfoot option".split())
+ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 CHROME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adverts?|banner|sponsor\w*|promo\w*|nav|navbar|navigation|menu|breadcrumbs?|sidebar|aside|footer|masthead|"
-    r"comments?|replies|disqus|cookies?|consent|gdpr|notices?|newsletter|subscribe|signup|login|popup|modal|share|social|related|contentinfo|complementary|search)(?:$|[\s_-])",
-    re.IGNORECASE,
+    r"ads?|advert\w*|banner|sponsor\w*|promo\w*|nav|navbar|navigation|menu|breadcrumbs?|sidebar|aside|footer|masthead|"
+    r"comments?|replies|disqus|cookies?|consent|gdpr|notices?|newsletter|subscribe|signup|login|popup|modal|share|social|related|contentinfo|complementary|search"
+)
+# words that, beside one of those, say where or how it is shown
+PLACE = re.compile(
+    r"site|page|main|top|bottom|left|right|upper|lower|box|bar|block|list|wrapper?|container|section|area|links?|buttons?|icons?|items?|slot|widget|inner|outer|"
+    r"primary|secondary|global|mobile|desktop|fixed|sticky|text|thread|form|reader|user|\d+"
 )
 SPACE = re.compile(r"\s+")
 
 
+def _names_chrome(token: str, whole: bool) -> bool:
+    """A class, id or role that is a word for chrome; unless ``whole``, also one put together from such words and words of place."""
+    if CHROME.fullmatch(token):
+        return True
+    parts = [] if whole else [x for x in re.split("[-_]+", token) if x]
+    return len(parts) > 1 and any(CHROME.fullmatch(x) for x in parts) and all(CHROME.fullmatch(x) or PLACE.fullmatch(x) for x in parts)
+
+
 def _is_chrome(name: str, attrs: str, inside: bool) -> bool:
     if name in DROPPED or name == "header" and not inside:
         return True
-    if name in MAIN or name in ("body", "html") or "=" not in attrs:
+    if name in MAIN or name in HEADINGS or name in ("body", "html") or "=" not in attrs:
         return False
-    return any(CHROME.search(next(filter(None, m.groups()), "")) for m in ATTRIBUTE.finditer(attrs))
+    values = (next(filter(None, m.groups()[1:]), "").lower() for m in ATTRIBUTE.finditer(attrs))
+    return any(_names_chrome(token, inside) for v in values for token in v.split())
+
+
+class _Open:
+    """The open elements. An element is hidden that is chrome, or inside one."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, int]] = []  # name, and number of the chrome element it starts (-1: none)
+        self.count: dict[str, int] = defaultdict(int)
+        self.hiding: tuple[int, ...] = ()  # the chrome elements that are open
+        self.names: list[str] = []  # of all chrome elements met
+        self.ended: list[bool] = []  # which had an end tag
+        self.broken: list[int | None] = []  # when an article or main element began inside
+
+    def push(self, name: str, chrome: bool, now: int) -> None:
+        number = -1
+        if name in MAIN:
+            for k in self.hiding:
+                self.broken[k] = now if self.broken[k] is None else self.broken[k]
+        if chrome:
+            number = len(self.names)
+            self.names.append(name)
+            self.ended.append(False)
+            self.broken.append(None)
+            self.hiding = (*self.hiding, number)
+        self.stack.append((name, number))
+        self.count[name] += 1
+
+    def cut(self, at: int) -> None:
+        """The elements from ``at`` on end."""
+        for name, number in self.stack[at:]:
+            self.count[name] -= 1
+            if number >= 0:
+                self.hiding = self.hiding[:-1]
+        del self.stack[at:]
+
+    def seek(self, names: frozenset, bounds: frozenset, all_of: bool = False) -> int | None:
+        """The place of the innermost open element of ``names`` (or the outermost one) inside ``bounds``."""
+        found = None
+        if any(self.count[n] for n in names):
+            for i in range(len(self.stack) - 1, -1, -1):
+                name = self.stack[i][0]
+                if name in names:
+                    found = i
+                    if not all_of:
+                        break
+                elif name in bounds:
+                    break
+        return found
+
+    def start(self, name: str) -> None:
+        """End what a start tag ends by being there."""
+        if self.count["head"] and name not in OF_HEAD:
+            if (at := self.seek(frozenset(("head",)), frozenset())) is not None:
+                self.cut(at)
+        if name in ENDS_P and self.count["p"] and (at := self.seek(frozenset(("p",)), CELL)) is not None:
+            self.cut(at)
+        if name in ENDS and (at := self.seek(*ENDS[name], all_of=name not in ("li", "option"))) is not None:
+            self.cut(at)
+
+    def end(self, name: str) -> None:
+        if not self.count[name] or name in ("body", "html"):
+            return
+        bounds = LISTS if name == "li" else frozenset() if name in CELL or name in ENDS else CELL
+        for i in range(len(self.stack) - 1, -1, -1):
+            open_, number = self.stack[i]
+            if open_ == name:
+                if number >= 0:
+                    self.ended[number] = True
+                self.cut(i)
+                return
+            if open_ in bounds or name in INLINE and open_ not in INLINE:
+                return  # it ends nothing: the element it names lies outside
+
+    def shows(self, hiding: tuple[int, ...], now: int) -> bool:
+        """Whether text at ``now`` shows. Chrome without an end tag, where one is due, ends where an article begins."""
+        return all(not self.ended[k] and self.names[k] not in OPTIONAL_END and self.broken[k] is not None and self.broken[k] <= now for k in hiding)
 
 
 def lines(html: str | None) -> tuple[list[str], list[bool]]:
     """Texts of the page's blocks in order, and whether each is a paragraph or heading inside its article or main element."""
-    texts: list[str] = []
-    fixed: list[bool] = []
-    held: list[str] = []
-    inside, skipping, depth, paragraph = 0, "", 0, False
-
-    def flush() -> None:
-        if held:
-            if text := SPACE.sub(" ", unescape("".join(held))).strip():
-                texts.append(text)
-                fixed.append(inside > 0 and paragraph)
-            held.clear()
-
-    for m in TOKEN.finditer(html or ""):
-        kind = m.lastgroup
-        if kind == "text":
-            if not skipping:
-                held.append(m["text"])
+    open_ = _Open()
+    # what the page says: texts with the chrome they are in, and None where a block begins or ends
+    said: list[tuple | None] = []
+    paragraph = False
+
+    for now, m in enumerate(TOKEN.finditer(html or "")):
+        if m.lastgroup == "text":
+            text = m["text"]
+            if open_.stack and open_.stack[-1][0] == "head" and not text.isspace():
+                open_.cut(len(open_.stack) - 1)
+            said.append((now, text, open_.hiding, paragraph and any(open_.count[x] for x in MAIN)))
             continue
         name = (m["name"] or "").lower()
         if not name:
             continue
-        if skipping:
-            if name == skipping and name not in VOID:
-                depth += -1 if m["close"] else 1
-                if not depth:
-                    skipping = ""
-            continue
         if name == "br":
-            held.append(" ")
-        if name in INLINE:
-            if not m["close"] and name not in VOID and name != "a" and _is_chrome(name, m["attrs"], inside > 0):
-                skipping, depth = name, 1
-            continue
-        flush()
-        if name not in VOID:
-            paragraph = name in PARAGRAPHS and not m["close"]
+            said.append((now, " ", open_.hiding, paragraph and any(open_.count[x] for x in MAIN)))
+        if name not in INLINE:
+            said.append(None)
+            if name not in VOID:
+                paragraph = name in PARAGRAPHS and not m["close"]
         if m["close"]:
-            inside -= name in MAIN and inside > 0
-        elif name not in VOID and _is_chrome(name, m["attrs"], inside > 0):
-            if not m["attrs"].endswith("/"):
-                skipping, depth = name, 1
-        else:
-            inside += name in MAIN
-    flush()
+            open_.end(name)
+            continue
+        open_.start(name)
+        if name in VOID or m["attrs"].endswith("/") and name not in MAIN:
+            continue
+        inside = any(open_.count[x] for x in MAIN)
+        open_.push(name, name != "a" and _is_chrome(name, m["attrs"], inside), now)
+
+    texts: list[str] = []
+    fixed: list[bool] = []
+    held: list[str] = []
+    stays = False
+    for x in [*said, None]:
+        if x is None:
+            if held:
+                if text := SPACE.sub(" ", unescape("".join(held))).strip():
+                    texts.append(text)
+                    fixed.append(stays)
+                held.clear()
+        elif not x[2] or open_.shows(x[2], x[0]):
+            held.append(x[1])
+            stays = x[3]
     return texts, fixed
 
 
