@@ -6,7 +6,9 @@ all that a result of ``k`` can need). Distinct vectors are dealt by hash into sh
 graph so far propose neighbours for each new vector; relaxed distance pruning keeps the nearest
 proposal and drops those that it, times ``alpha``, is closer to than the new vector, until ``degree``
 diverse edges are left; edges are added in both directions and over-full vertices pruned again. A
-second pass over all vectors repeats this on the finished graph.
+second pass over all vectors repeats this on the finished graph. Pruning can take all but a few edges into a
+vertex: at last every vertex with fewer than ``ENTRIES`` gets edges from its own nearest neighbours, and what no
+walk from the start can reach is linked from the nearest vertex that one can.
 
 Queries go in blocks to every shard (one row per shard and block, so shards may be searched on any
 executor and a query block is never larger than ``block``); a beam search answers each query in each shard, and
@@ -14,7 +16,7 @@ the results are merged by exact Euclidean distance in double precision, ties to
 
 Cases: vectors that are null, empty, zero, or hold null or non-finite components take no part, as candidates or
 queries; vectors of another length than most are compared only with their like; null ids take no
-part; repeated ids are reported once per distinct vector; fewer candidates than ``k`` are all returned; an
+part; repeated ids are reported once per distinct vector, and ask with the smallest of their vectors; fewer candidates than ``k`` are all returned; an
 empty table gives no rows; other columns are ignored.
 """
 
@@ -34,6 +36,7 @@ BEAM = 64
 SEARCH_BEAM = 128
 DEGREE = 32
 ALPHA = 1.2
+ENTRIES = 12
 
 
 def square_distances(points: np.ndarray, ids: np.ndarray, queries: np.ndarray) -> np.ndarray:
@@ -132,7 +135,59 @@ def build_graph(points: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alph
         done, size = done + size, min(size * 2, 256, max(n // 8, 1))
     for i in range(0, n, 256):
         insert(order[i : i + 256], alpha)
-    return edges, start
+    return connected(points, entered(points, edges), start), start
+
+
+def reached(edges: np.ndarray, start: int) -> np.ndarray:
+    """Which vertices a walk along the edges from ``start`` meets."""
+    seen = np.zeros(len(edges), bool)
+    seen[start] = True
+    front = np.array([start])
+    while len(front):
+        met = np.unique(edges[front])
+        front = met[(met >= 0) & ~seen[np.maximum(met, 0)]]
+        seen[front] = True
+    return seen
+
+
+def entered(points: np.ndarray, edges: np.ndarray, least: int = ENTRIES) -> np.ndarray:
+    """``edges``, wider by as many slots at most, with edges into vertices that have fewer than ``least``: from their own nearest neighbours."""
+    n, degree = edges.shape
+    out = np.full((n, 2 * degree), -1, np.int64)
+    out[:, :degree] = -np.sort(-edges, axis=1)  # the free slots last
+    used = (edges >= 0).sum(axis=1)
+    many = np.bincount(edges[edges >= 0], minlength=n)
+    for v in np.flatnonzero(many < least):
+        own = edges[v][edges[v] >= 0]
+        for u in own[((points[own] - points[v]) ** 2).sum(axis=1).argsort(kind="stable")]:
+            if many[v] >= least:
+                break
+            if used[u] < 2 * degree and v not in out[u, : used[u]]:
+                out[u, used[u]] = v
+                used[u] += 1
+                many[v] += 1
+    return out[:, : max(int(used.max()), 1)]
+
+
+def connected(points: np.ndarray, edges: np.ndarray, start: int) -> np.ndarray:
+    """``edges``, with one into each vertex that could not be reached, from the nearest one that can; wider where no slot is free."""
+    lost = np.flatnonzero(~reached(edges, start))
+    if not len(lost):
+        return edges
+    there = np.flatnonzero(reached(edges, start))
+    near = np.empty(len(lost), np.int64)
+    norm = (points[there] ** 2).sum(axis=1)
+    for k in range(0, len(lost), 256):
+        near[k : k + 256] = there[(norm[None, :] - 2 * points[lost[k : k + 256]] @ points[there].T).argmin(axis=1)]
+    used = (edges >= 0).sum(axis=1)
+    more = np.bincount(near, minlength=len(edges))
+    width = max(int((used + more).max()), edges.shape[1])
+    out = np.full((len(edges), width), -1, np.int64)
+    out[:, : edges.shape[1]] = -np.sort(-edges, axis=1)  # the free slots last
+    for source, target in zip(near, lost, strict=True):
+        out[source, used[source]] = target
+        used[source] += 1
+    return out
 
 
 def vectors(table: DataFrame, id_column: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -176,6 +231,7 @@ def search(points: DataFrame, queries: DataFrame, k: int, shard_size: int = 4_09
         queries.withColumn("dim", F.size("v")).groupBy("dim", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("block"))
         .agg(F.collect_list(F.struct("vec_id", "v")).alias("asked"))
     )
+    grouped = keep(grouped, "asked")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -190,14 +246,17 @@ def search(points: DataFrame, queries: DataFrame, k: int, shard_size: int = 4_09
                 r, c = np.nonzero(ids >= 0)
                 yield pd.DataFrame({"query_id": numbers[r], "rep": reps[ids[r, c]], "score": np.sqrt(far[r, c])})
 
-    return graphs.join(grouped, "dim").repartition(F.col("shard"), F.col("block")).select("dim", "reps", "flat", "edges", "start", "asked").mapInPandas(run, "query_id long, rep long, score double")
+    # which block meets which shard, by their numbers; then each is fetched by its whole key, so no task gets all of them
+    pairs = graphs.select("shard", "dim").join(grouped.select("dim", "block"), "dim").repartition("shard", "dim", "block")
+    met = pairs.join(grouped, ["dim", "block"]).join(graphs, ["shard", "dim"])
+    return met.select("dim", "reps", "flat", "edges", "start", "asked").mapInPandas(run, "query_id long, rep long, score double")
 
 
 def nearest(table: DataFrame, k: int = 10, every: int = 100, shard_size: int = 4_096, block: int = 1_024) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of every row whose id is divisible by ``every``."""
     rows = keep(vectors(table), "vectors")
     points = keep(distinct_vectors(rows, k + 1), "points")
-    queries = rows.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
+    queries = rows.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
     found = search(points, queries, k, shard_size, block)
     best = W.partitionBy("query_id").orderBy("score", "rep")
     found = found.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= k + 1)
