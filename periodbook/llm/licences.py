@@ -263,9 +263,12 @@ def _flat(rows: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def train(docs: DataFrame, sample: int = 500, slips: float = 0.0005, copies: int = 24, steps: int = 200) -> Licences:
     """``sample`` documents, those with the smallest hashes of their ids, give the ordinary paragraphs."""
-    few = docs.select("doc_id", "text").filter("text is not null").orderBy(F.xxhash64("doc_id", F.lit("licence")), "doc_id").limit(sample)
+    known = docs.filter("doc_id is not null and text is not null").select("doc_id", "text")
+    # ids are chosen first, so that texts of ``sample`` documents only leave the executors, one for each id
+    few = known.select("doc_id").distinct().orderBy(F.xxhash64("doc_id", F.lit("licence")), "doc_id").limit(sample)
+    texts = known.join(F.broadcast(few), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).orderBy("doc_id")
     rng = np.random.default_rng(7)
-    ordinary = ordinary_lines(few.toPandas()["text"].tolist())
+    ordinary = ordinary_lines([r.text for r in texts.toLocalIterator()])
     rows, labels = variants(rng, copies)
     rows, labels = rows + ordinary, np.array(labels + [UNKNOWN] * len(ordinary))
     aside = rng.random(len(rows)) < 0.25
