@@ -182,6 +182,45 @@ def test_nearest_neighbours(spark):
     assert graph_search.nearest(table.filter("vec_id in (0, 1, 2)")).count() == 2
 
 
+@pytest.mark.parametrize("n", [1, 2, 40, 500, 1_500])
+def test_every_vertex_can_be_reached(n):
+    rng = np.random.default_rng(n)
+    for points in (rng.normal(size=(n, 24)), rng.normal(size=(n, 3)) + 20 * rng.integers(0, 4, (n, 1))):
+        edges, start = graph_search.build_graph(points)
+        assert graph_search.reached(edges, start).all()
+        ids, _ = graph_search.beam_search(points, edges, start, points, min(n, 64))
+        assert (ids[:, 0] == np.arange(n)).mean() > 0.98  # each finds itself
+
+
+def test_lost_vertices_are_linked():
+    points = np.array([[0.0], [1.0], [2.0], [9.0], [10.0]])
+    edges = np.array([[1, 2], [0, 2], [1, 0], [4, -1], [3, -1]])
+    got = graph_search.connected(points, edges, 0)
+    assert graph_search.reached(got, 0).all() and got.shape == (5, 4) and set(got[2]) == {0, 1, 3, 4}
+
+
+@pytest.mark.parametrize("shards", [1, 4, 16])
+def test_recall_on_the_given_vectors(spark, shards):
+    table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    rows = table.toPandas().sort_values("vec_id")
+    x, ids = np.stack(rows["embedding"].to_numpy()).astype(float), rows["vec_id"].to_numpy()
+    hits = []
+    found = defaultdict(set)
+    for r in graph_search.nearest(table, shard_size=len(ids) // shards + 1).collect():
+        found[r.query_id].add(r.vec_id)
+    for q in ids[ids % 100 == 0]:
+        d = ((x - x[ids == q]) ** 2).sum(axis=1)
+        d[ids == q] = np.inf
+        hits.append(len(found[q] & set(ids[np.argsort(d, kind="stable")[:10]].tolist())) / 10)
+    assert np.mean(hits) >= 0.95 and min(hits) >= 0.9
+
+
+def test_an_id_with_two_vectors_asks_with_the_smaller(spark):
+    rows = [(0, [9.0, 1.0]), (0, [1.0, 1.0]), (1, [1.0, 1.5]), (2, [9.0, 1.5]), (3, [5.0, 5.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert [(r.vec_id, r.score) for r in graph_search.nearest(table, k=1).collect()] == [(1, 0.5)]
+
+
 def test_licences(docs_of, texts):
     rows = [(i, t) for i, t in texts] + [
         (400, "first line\nReleased under the MIT License.\nlast line"), (401, "# Licensed under the Apache License, Version 2.0."),
@@ -381,6 +420,33 @@ def test_page_text(spark):
     assert page_text.extract(pages.limit(0)).count() == 0
 
 
+ARTICLE = "<article><h1>Title</h1><p>Body text.</p></article>"
+
+
+@pytest.mark.parametrize("html, want", [
+    ("<html><head><title>no</title><body>" + ARTICLE, "Title\nBody text."),
+    ("<html><head><title>no</title>" + ARTICLE, "Title\nBody text."),
+    ("<title>no</title>loose", "loose"),
+    ("<body><p class=ad>no" + ARTICLE, "Title\nBody text."),
+    ("<ul><li class=share>no<li>yes</ul>" + ARTICLE, "yes\nTitle\nBody text."),
+    ("<div><p class=ad>no</div>" + ARTICLE, "Title\nBody text."),
+    ("<body><aside>no" + ARTICLE, "Title\nBody text."),
+    ("<div><aside>no</div>" + ARTICLE, "Title\nBody text."),
+    ("<aside>no" + ARTICLE + "</aside>after", "after"),
+    ('<div id="social-history">A</div><div id="search-theory">B</div><h2 id="notice-period">C</h2>', "A\nB\nC"),
+    ('<article><h2 class="notice">A</h2><div class="share-price">B</div><p class="ad">no<p>C</article>', "A\nB\nC"),
+    ('<div class="site-footer">no</div><div id=comments>no</div><div class="related-work">A</div><div role=navigation>no</div>', "A"),
+    ("<section class=comments><article><p>no</p></article></section>" + ARTICLE, "Title\nBody text."),
+    ("<p>a <b>b<br><p>c</b> d</p></div></i>e", "a b\nc d\ne"),
+    ("<table><tr><td>1<td>2<tr><td>3</table><dl><dt>t<dd>d</dl>", "1\n2\n3\nt\nd"),
+    ("<header>no</header><main><header>A</header>B</main><nav>no</nav><footer>no", "A\nB"),
+    ("<b>" * 5_000 + "deep" + "</i>" * 5_000, "deep"),
+    ("<p class=ad>" * 3_000 + "no</p>yes", "yes"),
+])
+def test_articles_survive_ordinary_html(html, want):
+    assert "\n".join(page_text.lines(html)[0]) == want
+
+
 def test_differencing_decides_on_pages_with_an_article(spark):
     page = "{head}<div>Site name</div><div>Written in {n}</div><article><h1>Title {n}</h1><ul><li>Topics</li><li>Topic {n}</li></ul><p>Said in both.</p><p>Only {n}.<div>Read more</div></article><div>All rights</div>"
     pages = spark.createDataFrame([(n, f"http://a.example/x/{n}", page.format(head=HEAD, n=n)) for n in (1, 2)], "page_id long, url string, html string")
