@@ -481,9 +481,23 @@ _INTERVAL_SQL = """SELECT o.product_id, w.reason, count(*) AS n, sum(quantity) A
   JOIN v_price_region p ON p.sales_org_id = o.sales_org_id
   LEFT JOIN win w ON w.product_id = o.product_id AND w.sales_org_id = p.price_region_id AND o.discount_reason IS NULL
     AND o.order_create_time >= w.start_time_extended AND o.order_create_time < w.end_time_extended GROUP BY 1, 2"""
-for _name in ("interval_join", "interval_join_by_day"):
+
+
+def _interval_map(t: Tables) -> DataFrame:
+    """The same result by one lookup per line in the sorted specials of its product and day."""
+    windows = scorecard.price_special_windows(t["product_price"], t["product_price_special"])
+    specials = scorecard.price_interval_map(windows, t["sales_org_price_region"])
+    at, none = F.col("order_create_time"), F.array(F.lit(None).cast("string"))
+    met = F.col("discount_reason").isNull() & (F.col("product_id") == F.col("_key")) & (at.cast("date") == F.col("_day"))
+    hits = F.filter(jn.covering(F.col("_spans"), at), lambda s: F.array_contains(s["orgs"], F.col("sales_org_id")))
+    reasons = F.when(F.size(hits) > 0, F.transform(hits, lambda s: s["reason"])).otherwise(none)
+    found = op(t).join(specials, met, "left").select("product_id", "quantity", F.explode(reasons).alias("reason"))
+    return found.groupBy("product_id", "reason").agg(rows(), F.sum("quantity").alias("qty"))
+
+
+for _name, _build in (("interval_join", _interval), ("interval_join_by_day", _interval_map)):
     reg.add(
-        _name, _interval,
+        _name, _build,
         q("l: product_id n qty; s: reason", _INTERVAL_SQL, win=windows_cte(None)),
     )
 reg.add(

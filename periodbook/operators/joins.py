@@ -58,6 +58,43 @@ def value_of_member(
     return F.max(F.when(member, v)).over(Window.partitionBy(period))
 
 
+def interval_map(
+    intervals: DataFrame, key: str, start: str, end: str, keep: Sequence[str], out: str = "_spans"
+) -> DataFrame:
+    """One row per ``key`` and day: the intervals that touch the day as an array in order of their starts.
+
+    Columns ``_key``, ``_day`` and ``out``, an array of structs of ``start``, ``end`` and ``keep``.
+    The map of a day is as long as the day has intervals, however many a key has in all.
+    """
+    days = F.sequence(F.col(start).cast("date"), F.col(end).cast("date"))
+    return (
+        intervals.filter(F.col(start) < F.col(end))
+        .select(
+            F.col(key).alias("_key"),
+            F.explode(days).alias("_day"),
+            F.struct(F.col(start).alias("start"), F.col(end).alias("end"), *keep).alias("_span"),
+        )
+        .groupBy("_key", "_day")
+        .agg(F.sort_array(F.collect_list("_span")).alias(out))
+    )
+
+
+def covering(spans: Column, at: Column) -> Column:
+    """The elements of ``spans`` (sorted by ``start``) with ``start <= at < end``.
+
+    A binary search finds how many have begun; only their ends are looked at.
+    """
+    steps = F.array(*(F.lit(1 << k) for k in range(20, -1, -1)))
+    begun = F.aggregate(
+        steps,
+        F.lit(0),
+        lambda n, step: F.when(
+            (n + step <= F.size(spans)) & (F.get(spans, n + step - 1)["start"] <= at), n + step
+        ).otherwise(n),
+    )
+    return F.filter(F.slice(spans, F.lit(1), begun), lambda s: s["end"] > at)
+
+
 def interval_join(
     left: DataFrame,
     right: DataFrame,
