@@ -126,19 +126,17 @@ def net_promoter_scores(
 ) -> DataFrame:
     """(promoters - detractors) per 100 distinct responses, one column per member."""
     always = F.lit(True)
-    sums = df.groupBy(*keys).agg(
-        *(
-            (
-                sum_when(always if cond is None else cond, "promoter_flag")
-                - sum_when(always if cond is None else cond, "detractor_flag")
-            ).alias(f"_net_{name}")
+    score = F.coalesce("promoter_flag", F.lit(0)) - F.coalesce("detractor_flag", F.lit(0))
+    both = distinct_counts(
+        df,
+        keys,
+        {"response_id": {f"_n_{name}": cond for name, cond in members.items()}},
+        {
+            f"_net_{name}": F.when(always if cond is None else cond, score).otherwise(F.lit(0))
             for name, cond in members.items()
-        )
-    )
-    counts = distinct_counts(
-        df, keys, {"response_id": {f"_n_{name}": cond for name, cond in members.items()}}
+        },
     )
-    return sums.join(counts, list(keys)).select(
+    return both.select(
         *keys,
         *(
             F.round(safe_div(F.col(f"_net_{m}") * 100.0, F.col(f"_n_{m}")), 0).alias(m)

@@ -33,12 +33,23 @@ def _words(conditions: Sequence[Column | None]) -> list[Column]:
     return words
 
 
-def distinct_counts(df: DataFrame, keys: Sequence[str], spec: CountSpec) -> DataFrame:
+def distinct_counts(
+    df: DataFrame,
+    keys: Sequence[str],
+    spec: CountSpec,
+    sums: Mapping[str, Column] | None = None,
+) -> DataFrame:
     """Exact distinct counts of several id columns under several conditions.
 
     One row per ``keys`` group of ``df``.  NULL ids are not counted, but a group
     whose ids are all NULL still gives a row of zeros.
+
+    ``sums`` are values to add up in the same pass: each row's ride along with its first
+    id, are added per id where the bits are merged and per group where they are counted.
+    They widen the rows that are shuffled, so this pays for few sums and ids with many rows.
     """
+    sums = dict(sums or {})
+    types = {f.name: f.dataType for f in df.select(*(F.sum(v).alias(n) for n, v in sums.items())).schema}
     packed = {col: _words(list(conds.values())) for col, conds in spec.items()}
     width = max(len(w) for w in packed.values())
     zero = F.lit(0).cast("bigint")
@@ -56,7 +67,9 @@ def distinct_counts(df: DataFrame, keys: Sequence[str], spec: CountSpec) -> Data
             for k, words in enumerate(packed.values())
             for i, word in enumerate(words)
         ),
+        *(v.alias(f"_sum_{n}") for n, v in sums.items()),
     )
+    kinds = {f.name: f.dataType for f in wide.schema}
     entries = [
         F.struct(
             F.lit(k).alias("_kind"),
@@ -65,13 +78,17 @@ def distinct_counts(df: DataFrame, keys: Sequence[str], spec: CountSpec) -> Data
                 (F.col(f"_w{k}_{i}") if i < len(words) else zero).alias(names[i])
                 for i in range(width)
             ),
+            *(
+                (F.col(f"_sum_{n}") if k == 0 else F.lit(None).cast(kinds[f"_sum_{n}"])).alias(f"_sum_{n}")
+                for n in sums
+            ),
         )
         for k, words in enumerate(packed.values())
     ]
     rows = wide.select(*keys, F.inline(F.array(*entries)))
 
     per_id = rows.groupBy(*keys, "_kind", "_id").agg(
-        *(F.bit_or(n).alias(n) for n in names)
+        *(F.bit_or(n).alias(n) for n in names), *(F.sum(f"_sum_{n}").alias(f"_sum_{n}") for n in sums)
     )
 
     totals = []
@@ -84,7 +101,8 @@ def distinct_counts(df: DataFrame, keys: Sequence[str], spec: CountSpec) -> Data
                 & (F.col(names[word]).bitwiseAND(F.lit(1 << bit).cast("bigint")) != 0)
             )
             totals.append(F.count(F.when(hit, F.lit(1))).alias(out))
-    return per_id.groupBy(*keys).agg(*totals)
+    added = [F.sum(f"_sum_{n}").cast(types[n]).alias(n) for n in sums]
+    return per_id.groupBy(*keys).agg(*totals, *added)
 
 
 def distinct_pivot(

@@ -35,7 +35,7 @@ from periodbook.operators.aggregates import (
     sum_when,
 )
 from periodbook.operators.distincts import distinct_counts, distinct_pivot
-from periodbook.operators.joins import attach_to_segment, interval_join
+from periodbook.operators.joins import attach_to_segment, covering, interval_map
 from periodbook.operators.sets import append_comparison
 from periodbook.plans import acquisition
 from periodbook.sources.tables import Tables, pruned_scan
@@ -118,6 +118,21 @@ def price_special_windows(
     return rows.distinct()
 
 
+def price_interval_map(windows: DataFrame, price_regions: DataFrame) -> DataFrame:
+    """Specials per product and day, of all price regions: the orgs a special holds for come with it.
+
+    An org counts once for a price region, however often it is listed.
+    """
+    served = price_regions.groupBy("price_region_id").agg(F.collect_set("sales_org_id").alias("orgs"))
+    spans = windows.withColumnRenamed("sales_org_id", "price_region_id").join(
+        served, "price_region_id", "left"
+    )
+    return interval_map(
+        spans, "product_id", "start_time_extended", "end_time_extended",
+        ["price_region_id", "orgs", "reason"],
+    )
+
+
 def with_price_reason(
     lines: DataFrame, price_regions: DataFrame, windows: DataFrame
 ) -> DataFrame:
@@ -126,24 +141,35 @@ def with_price_reason(
     A line's own reason counts first, then a special of its price region at order
     time, then (pantry lines) one of the region its org is served from.  Overlapping
     specials repeat a line, as a plain left join does.
+
+    Both are looked up in one array of the product's specials of that day, so the lines
+    meet the specials in one join (on product and day: a hot product is spread over its
+    days), and the price regions only meet the specials.
     """
+    specials = price_interval_map(windows, price_regions)
     no_reason = F.col("discount_reason").isNull()
-    pantry_region = lookup("sales_org_id", dim.PANTRY_PRICE_REGIONS).cast("bigint")
-    keyed = lines.join(price_regions, "sales_org_id", "left").withColumn(
-        "_pantry_region", pantry_region
+    at = F.col("order_create_time")
+    met = (
+        no_reason
+        & (F.col("product_id") == F.col("_key"))
+        & (at.cast("date") == F.col("_day"))
     )
-    hours = ("order_create_time", "start_time_extended", "end_time_extended", ["reason"])
-    direct = interval_join(
-        keyed, windows, {"product_id": "product_id", "price_region_id": "sales_org_id"},
-        *hours, when=no_reason,
-    ).withColumnRenamed("reason", "_direct")
-    both = interval_join(
-        direct, windows, {"product_id": "product_id", "_pantry_region": "sales_org_id"},
-        *hours, when=no_reason & (F.col("mail_type") == "pantry"),
-    ).withColumnRenamed("reason", "_pantry")
-    return both.withColumn(
-        "promo_reason", F.coalesce("discount_reason", "_direct", "_pantry")
-    ).drop("_direct", "_pantry", "_pantry_region", "price_region_id")
+    found = lines.join(specials, met, "left").withColumn("_spans", covering(F.col("_spans"), at))
+    pantry = lookup("sales_org_id", dim.PANTRY_PRICE_REGIONS).cast("bigint")
+    none = F.array(F.lit(None).cast("string"))
+
+    def reasons(hits: Column) -> Column:
+        """The reasons of the specials met, or one missing reason."""
+        return F.when(F.size(hits) > 0, F.transform(hits, lambda s: s["reason"])).otherwise(none)
+
+    direct = reasons(F.filter("_spans", lambda s: F.array_contains(s["orgs"], F.col("sales_org_id"))))
+    served = reasons(
+        F.filter("_spans", lambda s: (s["price_region_id"] == pantry) & (F.col("mail_type") == "pantry"))
+    )
+    every = F.flatten(F.transform(direct, lambda d: F.transform(served, lambda p: F.coalesce(d, p))))
+    return found.select(
+        *lines.columns, F.explode(every).alias("_found")
+    ).withColumn("promo_reason", F.coalesce("discount_reason", "_found")).drop("_found")
 
 
 def promo_measures(corrected: bool = False) -> list[Column]:
@@ -418,19 +444,20 @@ def restaurant_margin(t: Tables, r: Review) -> DataFrame:
 
 
 def division_scorecard(t: Tables, r: Review) -> DataFrame:
-    """Revenue, users and margin of each division; restaurants are not left out here."""
+    """Revenue, users and margin of each division, in one pass; restaurants are not left out here."""
     rows = r.scan(t["order_product"], "delivery_day", "order_day")
     inside = {d: F.col("division") == title for d, title in dim.DIVISIONS.items()}
-    sums = []
+    sums = {}
     for d, cond in inside.items():
-        sums.append(sum_when(cond, "sub_total").alias(f"{d}_rev"))
-        sums.append(
-            safe_div(sum_only(cond, "gm_margin"), sum_only(cond, "gm_base")).alias(f"{d}_gm")
-        )
-    users = distinct_counts(
-        rows, [UNIT], {"buyer_id": {f"{d}_user": cond for d, cond in inside.items()}}
+        sums[f"{d}_rev"] = F.when(cond, F.col("sub_total")).otherwise(F.lit(0))
+        sums[f"_{d}_margin"] = F.when(cond, F.col("gm_margin"))
+        sums[f"_{d}_base"] = F.when(cond, F.col("gm_base"))
+    users = {"buyer_id": {f"{d}_user": cond for d, cond in inside.items()}}
+    both = distinct_counts(rows, [UNIT], users, sums)
+    margins = [safe_div(f"_{d}_margin", f"_{d}_base").alias(f"{d}_gm") for d in inside]
+    return both.select(
+        UNIT, *(f"{d}_rev" for d in inside), *margins, *(f"{d}_user" for d in inside)
     )
-    return rows.groupBy(UNIT).agg(*sums).join(users, UNIT)
 
 
 PLAN_COLUMNS = {
