@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from periodbook import dimensions as dim
 from periodbook.functions.periods import PeriodWindow, floor_date, month_start, shift_date, trailing
-from periodbook.functions.scalars import exact_avg, lookup, safe_div
+from periodbook.functions.scalars import as_money, exact_avg, lookup, safe_div
 from periodbook.operators.windows import latest_period, rank_newest
 from periodbook.sources.sheets import SheetSpec, parse_sheet, union_sheets
 
@@ -24,6 +24,9 @@ RATES = {
     "misc_pct": "misc_pct",
 }
 
+AVERAGED_RATES = ("inbound_pct", "packaging_pct")
+DOLLAR_RATES = ("wh_pct", "ops_pct", "misc_pct")
+
 
 def reported_rates_latest(sheet: DataFrame, as_of: date) -> DataFrame:
     """Newest reported month of the last two, typed, with region ids."""
@@ -124,28 +127,91 @@ def rate_card(rates: DataFrame, weekly_sales: DataFrame, as_of: date) -> DataFra
     return card.select("report_month", *(c for c in card.columns if c != "report_month"))
 
 
+def newest_rates(rates: DataFrame) -> DataFrame:
+    """Per region: the newest month's rates, sums and numbers for four-month averages, and the newest rows' dollar rates as arrays."""
+    newest = F.col("rn") == 1
+
+    def latest(c: str) -> Column:
+        return F.max(F.when(newest, F.col(c)))
+
+    return (
+        rates.filter(F.col("rn") <= 4)
+        .groupBy("region_id")
+        .agg(
+            *(latest(c).alias(c) for c in ("inbound_pct", "processing_fee_pct", *DOLLAR_RATES)),
+            latest("packaging_pct").alias("reported_packaging_pct"),
+            *(F.sum(as_money(c)).alias(f"_sum_{c}") for c in AVERAGED_RATES),
+            *(F.count(c).alias(f"_n_{c}") for c in AVERAGED_RATES),
+            *(F.collect_list(F.when(newest, F.col(c))).alias(f"_{c}") for c in DOLLAR_RATES),
+        )
+    )
+
+
+def windowed_rate_costs(
+    sales: DataFrame, rates: DataFrame, as_of: date, window: PeriodWindow
+) -> DataFrame:
+    """As :func:`weekly_rate_costs` with the :func:`rate_card` of the same sales, which are only computed once.
+
+    ``sales`` is aggregated (weeks x regions), so each row sees its region's weeks of the month
+    before through a small window instead of a second aggregate of the orders and a join.
+    """
+    last_week = shift_date(floor_date(as_of, "week"), "week", -1)
+    month_before = shift_date(floor_date(last_week, "month"), "month", -1)
+    net = F.col("net_rev").cast("double")
+    earlier = F.when(month_start("delivery_week") == F.lit(month_before), net)
+    seen = sales.withColumn(
+        "_weeks", F.collect_list(earlier).over(Window.partitionBy("sales_region_id"))
+    )
+
+    def mean_dollars(c: str) -> Column:
+        """Mean of (newest rate x week's revenue) over all pairs, added up as decimals."""
+        dollars = F.flatten(
+            F.transform(f"_{c}", lambda rate: F.transform("_weeks", lambda week: as_money(rate * week)))
+        )
+        zero = F.lit(0).cast("decimal(38,6)")
+        total = F.aggregate(dollars, zero, lambda a, x: (a + x).cast("decimal(38,6)"))
+        return safe_div(total, F.nullif(F.size(dollars), F.lit(0)))
+
+    # the card's averages count each rate once per week: so do these, to the last digit
+    times = F.greatest(F.size("_weeks"), F.lit(1))
+    per_region = newest_rates(rates).withColumnRenamed("region_id", "sales_region_id")
+    joined = seen.join(per_region, "sales_region_id", "left").withColumns(
+        {f"avg_{c.removesuffix('_pct')}_dollar_value": mean_dollars(c) for c in DOLLAR_RATES}
+        | {f"avg_{c}": safe_div(F.col(f"_sum_{c}") * times, F.col(f"_n_{c}") * times) for c in AVERAGED_RATES}
+    )
+    return _costs(joined, sales.columns, last_week, window)
+
+
 def weekly_rate_costs(
     sales: DataFrame, card: DataFrame, as_of: date, window: PeriodWindow
 ) -> DataFrame:
     """Costs of the shown weeks: averages for the current month, reported rates before."""
     last_week = shift_date(floor_date(as_of, "week"), "week", -1)
-    this_month = month_start("delivery_week") == F.lit(floor_date(last_week, "month"))
-    net = F.col("net_rev").cast("double")
     rates = card.drop("report_month").withColumnsRenamed(
         {"region_id": "sales_region_id", "packaging_pct": "reported_packaging_pct"}
     )
 
+    shown = sales.filter(window.holds("delivery_week"))
+    return _costs(shown.join(rates, "sales_region_id", "left"), sales.columns, last_week, window)
+
+
+def _costs(
+    joined: DataFrame, columns: list[str], last_week: date, window: PeriodWindow
+) -> DataFrame:
+    """Costs of the shown weeks, from sales with their region's rates."""
+    this_month = month_start("delivery_week") == F.lit(floor_date(last_week, "month"))
+    net = F.col("net_rev").cast("double")
+
     def rate(average: str, reported: str) -> Column:
         return F.when(this_month, F.col(average) * net).otherwise(F.col(reported) * net)
 
     def dollars(average: str, reported: str) -> Column:
         return F.when(this_month, F.col(average)).otherwise(F.col(reported) * net)
 
-    shown = sales.filter(window.holds("delivery_week"))
     return (
-        shown.join(rates, "sales_region_id", "left")
+        joined.filter(window.holds("delivery_week"))
         .select(
-            *sales.columns,
+            *columns,
             rate("avg_inbound_pct", "inbound_pct").alias("inbound_rev"),
             (F.col("processing_fee_pct") * net).alias("processing_rev"),
             rate("avg_packaging_pct", "reported_packaging_pct").alias("packaging_rev"),
