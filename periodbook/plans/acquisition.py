@@ -138,7 +138,9 @@ def coupon_spend(
     """New-user coupon amounts by order day and by delivery day.
 
     An order's amount counts once per use of a coupon code on it (``corrected``: once).
-    The uses are counted per order first, so nothing fans out.  Both day views come
+    The uses are counted per order first, so nothing fans out; amounts and uses of other
+    orders are dropped by a semi-join before they are grouped (see ``session.SETTINGS``: on
+    large tables Spark then filters them by a Bloom filter before they are shuffled).  Both day views come
     from one pass: each order yields an entry for either day.  ``window`` limits the
     days of the result and lets older orders go unread.
     """
@@ -149,8 +151,10 @@ def coupon_spend(
         & (F.col("discount") > 0)
         & F.col("coupon").isin(*dim.SIGN_UP_COUPONS)
     ).select("order_id", "order_day", "order_week", "delivery_day", "delivery_week")
+    ids = rows.select("order_id")
     amounts = (
         discounts.filter(F.col("type") == "coupon")
+        .join(ids, "order_id", "left_semi")
         .groupBy("order_id")
         .agg(F.sum("amount").alias("amount"))
     )
@@ -159,7 +163,8 @@ def coupon_spend(
     if not corrected:
         codes = coupon_code.groupBy("code").agg(F.count("*").alias("_codes"))
         uses = (
-            coupon_use.join(codes, "code", "left")
+            coupon_use.join(ids, "order_id", "left_semi")
+            .join(codes, "code", "left")
             .groupBy("order_id")
             .agg(F.sum(F.coalesce("_codes", F.lit(1))).alias("_uses"))
         )

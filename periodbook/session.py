@@ -12,6 +12,10 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # joins with a few rows of a large table (coupon orders) filter the other side by a Bloom filter before its shuffle
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "100GB",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1GB",
     # a report's partitions replace only themselves
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # plans here have thousands of expressions; do not record a call site for each
