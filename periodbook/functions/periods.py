@@ -122,6 +122,21 @@ class PeriodWindow:
         d = _col(day)
         return reduce(lambda x, y: x | y, ((d >= F.lit(a)) & (d < F.lit(b)) for a, b in self.spans))
 
+    def may_hold_text(self, day: Column | str) -> Column:
+        """Texts of days that may lie in the window, as plain comparisons of text, so that scans can prune.
+
+        Left out is only what sorts as an ISO date of another period: from 1900 to the window, and
+        from the window to 2100. Texts that are no ISO dates of other years, and other spellings of the window's
+        own years, stay in and are read (or fail) as before.
+        """
+        d, (lo, hi) = _col(day), (self.spans[0][0], self.spans[-1][1])
+        inside = reduce(lambda x, y: x | y, ((d >= a.isoformat()) & (d < b.isoformat()) for a, b in self.spans))
+        own_year = reduce(
+            lambda x, y: x | y,
+            ((d >= f"{year:04d}.") & (d < f"{year + 1:04d}-") for year in range(lo.year, hi.year + 1)),
+        )
+        return inside | own_year | (d < "1900-") | (d >= "2100-")
+
 
 def trailing(as_of: date, unit: Unit, n: int) -> PeriodWindow:
     """The last ``n`` complete periods before the one that holds ``as_of``."""

@@ -34,7 +34,8 @@ def delivery_cost(
         .agg((F.sum("total_delivery_cost") + F.sum("linehaul_cost")).alias("delivery_cost"))
         .withColumn("kind", F.lit("dispatch"))
     )
-    shipped = shipments.withColumn("_day", strict_cast("deal_delivery_date", "date"))
+    # the text's own range reaches the scan, the parsed day's cannot
+    shipped = shipments.filter(window.may_hold_text("deal_delivery_date")).withColumn("_day", strict_cast("deal_delivery_date", "date"))
     shipped = pruned_scan(
         shipped.withColumn(period, period_key("_day", window.unit)),
         F.col(period),
