@@ -363,6 +363,11 @@ reg.add(
     lambda t: weekly.weekly_pnl(t, AS_OF, st.CUTOVER, SHEETS),
     query(_select(PNL_OUT, "pnl"), **pnl),
 )
+reg.add(
+    "weekly_pnl_nine_sheets",  # the nine regional sheets, read together
+    lambda t: weekly.weekly_pnl(t, AS_OF, st.CUTOVER),
+    query(_select(PNL_OUT, "pnl"), **pnl),
+)
 # dictionaries keep the order of their keys, so the corrected steps take the old ones' places
 corrected = pnl_base | _sales("DATE '2000-02-06'", LAST, True, corrected=True)
 corrected["pnl_base"] = corrected["pnl_base"].replace("JOIN delivery d", "LEFT JOIN delivery d")

@@ -50,9 +50,8 @@ def rate_costs(
     t: Tables, as_of: date, sheets: Sequence[str] = SHEETS, corrected: bool = False
 ) -> DataFrame:
     sales = net_revenue(t, as_of, corrected)
-    reported = rates.reported_rates_ranked(t[s] for s in sheets)
-    card = rates.rate_card(reported, sales, as_of)
-    return rates.weekly_rate_costs(sales, card, as_of, trailing(as_of, "week", WEEKS_SHOWN))
+    reported = rates.reported_rates_ranked([t.stacked(sheets)])
+    return rates.windowed_rate_costs(sales, reported, as_of, trailing(as_of, "week", WEEKS_SHOWN))
 
 
 def delivery_cost(t: Tables, as_of: date) -> DataFrame:

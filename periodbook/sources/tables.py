@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from periodbook.functions.periods import PeriodWindow, month_start, quarter_start, week_start
 from periodbook.sources.schemas import SCHEMAS
+from periodbook.sources.sheets import union_sheets
 
 
 def read_table(
@@ -41,8 +42,13 @@ class Tables:
     its frame, so a report only touches the tables it needs.
     """
 
-    def __init__(self, openers: Mapping[str, Callable[[], DataFrame]]):
+    def __init__(
+        self,
+        openers: Mapping[str, Callable[[], DataFrame]],
+        many: Callable[[Sequence[str]], DataFrame] | None = None,
+    ):
         self._openers = dict(openers)
+        self._many = many
         self._open: dict[str, DataFrame] = {}
 
     @classmethod
@@ -51,7 +57,10 @@ class Tables:
             {
                 n: (lambda n=n: conform(read_table(spark, base_dir, n), n))
                 for n in SCHEMAS
-            }
+            },
+            lambda names: conform(
+                spark.read.parquet(*(f"{base_dir}/{n}.parquet" for n in names)), names[0]
+            ),
         )
 
     @classmethod
@@ -64,6 +73,14 @@ class Tables:
             self._open[name] = self._openers[name]()
         return self._open[name]
 
+    def stacked(self, names: Sequence[str]) -> DataFrame:
+        """All rows of tables of one shape: one scan of all paths in a folder of files, else a union."""
+        if len({SCHEMAS.get(n) for n in names}) > 1:
+            raise ValueError(f"tables {list(names)} differ in their columns")
+        if self._many is not None and len(names) > 1:
+            return self._many(names)
+        return union_sheets(self[n] for n in names)
+
     def __contains__(self, name: str) -> bool:
         return name in self._openers
 
