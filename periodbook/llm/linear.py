@@ -35,6 +35,14 @@ class Rows:
         self.feature = np.concatenate(rows, dtype=np.int32, casting="unsafe") if len(rows) else np.zeros(0, np.int32)
         self.n, self.width = len(rows), width
 
+    def of(self, wanted: np.ndarray) -> Rows:
+        """The wanted rows, in order."""
+        out = object.__new__(Rows)
+        held = wanted[self.row]
+        out.row = (np.cumsum(wanted, dtype=np.int32) - 1)[self.row[held]]
+        out.feature, out.n, out.width = self.feature[held], int(wanted.sum()), self.width
+        return out
+
     def _summed(self, into: np.ndarray, values: np.ndarray, by: np.ndarray, size: int) -> np.ndarray:
         out = np.zeros(size)
         for k in range(0, len(into), self.SLICE):

@@ -99,7 +99,7 @@ def cotrain(content: list, meta: list, label: np.ndarray, pool_content: list, po
     for value in (0, 1):  # both classes are in both parts wherever there are two rows of them
         aside[np.flatnonzero(label == value)[1::4]] = True
     known, n = len(label), len(label) + len(pool_content)
-    # one array per view for all fits: labelled rows, then the pool; a fit weighs the rows it may see
+    # one array per view: labelled rows, then the pool; a fit takes the rows it may see out of it
     views = {"content": Rows([*content, *pool_content], width), "meta": Rows([*meta, *pool_meta], width)}
     taught: dict[str, dict[int, int]] = {"content": {}, "meta": {}}  # pool row: pseudo-label
     models = {}
@@ -111,7 +111,8 @@ def cotrain(content: list, meta: list, label: np.ndarray, pool_content: list, po
             if taught[view]:
                 at = known + np.array(list(taught[view]))
                 y[at], trust[at] = list(taught[view].values()), 0.3
-            models[view] = fit(rows, y, importance=trust)
+            seen = trust > 0
+            models[view] = fit(rows.of(seen), y[seen], importance=trust[seen])
         if r == rounds or not len(pool_content):
             break
         for view, other in (("content", "meta"), ("meta", "content")):
