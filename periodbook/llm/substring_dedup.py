@@ -42,6 +42,8 @@ from periodbook.llm.common import batches, hashes, keep, parts, rolling
 WIDTH = 20
 ANCHOR = 8
 HOT = 2_000
+SPREAD = 1_000  # an anchor with more than this share's part of all rows is spread over ``SALTS`` keys
+SALTS = 256
 PLACE = 1 << 40
 
 
@@ -187,8 +189,16 @@ def repeated_anchors(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text").filter("doc_id is not null and text is not null")
     found = rows.mapInPandas(run, "anchor long, doc_id long, mark long, start int")
-    often = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor", (F.col("n") > HOT).cast("int").alias("hot"))
-    return found.join(often, "anchor").groupBy("doc_id", "mark").agg(F.collect_set((F.col("start") * 2 + F.col("hot"))).alias("at"))
+    often = keep(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "often")
+    total = often.agg(F.sum("n")).first()[0] or 0
+    # bounded: fewer than ``SPREAD`` anchors can have more than one in ``SPREAD`` of all; the rows of these meet their flag under many salts
+    very = often.filter(F.col("n") * SPREAD > total).select("anchor", F.lit(True).alias("very"))
+    often = often.join(F.broadcast(very), "anchor", "left").select(
+        "anchor", (F.col("n") > HOT).cast("int").alias("hot"), F.explode(F.when(F.col("very"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).alias("salt")
+    )
+    salt = F.when(F.col("very"), F.pmod(F.xxhash64("doc_id", "mark", "start"), F.lit(SALTS)).cast("int")).otherwise(0).alias("salt")
+    dealt = found.join(F.broadcast(very), "anchor", "left").select("anchor", "doc_id", "mark", "start", salt)
+    return dealt.join(often, ["anchor", "salt"]).groupBy("doc_id", "mark").agg(F.collect_set((F.col("start") * 2 + F.col("hot"))).alias("at"))
 
 
 def passages(docs: DataFrame, repeats: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -287,9 +297,11 @@ def cut(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
     judged_rows = judged(docs, width).filter("at is not null").mapInPandas(run, "doc_id long, mark long, new_text string")
     changed = judged_rows.distinct().select(F.col("doc_id").alias("c_id"), F.col("mark").alias("c_mark"), "new_text")
-    text = F.coalesce("new_text", "text")
-    joined = docs.withColumn("c_own", F.xxhash64("text")).join(changed, (F.col("doc_id") == F.col("c_id")) & (F.col("c_own") == F.col("c_mark")), "left")
-    return joined.select(*(
-        text.alias(c) if c == "text" else F.when(F.col("new_text").isNull(), docs[c]).otherwise(F.char_length("new_text")).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else docs[c]
-        for c in docs.columns
-    ))
+    # the row is one column, so its own columns may have any names
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    own = lambda c: F.col("row").getField(c)
+    joined = rows.join(changed, (own("doc_id") == F.col("c_id")) & (F.xxhash64(own("text")) == F.col("c_mark")), "left")
+    new = {"text": F.coalesce("new_text", own("text"))}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(F.col("new_text").isNull(), own("n_chars")).otherwise(F.char_length("new_text")).cast(docs.schema["n_chars"].dataType)
+    return joined.select(*(new.get(c, own(c)).alias(c) for c in docs.columns))
