@@ -237,8 +237,8 @@ def across(open_: DataFrame, own: DataFrame, texts: DataFrame, least: float, blo
     return left.join(right, ["key", "other"]).select("key", "block", "other", "left", "right").mapInPandas(run, "centre long, c_root long, rep long, root long")
 
 
-def near_classes(docs: DataFrame, least: float = 0.8, bands: int = 24, rows: int = 5, rounds: int = 3) -> DataFrame:
-    """One row per document (doc_id): (doc_id, class_id), the class being its smallest doc_id."""
+def text_classes(docs: DataFrame, least: float = 0.8, bands: int = 24, rows: int = 5, rounds: int = 3) -> tuple[DataFrame, DataFrame]:
+    """Every text with words as (doc_id, raw, same, keys), and (same, root): the component of its words."""
     sign = keep(signed(docs, bands, rows), "darts")
     # a representative is a text, whatever doc_ids have it; it is numbered, and read from the first of them
     first = F.min(F.struct("doc_id", "raw")).alias("first")
@@ -270,7 +270,12 @@ def near_classes(docs: DataFrame, least: float = 0.8, bands: int = 24, rows: int
         joined = components(new.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
         joined = joined.select(F.col("doc_id").alias("root"), F.col("root").alias("now"))
         rooted = keep(rooted.join(joined, "root", "left").select("key", "rep", F.coalesce("now", "root").alias("root")), "rooted")
-    roots = reps.select("same", "rep").join(rooted.select("rep", "root").distinct(), "rep", "left").select("same", F.coalesce("root", "rep").alias("root"))
+    return sign, reps.select("same", "rep").join(rooted.select("rep", "root").distinct(), "rep", "left").select("same", F.coalesce("root", "rep").alias("root"))
+
+
+def near_classes(docs: DataFrame, least: float = 0.8, bands: int = 24, rows: int = 5, rounds: int = 3) -> DataFrame:
+    """One row per document (doc_id): (doc_id, class_id), the class being its smallest doc_id."""
+    sign, roots = text_classes(docs, least, bands, rows, rounds)
     members = keep(sign.select("doc_id", "same").distinct().join(roots, "same").select("doc_id", "root").distinct(), "members")
     # the components of one doc_id's texts are one
     several = members.groupBy("doc_id").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("doc_id", "lo")
@@ -284,10 +289,20 @@ def near_classes(docs: DataFrame, least: float = 0.8, bands: int = 24, rows: int
 
 
 def keep_one(docs: DataFrame, least: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` without near copies: of each class the smallest doc_id stays, once. Rows with null doc_id stay."""
-    classes = keep(near_classes(docs, least), "classes")
-    gone = classes.filter("class_id < doc_id").select("doc_id")
-    left = docs.join(gone, "doc_id", "left_anti").select(*(docs[c] for c in docs.columns))
-    again = docs.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select("doc_id")
-    once = left.join(again, "doc_id", "left_anti").select(*docs.columns)
-    return once.unionByName(left.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
+    """The rows of ``docs`` without near copies: of each group of texts one row stays, that of the smallest doc_id.
+
+    Texts are judged each on its own, also where they share a doc_id; of that doc_id's texts of a group the one with the
+    smallest digest stays. Of rows with equal doc_id and text one stays, the first as JSON. Texts without words are no copies of others. Rows with null doc_id stay.
+    """
+    sign, roots = text_classes(docs, least)
+    members = keep(sign.select("doc_id", "raw", "same").distinct().join(roots, "same").select("doc_id", "raw", "root"), "members")
+    stays = members.groupBy("root").agg(F.min(F.struct("doc_id", "raw")).alias("first")).select("first.*")
+    gone = members.join(stays, ["doc_id", "raw"], "left_anti").select(F.col("doc_id").alias("g_id"), F.col("raw").alias("g_raw"))
+    # the row is one column, so its own columns may have any names
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    rows = rows.select("row", F.col("row").getField("doc_id").alias("id"), F.coalesce(F.unhex(F.md5(F.col("row").getField("text").cast("binary"))), F.lit(b"")).alias("raw"))
+    left = rows.join(gone, (F.col("id") == F.col("g_id")) & (F.col("raw") == F.col("g_raw")), "left_anti")
+    again = rows.filter("id is not null").groupBy("id", "raw").count().filter("count > 1").select("id", "raw")
+    once = left.join(again, ["id", "raw"], "left_anti").select("row")
+    several = left.join(again, ["id", "raw"], "left_semi").groupBy("id", "raw").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row")
+    return once.unionByName(several).select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
