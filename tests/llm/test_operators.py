@@ -376,6 +376,35 @@ def test_hot_anchors_give_the_same(docs_of, texts, monkeypatch):
     assert sorted(substring_dedup.digests(docs_of(texts)).collect()) == want
 
 
+def test_spread_anchors_give_the_same(docs_of, texts, monkeypatch):
+    """Every repeated anchor is salted here."""
+    want = sorted(substring_dedup.digests(docs_of(texts)).collect())
+    monkeypatch.setattr(substring_dedup, "SPREAD", 10**9)
+    assert sorted(substring_dedup.digests(docs_of(texts)).collect()) == want
+
+
+def test_stages_keep_columns_of_any_name(docs_of, texts):
+    """Names that the operators use themselves are the table's own columns."""
+    rows = texts[:12] + [(i + 5_000, t) for i, t in texts[:12]]
+    docs = docs_of(rows)
+    names = ["c_id", "c_own", "c_mark", "new_text", "g_id", "g_raw", "row", "id", "raw", "root", "mark", "body"]
+    wide = docs.select("*", *(F.lit(f"own {n}").alias(n) for n in names))
+    for stage in (near_dedup.keep_one, substring_dedup.cut):
+        got = stage(wide)
+        assert got.columns == wide.columns
+        assert sorted(got.select(*docs.columns).collect()) == sorted(stage(docs).collect())
+        assert got.filter(" or ".join(f"`{n}` <> 'own {n}'" for n in names)).isEmpty()
+
+
+def test_unrelated_texts_of_a_doc_id_stay(docs_of):
+    rng = random.Random(31)
+    one, two, three = (" ".join(prose(rng, 80)) for _ in range(3))
+    rows = [(1, one), (2, one), (2, two), (2, two), (3, two + " more"), (4, three), (5, None), (5, None), (5, ""), (None, one), (None, one)]
+    kept = near_dedup.keep_one(docs_of(rows)).select("doc_id", "text").collect()
+    want = [(1, one), (2, two), (4, three), (5, None), (5, ""), (None, one), (None, one)]
+    assert sorted(map(tuple, kept), key=str) == sorted(want, key=str)
+
+
 def test_anchors_are_gathered_per_text_of_a_doc_id(docs_of):
     """A row gets its own anchors, not those of other texts of its doc_id, and equal rows get them once."""
     rng = random.Random(5)
