@@ -28,7 +28,7 @@ from periodbook.functions.periods import (
     week_start,
 )
 from periodbook.functions.scalars import as_money, lookup, safe_div
-from periodbook.operators.aggregates import add_company_row, share_of_total, sum_only, sum_when
+from periodbook.operators.aggregates import add_company_row, sum_only, sum_when
 from periodbook.operators.joins import value_of_member
 from periodbook.operators.windows import with_lag
 from periodbook.plans.revenue import pnl_lines
@@ -183,83 +183,10 @@ def la_greater_cost(
     return rows.groupBy(key.alias(out)).agg(F.sum("labor_cost").alias("_la_greater"))
 
 
-# --- revenue shares, monthly --------------------------------------------------
-
-
-def _la_mirada(lines: DataFrame, as_of: date) -> DataFrame:
-    rows = pnl_lines(lines, "delivery_month", trailing(as_of, "month", 1))
-    return rows.filter(F.col("inventory_title") == dim.LA_MIRADA)
-
-
-def dry_revenue_share(lines: DataFrame, as_of: date) -> DataFrame:
-    """Split of La Mirada's dry revenue per day: Bay Area, Los Angeles, the rest as 3."""
-    region = F.when(_is(dim.BAY_AREA, dim.LOS_ANGELES), _region()).otherwise(
-        F.lit(dim.MAIL_ORDER)
-    )
-    sums = (
-        _la_mirada(lines, as_of)
-        .filter(F.col("division") == dim.DRY_DIVISION)
-        .groupBy("delivery_day", region.alias("sales_region_id"))
-        .agg(F.sum("sub_total").alias("dry_rev"))
-    )
-    return share_of_total(sums, "delivery_day", "dry_rev", "dry_rev_pct").drop("dry_rev")
-
-
-def nondry_revenue_share(lines: DataFrame, as_of: date) -> DataFrame:
-    """Split of La Mirada's other revenue per day between Bay Area and Los Angeles."""
-    sums = (
-        _la_mirada(lines, as_of)
-        .filter(
-            (F.col("division") != dim.DRY_DIVISION) & _is(dim.BAY_AREA, dim.LOS_ANGELES)
-        )
-        .groupBy("delivery_day", "sales_region_id")
-        .agg(F.sum("sub_total").alias("nondry_rev"))
-    )
-    return share_of_total(sums, "delivery_day", "nondry_rev", "nondry_rev_pct").drop("nondry_rev")
-
-
-def cutover_share(lines: DataFrame, as_of: date, cutover: Cutover = CUTOVER) -> DataFrame:
-    """Dry and non-dry shares; before the cutover Los Angeles keeps all non-dry labour."""
-    nondry = nondry_revenue_share(lines, as_of)
-    before = F.col("delivery_day") < F.lit(cutover.day)
-    pct = (
-        F.when(before & _is(dim.LOS_ANGELES), F.lit(1.0))
-        .when(before & _is(dim.BAY_AREA), F.lit(0.0))
-        .otherwise(F.coalesce("nondry_rev_pct", F.lit(0.0)))
-    )
-    return (
-        dry_revenue_share(lines, as_of)
-        .join(nondry, ["delivery_day", "sales_region_id"], "left")
-        .withColumn("nondry_rev_pct", pct)
-    )
-
-
-def _mail_order_share(rows: DataFrame, period: str) -> DataFrame:
-    region = F.when(
-        F.col("inventory_title") == dim.CHICAGO_INVENTORY, F.lit(dim.CHICAGO)
-    ).otherwise(F.lit(dim.NEW_YORK))
-    sums = (
-        rows.filter(F.col("inventory_title").isin(dim.CHICAGO_INVENTORY, dim.NEW_YORK_INVENTORY))
-        .groupBy(period, region.cast("bigint").alias("inventory_region"))
-        .agg(
-            sum_when(_mail_order_line(), "sub_total").alias("mo_rev"),
-            F.sum("sub_total").alias("total_rev"),
-        )
-    )
-    return sums.select(
-        period,
-        F.col("inventory_region").alias("sales_region_id"),
-        safe_div("mo_rev", "total_rev").alias("mo_pct"),
-    )
-
-
-def mail_order_share(lines: DataFrame, as_of: date) -> DataFrame:
-    """Mail-order part of Chicago's and New York's revenue per day."""
-    rows = pnl_lines(lines, "delivery_month", trailing(as_of, "month", 1))
-    return _mail_order_share(rows, "delivery_day")
-
-
-# --- all shares at once -----------------------------------------------------------
+# --- revenue shares -------------------------------------------------------------
+#
+# One aggregate per report, a row per period with a column per part: the allocation
+# looks its shares up there, the share tables below are the same row unfolded.
 
 
 def _inventory(title: str) -> Column:
@@ -271,11 +198,33 @@ def _other_regions() -> Column:
     return ~F.coalesce(_is(dim.BAY_AREA, dim.LOS_ANGELES), F.lit(False))
 
 
+# who La Mirada works for, by the name its part has in the columns below
+SPLIT = {
+    "bay": (dim.BAY_AREA, lambda: _is(dim.BAY_AREA)),
+    "la": (dim.LOS_ANGELES, lambda: _is(dim.LOS_ANGELES)),
+    "mo": (dim.MAIL_ORDER, _other_regions),
+}
+MAIL_WAREHOUSES = {
+    "chi": (dim.CHICAGO, dim.CHICAGO_INVENTORY),
+    "ny": (dim.NEW_YORK, dim.NEW_YORK_INVENTORY),
+}
+
+
+def _split_sums(kind: str, cond: Column, parts: Iterable[str] = SPLIT) -> list[Column]:
+    """Revenue and number of lines of each part: ``_<kind>_<part>`` and ``_<kind>_<part>_n``."""
+    out = []
+    for part in parts:
+        here = cond & SPLIT[part][1]()
+        out += [sum_only(here, "sub_total").alias(f"_{kind}_{part}"), F.count_if(here).alias(f"_{kind}_{part}_n")]
+    return out
+
+
 def _mail_sums() -> list[Column]:
     out = []
-    for name, title in (("_chi", dim.CHICAGO_INVENTORY), ("_ny", dim.NEW_YORK_INVENTORY)):
-        out.append(sum_when(_inventory(title) & _mail_order_line(), "sub_total").alias(f"{name}_mo"))
-        out.append(sum_only(_inventory(title), "sub_total").alias(f"{name}_all"))
+    for name, (_, title) in MAIL_WAREHOUSES.items():
+        out.append(sum_when(_inventory(title) & _mail_order_line(), "sub_total").alias(f"_{name}_mo"))
+        out.append(sum_only(_inventory(title), "sub_total").alias(f"_{name}_all"))
+        out.append(F.count_if(_inventory(title)).alias(f"_{name}_n"))
     return out
 
 
@@ -294,71 +243,170 @@ def _shared_inventories(rows: DataFrame) -> DataFrame:
     )
 
 
-def daily_share_row(lines: DataFrame, as_of: date, cutover: Cutover) -> DataFrame:
-    """One row per day with the shares of :func:`cutover_share` and
-    :func:`mail_order_share` that the allocation looks up, from one pass over the lines.
-    """
+def _unfold(sums: DataFrame, period: str, rows: Iterable[tuple[int, str, dict[str, Column]]]) -> DataFrame:
+    """A row per period and region, where the region's count column says that it has lines."""
+    entries = (
+        F.struct(
+            F.lit(region).cast("bigint").alias("sales_region_id"),
+            F.col(count).alias("_lines"),
+            *(value.alias(name) for name, value in values.items()),
+        )
+        for region, count, values in rows
+    )
+    return sums.select(period, F.inline(F.array(*entries))).filter("_lines > 0").drop("_lines")
+
+
+def daily_revenue_parts(lines: DataFrame, as_of: date) -> DataFrame:
+    """Revenue of last month per day, by the parts that labour is split on."""
     rows = pnl_lines(lines, "delivery_month", trailing(as_of, "month", 1))
     dry = _inventory(dim.LA_MIRADA) & (F.col("division") == dim.DRY_DIVISION)
     nondry = _inventory(dim.LA_MIRADA) & (F.col("division") != dim.DRY_DIVISION)
-    bay = _is(dim.BAY_AREA)
-    sums = (
+    return (
         _shared_inventories(rows)
-        .groupBy(F.col("delivery_day").alias("entry_date"))
+        .groupBy("delivery_day")
         .agg(
-            sum_only(dry & _other_regions(), "sub_total").alias("_dry_mo"),
-            sum_only(dry & bay, "sub_total").alias("_dry_bay"),
+            *_split_sums("dry", dry),
             sum_only(dry, "sub_total").alias("_dry_all"),
-            sum_only(nondry & bay, "sub_total").alias("_nondry_bay"),
+            *_split_sums("nondry", nondry, ("bay", "la")),
             sum_only(nondry & _is(dim.BAY_AREA, dim.LOS_ANGELES), "sub_total").alias("_nondry_all"),
             *_mail_sums(),
         )
     )
-    before = F.col("entry_date") < F.lit(cutover.day)
-    nondry_pct = F.when(before, F.lit(0.0)).otherwise(
-        F.coalesce(safe_div("_nondry_bay", "_nondry_all"), F.lit(0.0))
+
+
+def _nondry_pct(part: str, cutover: Cutover) -> Column:
+    """Share of non-dry labour; before the cutover Los Angeles keeps all of it."""
+    before = F.col("delivery_day") < F.lit(cutover.day)
+    kept = F.lit(1.0 if part == "la" else 0.0)
+    if part == "mo":
+        return F.lit(0.0)
+    return F.when(before, kept).otherwise(
+        F.coalesce(safe_div(f"_nondry_{part}", "_nondry_all"), F.lit(0.0))
     )
-    return sums.withColumns(
-        {
-            "_mo_pct": safe_div("_dry_mo", "_dry_all"),
-            "_bay_pct": safe_div("_dry_bay", "_dry_all"),
-            # the share table has a Bay row only on days with dry sales to the Bay
-            "_bay_nondry_pct": F.when(F.col("_dry_bay").isNotNull(), nondry_pct),
-        }
+
+
+def dry_revenue_share(lines: DataFrame, as_of: date) -> DataFrame:
+    """Split of La Mirada's dry revenue per day: Bay Area, Los Angeles, the rest as 3."""
+    rows = [
+        (region, f"_dry_{part}_n", {"dry_rev_pct": safe_div(f"_dry_{part}", "_dry_all")})
+        for part, (region, _) in SPLIT.items()
+    ]
+    return _unfold(daily_revenue_parts(lines, as_of), "delivery_day", rows)
+
+
+def nondry_revenue_share(lines: DataFrame, as_of: date) -> DataFrame:
+    """Split of La Mirada's other revenue per day between Bay Area and Los Angeles."""
+    rows = [
+        (SPLIT[part][0], f"_nondry_{part}_n", {"nondry_rev_pct": safe_div(f"_nondry_{part}", "_nondry_all")})
+        for part in ("bay", "la")
+    ]
+    return _unfold(daily_revenue_parts(lines, as_of), "delivery_day", rows)
+
+
+def cutover_share(lines: DataFrame, as_of: date, cutover: Cutover = CUTOVER) -> DataFrame:
+    """Dry and non-dry shares; before the cutover Los Angeles keeps all non-dry labour."""
+    rows = [
+        (
+            region,
+            f"_dry_{part}_n",
+            {
+                "dry_rev_pct": safe_div(f"_dry_{part}", "_dry_all"),
+                "nondry_rev_pct": _nondry_pct(part, cutover),
+            },
+        )
+        for part, (region, _) in SPLIT.items()
+    ]
+    return _unfold(daily_revenue_parts(lines, as_of), "delivery_day", rows)
+
+
+def _mail_order_share(sums: DataFrame, period: str) -> DataFrame:
+    rows = [
+        (region, f"_{name}_n", {"mo_pct": safe_div(f"_{name}_mo", f"_{name}_all")})
+        for name, (region, _) in MAIL_WAREHOUSES.items()
+    ]
+    return _unfold(sums, period, rows)
+
+
+def mail_order_share(lines: DataFrame, as_of: date) -> DataFrame:
+    """Mail-order part of Chicago's and New York's revenue per day."""
+    return _mail_order_share(daily_revenue_parts(lines, as_of), "delivery_day")
+
+
+def daily_share_row(lines: DataFrame, as_of: date, cutover: Cutover) -> DataFrame:
+    """One row per day with the shares of :func:`cutover_share` and
+    :func:`mail_order_share` that the allocation looks up."""
+    return (
+        daily_revenue_parts(lines, as_of)
+        .withColumns(
+            {
+                "_mo_pct": safe_div("_dry_mo", "_dry_all"),
+                "_bay_pct": safe_div("_dry_bay", "_dry_all"),
+                # the share table has a Bay row only on days with dry lines for the Bay
+                "_bay_nondry_pct": F.when(F.col("_dry_bay_n") > 0, _nondry_pct("bay", cutover)),
+            }
+        )
+        .withColumnRenamed("delivery_day", "entry_date")
     )
 
 
-def weekly_share_row(lines: DataFrame, as_of: date, cutover: Cutover) -> DataFrame:
-    """One row per week (cutover week: per day) with the shares of
-    :func:`weekly_la_share` and :func:`weekly_mail_order_share` for the allocation."""
+def weekly_revenue_parts(lines: DataFrame, as_of: date, cutover: Cutover) -> DataFrame:
+    """Revenue of four weeks per week (cutover week: per day), by the parts that labour is split on."""
     rows = pnl_lines(lines, "delivery_week", trailing(as_of, "week", 4))
     here = _inventory(dim.LA_MIRADA) & (F.col("payment_mode") == "F")
     dry = here & (F.col("storage_type") == "N")
-    bay = _is(dim.BAY_AREA)
-    sums = (
+    dry_parts = [
+        sum_when(dry & SPLIT[part][1](), "sub_total").alias(f"_dry_{part}") for part in ("bay", "mo")
+    ]
+    return (
         _shared_inventories(rows)
-        .groupBy(
-            split_cutover("delivery_week", "delivery_day", cutover.week).alias("entry_week")
-        )
+        .withColumn("delivery_week", split_cutover("delivery_week", "delivery_day", cutover.week))
+        .groupBy("delivery_week")
         .agg(
-            sum_when(dry & _other_regions(), "sub_total").alias("_dry_mo"),
-            sum_when(dry & bay, "sub_total").alias("_dry_bay"),
+            *dry_parts,
             sum_when(dry, "sub_total").alias("_dry_all"),
-            sum_only(here & _other_regions(), "sub_total").alias("_gross_mo"),
-            sum_only(here & bay, "sub_total").alias("_gross_bay"),
+            *_split_sums("gross", here),
             sum_only(here, "sub_total").alias("_gross_all"),
             *_mail_sums(),
         )
     )
-    before = F.col("entry_week") < F.lit(cutover.day)
-    bay_pct = F.when(before, safe_div("_dry_bay", "_dry_all")).otherwise(
-        safe_div("_gross_bay", "_gross_all")
-    )
-    return sums.withColumns(
-        {
-            "_mo_pct": F.when(F.col("_gross_mo").isNotNull(), safe_div("_dry_mo", "_dry_all")),
-            "_bay_pct": F.when(F.col("_gross_bay").isNotNull(), bay_pct),
-        }
+
+
+def _weekly_bay_pct(cutover: Cutover) -> Column:
+    """The Bay's share: by dry revenue before the cutover, by gross revenue from then on."""
+    before = F.col("delivery_week") < F.lit(cutover.day)
+    return F.when(before, safe_div("_dry_bay", "_dry_all")).otherwise(safe_div("_gross_bay", "_gross_all"))
+
+
+def weekly_la_share(lines: DataFrame, as_of: date, cutover: Cutover = CUTOVER) -> DataFrame:
+    """La Mirada's revenue split: Bay by dry revenue up to the cutover and by gross
+    revenue from then on, mail order by dry revenue, Los Angeles itself 0."""
+    pct = {
+        "bay": _weekly_bay_pct(cutover),
+        "la": F.lit(0.0),
+        "mo": safe_div("_dry_mo", "_dry_all"),
+    }
+    rows = [(region, f"_gross_{part}_n", {"rev_pct": pct[part]}) for part, (region, _) in SPLIT.items()]
+    return _unfold(weekly_revenue_parts(lines, as_of, cutover), "delivery_week", rows)
+
+
+def weekly_mail_order_share(
+    lines: DataFrame, as_of: date, cutover: Cutover = CUTOVER
+) -> DataFrame:
+    return _mail_order_share(weekly_revenue_parts(lines, as_of, cutover), "delivery_week")
+
+
+def weekly_share_row(lines: DataFrame, as_of: date, cutover: Cutover) -> DataFrame:
+    """One row per week (cutover week: per day) with the shares of
+    :func:`weekly_la_share` and :func:`weekly_mail_order_share` for the allocation."""
+    return (
+        weekly_revenue_parts(lines, as_of, cutover)
+        .withColumns(
+            {
+                "_mo_pct": F.when(F.col("_gross_mo_n") > 0, safe_div("_dry_mo", "_dry_all")),
+                "_bay_pct": F.when(F.col("_gross_bay_n") > 0, _weekly_bay_pct(cutover)),
+            }
+        )
+        .withColumnRenamed("delivery_week", "entry_week")
     )
 
 
@@ -517,45 +565,6 @@ def labor_period_rollup(final: DataFrame) -> DataFrame:
 # --- weekly -------------------------------------------------------------------
 
 
-def weekly_la_share(lines: DataFrame, as_of: date, cutover: Cutover = CUTOVER) -> DataFrame:
-    """La Mirada's revenue split: Bay by dry revenue up to the cutover and by gross
-    revenue from then on, mail order by dry revenue, Los Angeles itself 0."""
-    rows = pnl_lines(lines, "delivery_week", trailing(as_of, "week", 4)).filter(
-        (F.col("inventory_title") == dim.LA_MIRADA) & (F.col("payment_mode") == "F")
-    )
-    region = F.when(_is(dim.BAY_AREA, dim.LOS_ANGELES), _region()).otherwise(
-        F.lit(dim.MAIL_ORDER)
-    )
-    sums = (
-        rows.withColumn("_key", split_cutover("delivery_week", "delivery_day", cutover.week))
-        .groupBy(F.col("_key").alias("delivery_week"), region.alias("sales_region_id"))
-        .agg(
-            sum_when(F.col("storage_type") == "N", "sub_total").alias("dry_rev"),
-            F.sum("sub_total").alias("gross_rev"),
-        )
-    )
-    shares = share_of_total(
-        share_of_total(sums, "delivery_week", "dry_rev", "_dry"),
-        "delivery_week", "gross_rev", "_gross",
-    )
-    before = F.col("delivery_week") < F.lit(cutover.day)
-    pct = (
-        F.when(_is(dim.BAY_AREA) & before, F.col("_dry"))
-        .when(_is(dim.BAY_AREA) & ~before, F.col("_gross"))
-        .when(_is(dim.MAIL_ORDER), F.col("_dry"))
-        .otherwise(F.lit(0.0))
-    )
-    return shares.select("delivery_week", "sales_region_id", pct.alias("rev_pct"))
-
-
-def weekly_mail_order_share(
-    lines: DataFrame, as_of: date, cutover: Cutover = CUTOVER
-) -> DataFrame:
-    rows = pnl_lines(lines, "delivery_week", trailing(as_of, "week", 4))
-    key = split_cutover("delivery_week", "delivery_day", cutover.week)
-    return _mail_order_share(rows.withColumn("delivery_week", key), "delivery_week")
-
-
 def weekly_labor_allocation_base(
     labor: DataFrame, lines: DataFrame, sheets: Iterable[DataFrame], as_of: date,
     cutover: Cutover = CUTOVER,
