@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
 from functools import partial
 
 from checks import standins as st
@@ -14,12 +15,17 @@ from periodbook.sources.tables import Tables
 reg = Registry()
 M6 = "DECIMAL(24,6)"
 
-# as of 2000-04-10: first and last period, year-ago week, loose lower bound
+# first and last period, year-ago week, loose lower bound; as of 2000-04-10 where no day is named
 BOUNDS = {
     "week": ("2000-01-02", "2000-04-02", "1999-04-04", ("1999-12-13", "1999-03-21")),
     "month": ("1999-02-01", "2000-03-01", "1999-04-04", ("1999-01-12", "1999-03-21")),
     "quarter": ("1996-10-01", "2000-01-01", "1999-04-04", ("1996-09-11", "1999-03-21")),
+    # on a Sunday the scorecard is still one week behind; Monday and Tuesday see the same weeks
+    "week@sunday": ("1999-12-26", "2000-03-26", "1999-03-28", ("1999-12-06", "1999-03-14")),
+    "month@sunday": ("1999-02-01", "2000-03-01", "1999-03-28", ("1999-01-12", "1999-03-14")),
+    "week@tuesday": ("2000-01-02", "2000-04-02", "1999-04-04", ("1999-12-13", "1999-03-21")),
 }
+DAYS = {"": st.AS_OF, "sunday": st.AS_OF_SUNDAY, "tuesday": st.AS_OF_TUESDAY}
 BUCKETS = {
     "sf": "SF Bay Area", "la": "LA - Greater", "ny": "New York", "sea": "Seattle",
     "tx": "Houston", "chi": "Chicago", "fl": "Tampa",
@@ -34,9 +40,17 @@ DIVISIONS = {
 }
 
 
+def base(unit: str) -> str:
+    return unit.partition("@")[0]
+
+
+def as_of(unit: str) -> date:
+    return DAYS[unit.partition("@")[2]]
+
+
 def review(unit: str, corrected: bool = False) -> sc.Review:
     return sc.Review(
-        st.AS_OF, unit, st.GATE, sc.OrderTypes(("RTG",), ("OD", "Partner", "Partner_vip"), ("OD", "Partner")),
+        as_of(unit), base(unit), st.GATE, sc.OrderTypes(("RTG",), ("OD", "Partner", "Partner_vip"), ("OD", "Partner")),
         booking_start=st.BOOKING_START, overhead_start=st.OVERHEAD_START, corrected=corrected,
     )
 
@@ -52,7 +66,7 @@ def loose(day: str, unit: str) -> str:
 
 
 def rows(view: str, day: str, unit: str, raw: str | None = None, more: str = "true") -> str:
-    u = start_of(day, unit)
+    u = start_of(day, base(unit))
     also = loose(raw, unit) if raw else "true"
     return f"(SELECT *, {u} AS delivery_unit FROM {view} WHERE {window(u, unit)} AND {also} AND {more}) r"
 
@@ -256,8 +270,8 @@ def by_unit(items: list[str], source: str) -> str:
 
 def net_revenue_sql(unit: str) -> str:
     refund = "shipped_and_refunded"
-    if unit == "week":
-        refund = f"CASE WHEN delivery_unit = DATE '2000-04-02' THEN CAST(CAST({refund} AS DOUBLE) / 0.88::DOUBLE AS {M6}) ELSE {refund} END"
+    if base(unit) == "week":
+        refund = f"CASE WHEN DATE '{as_of(unit)}' - delivery_unit IN (8, 9) THEN CAST(CAST({refund} AS DOUBLE) / 0.88::DOUBLE AS {M6}) ELSE {refund} END"
     return by_unit(
         [
             "sum(discount) AS discount",
@@ -320,7 +334,7 @@ def division_sql(unit: str) -> str:
 def plan_sql(unit: str) -> str:
     return f"""SELECT CAST(delivery_unit AS DATE) AS delivery_unit, unit_type, gross_rev_plan, net_rev_plan,
         gm_plan AS prod_gm_plan, new_users AS new_user_plan, active_users AS active_user_plan, arpu_plan
-      FROM v_plan WHERE unit_type = '{unit}' AND {window('CAST(delivery_unit AS DATE)', unit)}"""
+      FROM v_plan WHERE unit_type = '{base(unit)}' AND {window('CAST(delivery_unit AS DATE)', unit)}"""
 
 
 def on_time_sql(unit: str) -> str:
@@ -337,9 +351,9 @@ DIV_PLANS = ("dairy_deli", "protein", "frozen", "produce", "dry_grocery", "gm_hb
 
 
 def split_days_sql(unit: str) -> str:
-    begin = f"{unit}_begin_date"
+    begin = f"{base(unit)}_begin_date"
     same = "date_trunc('month', cal_date) = date_trunc('month', week_begin_date)"
-    if unit == "week":
+    if base(unit) == "week":
         items = f"count(DISTINCT cal_date) FILTER (WHERE {same}) AS same_month, CAST(NOT bool_and({same}) AS INTEGER) AS flag"
     else:
         items = "0 AS same_month, 0 AS flag"
@@ -405,9 +419,9 @@ SEGMENT = """CASE device_type WHEN 'APP iOS' THEN 'iOS' WHEN 'APP Android' THEN
   CASE WHEN sales_org_id IN (3, 16) THEN 'Mail' ELSE 'Grocery' END AS region"""
 
 
-def buyers_sql(day: str, week: str, flag: str) -> str:
+def buyers_sql(day: str, week: str, flag: str, until: str = "2000-04-09") -> str:
     return f"""SELECT {day} AS time_day_unit, {week} AS time_week_unit, {SEGMENT}, count(DISTINCT buyer_id) AS new_d2c
-      FROM v_ord WHERE payment_mode = 'F' AND {flag} = 1 AND {day} BETWEEN DATE '1995-01-01' AND DATE '2000-04-09'
+      FROM v_ord WHERE payment_mode = 'F' AND {flag} = 1 AND {day} BETWEEN DATE '1995-01-01' AND DATE '{until}'
       GROUP BY ALL"""
 
 
@@ -554,7 +568,7 @@ ACQ = {
 
 
 def acquisition_sql(unit: str) -> str:
-    u = start_of("time_day_unit", unit)
+    u = start_of("time_day_unit", base(unit))
     items = [f"coalesce(sum({c}), 0) AS {n}" for n, c in ACQ.items()]
     every = " + ".join(f"coalesce(sum({c}), 0)" for c in ACQ.values())
     return f"""SELECT {u} AS delivery_unit, sum(n) AS revenue_new_user, {', '.join(items)}, {every} AS total_spend
@@ -654,6 +668,9 @@ def card_ctes(unit: str) -> dict[str, str]:
         *order_items, *return_orders,
     ]
     ctes = commerce_ctes(unit) | acquisition_ctes | {"seg": by_segment(items)}
+    until = str(as_of(unit) - timedelta(days=1))
+    ctes["booked"] = buyers_sql("order_day", "order_week", "daily_new_users_flag_order", until)
+    ctes["earned"] = buyers_sql("delivery_day", "delivery_week", "daily_new_users_flag", until)
     joins, picked = [], ["seg.*"]
     for i, (name, (_, make, _)) in enumerate(METRICS.items()):
         ctes[f"x{i}"] = make(unit)
@@ -671,13 +688,13 @@ reg.add(
     query(f"SELECT {out(CARD_SPEC)} FROM card", **card_ctes("week")),
 )
 YEAR_AGO = {"month": ("1999-03-01", "1999-01-01"), "quarter": ("1999-01-01", "1996-07-01")}
-for _unit in ("week", "month", "quarter"):
+for _unit in ("week", "month", "quarter", "week@sunday", "month@sunday", "week@tuesday"):
     _report = "SELECT delivery_unit AS delivery_week, * FROM card"
-    if _unit != "week":
-        _from, _shown = YEAR_AGO[_unit]
+    if base(_unit) != "week":
+        _from, _shown = YEAR_AGO[base(_unit)]
         _report += f" UNION ALL SELECT DATE '{_shown}', * FROM card WHERE delivery_unit = DATE '{_from}'"
     reg.add(
-        "scorecard_report" if _unit == "week" else f"scorecard_report_{_unit}",
+        "scorecard_report" + {"week": ""}.get(_unit, "_" + _unit.removeprefix("week@").replace("@", "_")),
         partial(lambda t, u: sc.scorecard_report(t, review(u)), u=_unit),
         query(
             f"SELECT {out('d: delivery_week; ' + CARD_SPEC)} FROM report", **card_ctes(_unit), report=_report

@@ -18,6 +18,7 @@ from periodbook.sources.tables import Tables, calendar, read_table
 
 AS_OF = date(2000, 4, 10)  # a Monday: the newest week's refunds are still incomplete
 AS_OF_SUNDAY = date(2000, 4, 9)
+AS_OF_TUESDAY = date(2000, 4, 11)
 AS_OF_WED = date(2000, 4, 12)
 CUTOVER = Cutover(week=date(2000, 3, 19), day=date(2000, 3, 25))
 REPORTED_BEFORE = date(2000, 3, 1)  # sheets hold the months before this one

@@ -15,10 +15,11 @@ import __spark_entry__ as driver
 from checks import compare
 from checks import standins as st
 from checks.scorecard import review
+from periodbook import dimensions as dim
 from periodbook.functions import periods as pd
 from periodbook.operators import joins as jn
 from periodbook.operators.distincts import distinct_counts
-from periodbook.plans import acquisition, delivery, scorecard, weekly
+from periodbook.plans import acquisition, delivery, labor, scorecard, weekly
 from periodbook.sources.sheets import SheetSpec, parse_sheet, split_rejects
 from periodbook.sources.sinks import write_report
 from periodbook.sources.tables import Tables
@@ -132,6 +133,29 @@ def test_windowed_rate_costs_are_the_card_s(spark, tables):
         assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
 
 
+@pytest.mark.parametrize("table", ["dry_revenue_share", "nondry_revenue_share", "cutover_share", "mail_order_share", "weekly_la_share", "weekly_mail_order_share"])
+def test_share_tables_are_one_shuffle_of_sums_by_period(tables, table):
+    text = plan(getattr(labor, table)(tables["order_product"], st.AS_OF))
+    assert "Window" not in text and "Join" not in text.split("HashAggregate")[0]
+    assert len(re.findall(r"HashAggregate\(keys=\[(?:delivery_day|delivery_week)#\d+\]", text)) == 2  # partial and final
+
+
+def test_allocation_reads_what_the_share_tables_hold(tables):
+    lines = tables["order_product"]
+    rows = {r.entry_date: r for r in labor.daily_share_row(lines, st.AS_OF, st.CUTOVER).collect()}
+    shares = labor.cutover_share(lines, st.AS_OF, st.CUTOVER).collect()
+    assert shares and {r.sales_region_id for r in shares} <= {dim.BAY_AREA, dim.LOS_ANGELES, dim.MAIL_ORDER}
+    for r in shares:
+        if r.sales_region_id == dim.BAY_AREA:
+            assert (rows[r.delivery_day]["_bay_pct"], rows[r.delivery_day]["_bay_nondry_pct"]) == (r.dry_rev_pct, r.nondry_rev_pct)
+        if r.sales_region_id == dim.MAIL_ORDER:
+            assert rows[r.delivery_day]["_mo_pct"] == r.dry_rev_pct
+    weeks = {r.entry_week: r for r in labor.weekly_share_row(lines, st.AS_OF, st.CUTOVER).collect()}
+    held = {(r.delivery_week, r.sales_region_id): r.rev_pct for r in labor.weekly_la_share(lines, st.AS_OF, st.CUTOVER).collect()}
+    for week, r in weeks.items():
+        assert (r["_bay_pct"], r["_mo_pct"]) == (held.get((week, dim.BAY_AREA)), held.get((week, dim.MAIL_ORDER)))
+
+
 @pytest.mark.parametrize("part, fact", [("division_scorecard", "lineitem"), ("nps_by_region", "events")])
 def test_sums_and_distinct_counts_share_a_scan(tables, part, fact):
     text = plan(getattr(scorecard, part)(tables, review("week")))
