@@ -6,8 +6,8 @@ across them, so a text's ids are its words' ids in order. Three steps:
 1. ``word_table``: split all texts in Spark and count the distinct words over the whole corpus;
    the most frequent ones (``hot_words`` at most, of up to ``hot_bytes`` bytes each, hence a broadcast
    of bounded size) are encoded, each of them once.
-2. ``tokens``: split again and join the ids back by position. Words outside the table are collected
-   per block of texts; each distinct one is encoded once per block. (A table of all words, joined by
+2. ``tokens``: split again and join the ids back by position. A word outside the table is encoded where
+   a block of texts meets it first, once per block at most. (A table of all words, joined by
    a shuffle, costs more disk than it saves: see README. It would hold mostly words that occur once.)
 3. ``decode``: ids are turned into bytes by a join with the id-to-piece table (the vocabulary, of
    fixed size) and read as UTF-8.
@@ -28,7 +28,7 @@ import os
 import re
 import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 import public_tokenizers
@@ -47,7 +47,7 @@ SPECIAL = "<|endoftext|>"
 
 CHUNK = re.compile(f"{re.escape(SPECIAL)}|[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
 WORD = regex.compile(WORDS)
-MEMO = 120_000
+MEMO = 200_000
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -94,13 +94,18 @@ def ranked(spec: str) -> tiktoken.Encoding | None:
     return tiktoken.Encoding("pieces", pat_str=WORDS, mergeable_ranks={p: i for i, p in enumerate(look_up) if i not in added}, special_tokens={})
 
 
-def encode_words(words: list[str], spec: str) -> list[list[int]]:
-    """The ids of each word."""
+def word_encoder(spec: str) -> Callable[[str], list[int]]:
+    """The ids of a word."""
     fast, tokenizer = ranked(spec), vocabulary(spec)
     if fast is None:
-        return [x.ids for x in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return lambda w: tokenizer.encode(w, add_special_tokens=False).ids
     one = fast._core_bpe.encode_single_piece
-    return [tokenizer.encode(w, add_special_tokens=False).ids if w == SPECIAL else one(w.encode("utf-8", "surrogatepass")) for w in words]
+    return lambda w: tokenizer.encode(w, add_special_tokens=False).ids if w == SPECIAL else one(w.encode("utf-8", "surrogatepass"))
+
+
+def encode_words(words: list[str], spec: str) -> list[list[int]]:
+    """The ids of each word."""
+    return list(map(word_encoder(spec), words))
 
 
 def chunks(text: str) -> list[str]:
@@ -123,23 +128,24 @@ def words_of(chunk: str) -> list[str]:
 def word_counts(docs: DataFrame) -> DataFrame:
     """Distinct words of ``docs.text`` and how often they occur: (word, n)."""
 
+    def words_in(seen: Counter) -> pd.DataFrame:
+        words: Counter = Counter()
+        for chunk, n in seen.items():
+            for word in words_of(chunk):
+                words[word] += n
+        return pd.DataFrame({"word": list(words), "n": list(words.values())})
+
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: Counter = Counter()
+        seen: Counter = Counter()
         for frame in frames:
-            texts = frame["text"].tolist()
-            for a, b in batches(texts, 4_000_000):
-                seen: Counter = Counter()
-                for t in texts[a:b]:
-                    if t:
-                        seen.update(chunks(t))
-                for chunk, n in seen.items():
-                    for word in words_of(chunk):
-                        held[word] += n
-                if len(held) > 300_000:
-                    yield pd.DataFrame({"word": list(held), "n": list(held.values())})
-                    held = Counter()
-        if held:
-            yield pd.DataFrame({"word": list(held), "n": list(held.values())})
+            for t in frame["text"].tolist():
+                if t:
+                    seen.update(chunks(t))
+                if len(seen) > 400_000:
+                    yield words_in(seen)
+                    seen = Counter()
+        if seen:
+            yield words_in(seen)
 
     return docs.select("text").mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -168,47 +174,37 @@ def word_table(docs: DataFrame, spec: str, hot_words: int = 262_144, hot_bytes:
     return counts.filter(F.col("n") >= hot_cut(counts, hot_words)).mapInPandas(encode, "word string, n long, ids array<int>")
 
 
-class Memo(dict):
-    """A dict of two generations: when the young one is full it becomes the old one, and what is used again is young again."""
-
-    def __init__(self, most: int) -> None:
-        super().__init__()
-        self.most, self.old = most, {}
+class Encoder(dict):
+    """The ids of words and of chunks of text: the shared table's words always, others from when they are met.
 
-    def __missing__(self, key):
-        value = self[key] = self.old[key]
-        return value
-
-    def lacking(self, keys: set) -> list:
-        if len(self) > self.most:
-            self.old = dict(self)
-            self.clear()
-        return [k for k in keys if k not in self and k not in self.old]
-
-
-class Encoder:
-    """The ids of chunks of text, from the shared table and from a block's own words."""
+    A word is a chunk of one word, so one dict holds both. Beyond ``MEMO`` others the dict starts anew and the
+    last others are kept aside: what is used again comes back.
+    """
 
     def __init__(self, table: dict[str, tuple], spec: str) -> None:
-        self.spec, self.pieces = spec, pieces(spec)
+        super().__init__()
+        self.encode, self.pieces = word_encoder(spec), pieces(spec)
         self.names = [str(i) for i in range(len(self.pieces))]
         self.table = {w: self.made(ids) for w, ids in table.items()}
-        self.chunks, self.rare = Memo(MEMO), Memo(MEMO)
-
-    def prepare(self, seen: set[str]) -> Memo:
-        """Findings for every chunk in ``seen``; words that the table lacks are encoded together, each once."""
-        split = {c: words_of(c) for c in self.chunks.lacking(seen)}
-        table, rare = self.table, self.rare
-        new = rare.lacking({w for words in split.values() for w in words if w not in table})
-        for word, ids in zip(new, encode_words(new, self.spec), strict=True):
-            rare[word] = self.made(tuple(ids))
-        for chunk, words in split.items():
-            parts = [table[w] if w in table else rare[w] for w in words]
-            self.chunks[chunk] = parts[0] if len(parts) == 1 else self.joined(parts)
-        return self.chunks
-
-    def made(self, ids: tuple):
-        return ids
+        self.old: dict = {}
+        self.update(self.table)
+
+    def __missing__(self, chunk: str):
+        found = self.old.get(chunk)
+        if found is None:
+            words = words_of(chunk)
+            found = self.made(self.encode(chunk)) if len(words) == 1 else self.joined([self[w] for w in words])
+        self[chunk] = found
+        return found
+
+    def trim(self) -> None:
+        if len(self) > len(self.table) + MEMO:
+            self.old = {k: v for k, v in self.items() if k not in self.table}
+            self.clear()
+            self.update(self.table)
+
+    def made(self, ids):
+        return tuple(ids)
 
     def joined(self, parts: list):
         return tuple(i for p in parts for i in p)
@@ -217,12 +213,13 @@ class Encoder:
 class Digester(Encoder):
     """As Encoder, with the ids written out and the bytes they decode to: (number of ids, ids, bytes)."""
 
-    def made(self, ids: tuple):
+    def made(self, ids):
         look_up, names = self.pieces, self.names
         return len(ids), ",".join([names[i] for i in ids]), b"".join([look_up[i] for i in ids])
 
     def joined(self, parts: list):
-        return sum([p[0] for p in parts]), ",".join([p[1] for p in parts]), b"".join([p[2] for p in parts])
+        numbers, ids, data = zip(*parts, strict=True)
+        return sum(numbers), ",".join(ids), b"".join(data)
 
 
 _ready: dict[type, tuple[str, Encoder]] = {}
@@ -240,9 +237,8 @@ def _blocks(frames: Iterator[pd.DataFrame], encoder: Encoder) -> Iterator[tuple]
     for frame in frames:
         texts, numbers = frame["text"].tolist(), frame["doc_id"]
         for a, b in batches(texts):
-            rows = [chunks(t) if t else [] for t in texts[a:b]]
-            found = encoder.prepare(set().union(*rows))
-            yield numbers.iloc[a:b], [[found[c] for c in r] for r in rows]
+            encoder.trim()
+            yield numbers.iloc[a:b], [list(map(encoder.__getitem__, chunks(t))) if t else [] for t in texts[a:b]]
 
 
 def shared_table(docs: DataFrame, spec: str, hot_words: int):
