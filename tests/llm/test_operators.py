@@ -527,3 +527,20 @@ def test_pipeline_stages(spark, docs_of, texts):
     assert 100 < left <= 200 and corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() == left
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs.limit(0), sf_dir).count() == 0, name
+
+
+def test_bpe_encoder_that_starts_anew_keeps_ids(monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO", 40)
+    spec, rng = bpe.vocabulary_text(), random.Random(29)
+    hot = ["the", " the", " of", "'s", "\n"]
+    table = dict(zip(hot, map(tuple, bpe.encode_words(hot, spec)), strict=True))
+    plain, digest, tok, sizes = bpe.Encoder(table, spec), bpe.Digester(table, spec), bpe.vocabulary(spec), set()
+    for _ in range(200):
+        text = "".join(rng.choice([" the", " of", "'s", "\n", "  ", bpe.SPECIAL, " é1", "一", f" w{rng.randrange(60)}", "!?"]) for _ in range(30))
+        plain.trim(), digest.trim()
+        ids = [i for c in bpe.chunks(text) for i in plain[c]]
+        n, written, data = zip(*(digest[c] for c in bpe.chunks(text)), strict=True)
+        assert ids == tok.encode(text, add_special_tokens=False).ids
+        assert (sum(n), ",".join(written), b"".join(data).decode()) == (len(ids), ",".join(map(str, ids)), tok.decode(ids, skip_special_tokens=False))
+        sizes.add(len(plain) < 40)
+    assert sizes == {True, False}
