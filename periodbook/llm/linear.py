@@ -43,6 +43,16 @@ class Rows:
         out.feature, out.n, out.width = self.feature[held], int(wanted.sum()), self.width
         return out
 
+    def only(self, features: np.ndarray) -> Rows:
+        """All rows with the given features alone, which are numbered by their places in ``features``."""
+        out = object.__new__(Rows)
+        place = np.full(self.width, -1, np.intp)
+        place[features] = np.arange(len(features))
+        feature = place[self.feature]
+        held = feature >= 0
+        out.row, out.feature, out.n, out.width = self.row[held].astype(np.intp), feature[held], self.n, len(features)
+        return out
+
     def _summed(self, into: np.ndarray, values: np.ndarray, by: np.ndarray, size: int) -> np.ndarray:
         out = np.zeros(size)
         for k in range(0, len(into), self.SLICE):
@@ -78,6 +88,10 @@ def fit(
     """
     importance = np.ones(rows.n) if importance is None else importance
     scale = log_ratios(rows, label, importance)
+    # a feature whose scale is 0 has no gradient, so its weight stays 0: the steps go without it
+    width, used = rows.width, np.flatnonzero(scale)
+    rows, scale = rows.only(used), scale[used]
+    pairs = pairs and (pairs[0].only(used), pairs[1].only(used))
     w, b = np.zeros(rows.width), 0.0
     m, v, mb, vb = np.zeros(rows.width), np.zeros(rows.width), 0.0, 0.0
     importance = importance / max(importance.sum(), 1e-9)
@@ -93,7 +107,9 @@ def fit(
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
         b -= rate * (mb / (1 - 0.9**t)) / (np.sqrt(vb / (1 - 0.99**t)) + 1e-8)
-    return w * scale, float(b)
+    weights = np.zeros(width)
+    weights[used] = w * scale
+    return weights, float(b)
 
 
 def calibrate(z: np.ndarray, label: np.ndarray, steps: int = 300) -> tuple[float, float]:
