@@ -6,12 +6,15 @@ about the template's length: a wrapped notice is judged as a whole, and each of
 paragraph by itself. The classifier: a softmax regression over hashed word n-grams
 (one and two words) tells licence families apart from one another and from ``unknown``, which stands
 for ordinary text and for licences not among the families. It is trained here: positives are the
-families' notices and variants of them (comment marks, other years and names, words left out),
-negatives are paragraphs of a bounded sample of the documents (``sample`` of them) and notices whose
-telling words were exchanged. The unknown class is calibrated on variants and paragraphs kept
+families' notices and variants of them (comment marks, other years and names, words left out) and
+notices made of the licences' names; negatives are paragraphs of a bounded sample of the documents
+(``sample`` of them), notices whose telling words were exchanged and sentences that talk of a licence. The unknown class is calibrated on variants and paragraphs kept
 aside: a temperature and the lowest family probability that lets at most ``slips`` of them
-through. Every family that passes is confirmed only if the line or run shares enough word pairs with one
-of that family's templates, and a run also a word that tells the template's licence, if it has one.
+through. A line that is surely a notice of some family is of those whose names it has; every other family has to pass
+by its own probability, and is confirmed only if the line or run shares enough word pairs with one
+of that family's templates, or the line has one of its names whole; a run also needs a word that tells the
+template's licence, if it has one. Versions are not told apart. Works that are in the public domain without a licence
+are ``unknown``.
 
 Cases: null and empty texts have no licence; paragraphs of any length are read whole; repeated rows each
 give a row; an empty table gives no rows; other columns are ignored.
@@ -99,9 +102,55 @@ TEMPLATES = {
         "All rights reserved. No part of this work may be reproduced without prior written permission.",
     ),
 }
+# Names of licences, as notices and headings give them, and the notices that are made of them.
+NAMES = {
+    "MIT": ("MIT", "MIT License", "The MIT License (MIT)", "MIT/X11 License", "Expat License"),
+    "Apache-2.0": ("Apache License", "Apache License 2.0", "Apache License, Version 2.0", "Apache 2.0", "Apache-2.0", "Apache Software License"),
+    "GPL": ("GPL", "GNU GPL", "GPLv2", "GPLv3", "GPL-2.0", "GPL-3.0", "GPL version 2", "GNU General Public License", "GNU General Public License v2.0", "GNU General Public License, version 3", "GNU Public License"),
+    "LGPL": ("LGPL", "GNU LGPL", "LGPLv2", "LGPLv3", "LGPL-2.1", "LGPL-3.0", "GNU Lesser General Public License", "GNU Library General Public License", "GNU Lesser General Public License, version 3"),
+    "AGPL": ("AGPL", "GNU AGPL", "AGPLv3", "AGPL-3.0", "GNU Affero General Public License", "Affero General Public License", "GNU Affero General Public License, version 3"),
+    "BSD": ("BSD", "BSD License", "BSD 2-Clause License", "BSD 3-Clause License", "BSD-2-Clause", "BSD-3-Clause", "New BSD License", "Simplified BSD License", "Modified BSD License"),
+    "MPL-2.0": ("MPL", "MPL 2.0", "MPL-2.0", "Mozilla Public License", "Mozilla Public License 2.0", "Mozilla Public License, Version 2.0"),
+    "CC-BY": (
+        "CC BY", "CC BY 3.0", "CC BY 4.0", "CC BY-SA", "CC BY-SA 3.0", "CC BY-SA 4.0", "Creative Commons Attribution", "Creative Commons Attribution License",
+        "Creative Commons Attribution 3.0 Unported License", "Creative Commons Attribution 4.0 International License", "Creative Commons Attribution-ShareAlike", "Creative Commons Attribution-ShareAlike 3.0 Unported License",
+    ),
+    "CC-BY-NC": (
+        "CC BY-NC", "CC BY-NC 3.0", "CC BY-NC 4.0", "CC BY-NC-SA", "CC BY-NC-SA 3.0", "CC BY-NC-ND 4.0", "Creative Commons Attribution-NonCommercial", "Creative Commons Attribution-NonCommercial 3.0 Unported License",
+        "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License",
+    ),
+    "CC0": ("CC0", "CC0 1.0", "CC0-1.0", "CC0 1.0 Universal", "Creative Commons Zero"),
+    "Unlicense": ("Unlicense", "The Unlicense"),
+    "ISC": ("ISC", "ISC License", "The ISC License"),
+    "BSL-1.0": ("BSL-1.0", "Boost Software License", "Boost Software License 1.0", "Boost Software License, Version 1.0"),
+    "EPL": ("EPL", "EPL 1.0", "EPL-2.0", "Eclipse Public License", "Eclipse Public License 2.0", "Eclipse Public License - v 2.0", "Eclipse Public License, Version 1.0"),
+}
+FRAMES = (
+    "{}", "License: {}", "Licence: {}", "Licensed under {}", "Licensed under the {}", "Released under the {}", "This code is licensed under the {}", "This project is {} licensed",
+    "Distributed under the terms of the {}", "SPDX-License-Identifier: {}", "Available under {}", "Published under the {}", "This work is made available under the {}", "Copyright the authors, {}",
+    "Copyright (c) 2010 The Authors. All files: {}", "Use of this program is governed by the {}", "Subject to the terms of the {}", "Terms and conditions: {}", "The {} covers all files of this package",
+    "You can copy and change this library in accordance with the {}", "Our software comes with the {}", "The files in this folder fall under the {}.", "This package is free software; see the {} for details",
+)
+# A licence that is talked of is not a notice.
+MENTIONS = (
+    "We compared the {} with others in last week's lecture and found many differences.", "The history of the {} begins decades ago and fills a whole chapter of the book.",
+    "He wrote an article about the {} for a magazine.", "Critics of the {} say that it goes too far.", "Students at {} built a robot last summer.",
+    "I do not understand why anybody would choose {} today.", "Did you read what she said about {} on the list?", "Lawyers have argued over {} for years, and a judge had to decide.",
+    "The panel on {} was the best part of the conference.", "According to the newspaper, most firms avoid {} when they can.", "Their talk explained how {} came about and who opposed it.",
+    "The authors of {} never thought that it would be so widely used, he told us.", "My question is whether {} still matters.", "Last year {} was in the news again because of a law suit.",
+    "There is a long debate on {} between its friends and its enemies.", "Some people think {} is too strict; others like it.", "What is {} and where does it come from?",
+)
+TEMPLATES |= {
+    "ISC": (
+        "SPDX-License-Identifier: ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    "BSL-1.0": ("Distributed under the Boost Software License, Version 1.0.",),
+    "EPL": ("This program and the accompanying materials are made available under the terms of the Eclipse Public License v2.0.", "SPDX-License-Identifier: EPL-2.0"),
+}
 FAMILIES = tuple(TEMPLATES)
 UNKNOWN = len(FAMILIES)
-TELLING = frozenset("mit apache gnu gpl lgpl agpl bsd mozilla mpl cc cc0 creative unlicense affero lesser".split())
+TELLING = frozenset("mit apache gnu gpl lgpl agpl bsd mozilla mpl cc cc0 creative unlicense affero lesser isc boost eclipse epl".split())
 WORD = re.compile(r"\w+")
 BITS = 16
 RESULT = "doc_id long, licences array<string>, licence string, probability double, likeness double, paragraphs int"
@@ -129,6 +178,35 @@ def likeness(ws: list[str], family: str) -> float:
     return max(len(own & t) / len(t) for t in PAIRS[family])
 
 
+CALLED = {tuple(words(n)): family for family, names in NAMES.items() for n in names}
+LONGEST = max(map(len, CALLED))
+FIRST = frozenset(n[0] for n in CALLED)
+# names that are ordinary words or stand for other things as well
+AMBIGUOUS = frozenset((w,) for w in "mit isc bsd epl mpl".split())
+
+
+def named(ws: list[str]) -> set[str]:
+    """The families whose names the line has; of names inside one another the longest counts, and an ambiguous one only beside a word of licensing."""
+    out, at = set(), 0
+    while at < len(ws):
+        step = 1
+        if ws[at] in FIRST:
+            for n in range(min(LONGEST, len(ws) - at), 0, -1):
+                name = tuple(ws[at : at + n])
+                family = CALLED.get(name)
+                if family and (name not in AMBIGUOUS or any(w == "under" or w.startswith(("licen", "spdx")) for w in ws)):
+                    out.add(family)
+                    step = n
+                    break
+        at += step
+    return out
+
+
+def confirmed(ws: list[str], family: str) -> float:
+    """How like the line is to what the family's notices say: 1 if it has one of its names whole, else its likeness to a template."""
+    return 1.0 if family in named(ws) else likeness(ws, family)
+
+
 # all templates' word pairs by hash, and which template has which
 KNOWN = [(name, words(t), p) for name, ts in TEMPLATES.items() for t, p in zip(ts, PAIRS[name], strict=True)]
 _hash = {p: rolling(hashes(list(p)), 2)[0] for _, _, ps in KNOWN for p in ps}
@@ -218,7 +296,7 @@ def ordinary_lines(texts: list, least: float = 0.5) -> list[list[str]]:
         telling = TELLING & set(KNOWN[t][1])
         if not telling or telling & set(flat[x : y + 1]):
             taken.update(range(own[x], own[y] + 1))
-    return [ws for k, ws in enumerate(rows) if k not in taken and max(likeness(ws, f) for f in FAMILIES) < least]
+    return [ws for k, ws in enumerate(rows) if k not in taken and not named(ws) and max(likeness(ws, f) for f in FAMILIES) < least]
 
 
 def variants(rng: np.random.Generator, copies: int) -> tuple[list[list[str]], list[int]]:
@@ -236,6 +314,12 @@ def variants(rng: np.random.Generator, copies: int) -> tuple[list[list[str]], li
             if TELLING & set(own):
                 rows += [[f"x{rng.integers(1 << 30)}" if w in TELLING else w for w in own]] * 2
                 labels += [UNKNOWN] * 2
+    for name, called in NAMES.items():
+        for n in called:
+            rows += [words(frame.format(n)) for frame in FRAMES]
+            labels += [FAMILIES.index(name)] * len(FRAMES)
+            rows += [words(m.format(n)) for m in MENTIONS]
+            labels += [UNKNOWN] * len(MENTIONS)
     return rows, labels
 
 
@@ -273,12 +357,15 @@ def train(docs: DataFrame, sample: int = 500, slips: float = 0.0005, copies: int
     rows, labels = rows + ordinary, np.array(labels + [UNKNOWN] * len(ordinary))
     aside = rng.random(len(rows)) < 0.25
     classes = len(FAMILIES) + 1
-    flat, starts, sizes = _flat([r for r, x in zip(rows, aside, strict=True) if not x])
+    flat, _, sizes = _flat([r for r, x in zip(rows, aside, strict=True) if not x])
     y = np.eye(classes)[labels[~aside]]
     weight = (1.0 / np.maximum(y.sum(axis=0), 1))[labels[~aside]]
     weight /= weight.sum()
     row = np.repeat(np.arange(len(sizes)), sizes)
     w, b = np.zeros((1 << BITS, classes), np.float64), np.zeros(classes)
+    # what a single paragraph has tells nothing of others
+    again = np.bincount(flat, minlength=1 << BITS)[flat] > 1
+    row, flat = row[again], flat[again]
     used, place = np.unique(flat, return_inverse=True)
     local, v, vb = np.zeros((len(used), classes)), np.zeros((len(used), classes)), np.zeros(classes)
     root = np.sqrt(np.maximum(sizes, 1))[:, None]
@@ -334,9 +421,11 @@ def scan(docs: DataFrame, model: Licences, confirm: float = 0.6) -> DataFrame:
                     order = np.argsort(belongs, kind="stable")
                     sizes = np.bincount(belongs, minlength=len(rows))
                     p = m.probabilities(flat[order].astype(np.int64), np.cumsum(sizes) - sizes, sizes)
-                    for r, k in np.argwhere(p[:, :UNKNOWN] >= m.least):
-                        if (like := likeness(rows[r], FAMILIES[k])) >= confirm:
-                            found[owner[r]].append((float(p[r, k]), like, FAMILIES[k], int(r), int(r)))
+                    notice = 1.0 - p[:, UNKNOWN] >= m.least
+                    calls = [(r, FAMILIES.index(name)) for r in np.flatnonzero(notice) for name in named(rows[r])]
+                    for r, k in sorted({*calls, *map(tuple, np.argwhere(p[:, :UNKNOWN] >= m.least).tolist())}):
+                        if (like := confirmed(rows[r], FAMILIES[k])) >= confirm:
+                            found[owner[r]].append((float(1.0 - p[r, UNKNOWN] if (r, k) in calls else p[r, k]), like, FAMILIES[k], int(r), int(r)))
                     stretches = runs(two, within_blocks(block, own), confirm)
                     flat_words = [w for r in rows for w in r] if stretches else []
                     parts = [flat_words[x : y + 1] for _, x, y in stretches]
