@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from periodbook.llm import bpe, decontaminate, graph_search, licences, near_dedup, page_text, quality, ring_sharding, substring_dedup, toxicity
+from periodbook.llm import bpe, decontaminate, graph_search, licences, linear, near_dedup, page_text, quality, ring_sharding, substring_dedup, toxicity
 
 ODD = [(None, None), (None, "lone words here"), (900, None), (901, ""), (902, " \n\t "), (903, "one"), (904, "same row"), (904, "same row"), (905, "long " * 30_000)]
 
@@ -221,6 +221,31 @@ def test_an_id_with_two_vectors_asks_with_the_smaller(spark):
     assert [(r.vec_id, r.score) for r in graph_search.nearest(table, k=1).collect()] == [(1, 0.5)]
 
 
+def test_fit_is_that_over_all_features():
+    """Against the same steps over dense rows with all features, idle ones too."""
+    rng = np.random.default_rng(5)
+    rows = [np.unique(rng.integers(0, 200, 12) ** 2 // 200).astype(np.int32) for _ in range(60)]
+    label, weight = rng.integers(0, 2, 60).astype(float), rng.choice([0.0, 0.3, 1.0], 60)
+    x = np.zeros((60, 256))
+    for r, f in zip(x, rows, strict=True):
+        r[f] = 1
+    sparse = linear.Rows(rows, 256)
+    pairs = (linear.Rows(rows[:20], 256), linear.Rows(rows[20:40], 256))
+    got, bias = linear.fit(sparse, label, importance=weight, pairs=pairs, pair_weight=0.5)
+    scale, share = linear.log_ratios(sparse, label, weight), weight / weight.sum()
+    assert 0 < (scale == 0).sum() < 256
+    w, b, m, v = np.zeros(256), 0.0, np.zeros(257), np.zeros(257)
+    for t in range(1, 151):
+        s = w * scale
+        error = (linear.sigmoid(x @ s + b) - label) * share
+        apart = 2 * 0.5 / 20 * (x[:20] @ s - x[20:40] @ s)
+        g = np.append((x.T @ error + x[:20].T @ apart - x[20:40].T @ apart) * scale + 1e-3 * w, error.sum())
+        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
+        step = 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
+        w, b = w - step[:-1], b - step[-1]
+    assert np.allclose(got, w * scale, atol=1e-6) and abs(bias - b) < 1e-6
+
+
 def test_licences(docs_of, texts):
     rows = [(i, t) for i, t in texts] + [
         (400, "first line\nReleased under the MIT License.\nlast line"), (401, "# Licensed under the Apache License, Version 2.0."),
@@ -245,6 +270,27 @@ def test_shortest_notice_of_each_family(docs_of, texts):
     assert got == {500: []} | {400 + k: [name] for k, (name, _) in enumerate(notices)}
 
 
+def test_notices_in_words_not_trained_on(docs_of, texts):
+    """Headings and notices of every family in phrasings that are no frame; the families are told apart, and ordinary lines name none."""
+    frames = ("This software is provided to you under the {}.", "Copyright 2021 Jane Doe. {}.", "Code license is {}")
+    assert not set(frames) & set(licences.FRAMES)
+    notices = [(name, frame.format(n)) for name, names in licences.NAMES.items() for n in names for frame in frames]
+    heads = [("MIT", "The MIT License (MIT)"), ("MIT", "This code is MIT licensed."), ("GPL", "GNU GENERAL PUBLIC LICENSE\nVersion 3"), ("BSL-1.0", "Boost Software License - Version 1.0"), ("CC-BY", "CC BY-SA 3.0")]
+    plain = ["Er kam mit dem Hund", "This work is in the public domain.", "the apache helicopter took off", "the creative commons of the village were sold"]
+    docs = docs_of([*texts, *((1_000 + k, t) for k, (_, t) in enumerate([*heads, *notices])), *((9_000 + k, t) for k, t in enumerate(plain))])
+    got = {r.doc_id: r.licences for r in licences.scan(docs, licences.train(docs_of(texts))).collect()}
+    assert [got[1_000 + k] for k in range(len(heads))] == [[name] for name, _ in heads]
+    found = [(name, got[1_000 + len(heads) + k]) for k, (name, _) in enumerate(notices)]
+    assert all(set(g) <= {name} for name, g in found)
+    assert np.mean([len(g) > 0 for _, g in found]) >= 0.8
+    assert all(not got[9_000 + k] for k in range(len(plain)))
+
+
+def test_longest_name_counts():
+    assert licences.named(licences.words("Licensed under CC BY-NC-SA 4.0 or the MIT license")) == {"CC-BY-NC", "MIT"}
+    assert licences.named(licences.words("Er kam mit ISC")) == set() and licences.named([]) == set()
+
+
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal
 in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"""
 BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
