@@ -274,3 +274,25 @@ def test_nine_sheets_are_one_scan(spark, tmp_path):
     assert sorted(r.region_id for r in sheets.collect()) == list(range(9))
     with pytest.raises(ValueError, match="differ"):
         Tables.from_dir(spark, str(tmp_path)).stacked(["ba_pl", "orders"])
+
+
+# --- reports of many tables made of the same lines ----------------------------------------------
+
+
+@pytest.mark.parametrize("name", ["scorecard", "scorecard_report"])
+def test_scorecard_joins_the_window_s_lines_once(spark, sf_dir, name):
+    """The window's lines and the orders are kept; beside them only the plans and the stock go through every line."""
+    text = driver.queries()[name](spark, sf_dir)._jdf.queryExecution().withCachedData().toString()
+    assert text.count("InMemoryRelation") > 5
+    assert len(re.findall(r"(?<!InMemory)Relation \[[^\]]*l_shipdate", text)) <= 4  # stock, plan, calendar and one more
+
+
+def test_window_s_tables_hold_its_lines(spark, sf_dir):
+    window = review("week").window
+    whole, kept = st.tables(spark, sf_dir), st.tables(spark, sf_dir, window)
+    for name, day in {"order_product": "delivery_day", "dispatch_performance": "delivery_date", "revenue_main": "delivery_day"}.items():
+        want = whole[name].filter(window.holds_day(day))
+        assert kept[name].columns == want.columns
+        assert kept[name].exceptAll(want).isEmpty() and want.exceptAll(kept[name]).isEmpty()
+    for name in ("orders", "plan_data", "in_stock_rate", "division_plan"):
+        assert kept[name].exceptAll(whole[name]).isEmpty() and whole[name].exceptAll(kept[name]).isEmpty()
