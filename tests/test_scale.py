@@ -296,3 +296,13 @@ def test_window_s_tables_hold_its_lines(spark, sf_dir):
         assert kept[name].exceptAll(want).isEmpty() and want.exceptAll(kept[name]).isEmpty()
     for name in ("orders", "plan_data", "in_stock_rate", "division_plan"):
         assert kept[name].exceptAll(whole[name]).isEmpty() and whole[name].exceptAll(kept[name]).isEmpty()
+
+
+def test_long_specials_are_listed_by_month(spark):
+    spans = [(datetime(1999, 12, 31, 23), datetime(2000, 3, 1)), (datetime(2000, 2, 1), datetime(2000, 2, 1, 1)), (datetime(2000, 2, 5), datetime(2000, 2, 1))]
+    intervals = spark.createDataFrame([(7, a, b, str(k)) for k, (a, b) in enumerate(spans)], "p bigint, a timestamp_ntz, b timestamp_ntz, name string")
+    months = jn.interval_map(intervals, "p", "a", "b", ["name"], by="month")
+    got = {r["_day"]: [s["name"] for s in r["_spans"]] for r in months.collect()}
+    assert got == {date(1999, 12, 1): ["0"], date(2000, 1, 1): ["0"], date(2000, 2, 1): ["0", "1"], date(2000, 3, 1): ["0"]}
+    with pytest.raises(ValueError):
+        jn.interval_map(intervals, "p", "a", "b", ["name"], by="week")
