@@ -19,6 +19,7 @@ from periodbook import dimensions as dim
 from periodbook.functions import periods as pd
 from periodbook.operators import joins as jn
 from periodbook.operators.distincts import distinct_counts
+from periodbook.operators.sets import append_comparison
 from periodbook.plans import acquisition, delivery, labor, scorecard, weekly
 from periodbook.sources.sheets import SheetSpec, parse_sheet, split_rejects
 from periodbook.sources.sinks import write_report
@@ -298,6 +299,14 @@ def test_window_s_tables_hold_its_lines(spark, sf_dir):
         assert kept[name].exceptAll(whole[name]).isEmpty() and whole[name].exceptAll(kept[name]).isEmpty()
 
 
+def test_comparison_period_is_computed_once(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderdate").cast("date").alias("p"), "o_orderkey")
+    both = append_comparison(df, "p", "l", date(1999, 3, 1), date(1999, 1, 1))
+    assert plan(both).count("FileScan") == 1
+    empty = spark.createDataFrame([(None, 1)], "p date, v int")
+    assert list(map(tuple, append_comparison(empty, "p", "l", date(1999, 3, 1), date(1999, 1, 1)).collect())) == [(None, None, 1)]
+
+
 def test_long_specials_are_listed_by_month(spark):
     spans = [(datetime(1999, 12, 31, 23), datetime(2000, 3, 1)), (datetime(2000, 2, 1), datetime(2000, 2, 1, 1)), (datetime(2000, 2, 5), datetime(2000, 2, 1))]
     intervals = spark.createDataFrame([(7, a, b, str(k)) for k, (a, b) in enumerate(spans)], "p bigint, a timestamp_ntz, b timestamp_ntz, name string")
