@@ -315,3 +315,8 @@ def test_long_specials_are_listed_by_month(spark):
     assert got == {date(1999, 12, 1): ["0"], date(2000, 1, 1): ["0"], date(2000, 2, 1): ["0", "1"], date(2000, 3, 1): ["0"]}
     with pytest.raises(ValueError):
         jn.interval_map(intervals, "p", "a", "b", ["name"], by="week")
+
+
+def test_labels_are_read_once_per_day(spark, sf_dir):
+    text = plan(driver.queries()["fn_to_date_label"](spark, sf_dir))
+    assert re.search(r"HashAggregate\(keys=\[delivery_day#", text)
